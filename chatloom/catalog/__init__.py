@@ -4,7 +4,7 @@ import importlib
 
 from chatloom.catalog.registry import ORACLES, QUERIES
 
-MODULES = ["contamination"]
+MODULES = ["contamination", "filters", "repetition"]
 
 
 def load():
