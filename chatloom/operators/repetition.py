@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chatloom.functions.text import any_of, col, let, split_words, strip
+from chatloom.functions.text import any_of, col, let, quote_regex, split_words, strip
 
 # Phrases that make a sentence count as short, wherever they occur in it.
 SHORT_PHRASES = [
@@ -75,8 +75,8 @@ def is_math_expression(block: Column) -> Column:
 
 def is_short_phrase(block: Column) -> Column:
     low = F.lower(block)
-    bare = block.rlike(r"(?U)^\w+\s*[<>]\s*\w+$") & ~any_of(low.contains(w) for w in CODE_WORDS)
-    return any_of(low.contains(p) for p in SHORT_PHRASES) | bare
+    bare = block.rlike(r"(?U)^\w+\s*[<>]\s*\w+$") & ~low.rlike("|".join(CODE_WORDS))
+    return low.rlike("|".join(quote_regex(p) for p in SHORT_PHRASES)) | bare
 
 
 def longest_run(positions: Column) -> Column:
