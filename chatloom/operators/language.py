@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chatloom.functions.chat import by_role
-from chatloom.functions.text import col, let, strip
+from chatloom.functions.text import col, find_all, strip
 from chatloom.session import broadcast_if_small
 
 MIN_CHARS = 20
@@ -23,12 +23,8 @@ def user_text(messages) -> Column:
 def grams(text, n: int = 3) -> Column:
     """Overlapping character grams of the letters of a text, words set apart by blanks."""
     letters = F.regexp_replace(F.lower(col(text)), r"[^\p{L}]+", " ")
-
-    def cut(t: Column) -> Column:
-        return F.transform(F.sequence(F.lit(1), F.length(t) - (n - 1)), lambda i: F.substring(t, i, F.lit(n)))
-
-    padded = F.concat(F.lit(" "), F.trim(letters), F.lit(" "))
-    return let(padded, lambda t: F.when(F.length(t) >= n, cut(t)).otherwise(F.array().cast("array<string>")))
+    # a look-ahead matches at every position without consuming it: one linear walk over the text
+    return find_all(F.concat(F.lit(" "), F.trim(letters), F.lit(" ")), f"(?s)(?=(.{{{n}}}))", 1)
 
 
 def train(df: DataFrame, language: str, text: str) -> DataFrame:

@@ -50,11 +50,11 @@ def chat_summary(turns: DataFrame, key: str, role: str, tokens: Column) -> DataF
     return summary(rows, "measure", "value")
 
 
-def pair_summary(df: DataFrame, prompt_tokens: Column, completion_tokens: Column) -> DataFrame:
-    d = df.select(prompt_tokens.alias("p"), completion_tokens.alias("c"))
-    total = F.col("p") + F.col("c")
-    over = [F.count_if(total > n).alias(f"over_{n}") for n in LENGTH_LIMITS]
-    return d.agg(*describe(F.col("p"), "prompt"), *describe(F.col("c"), "completion"), *describe(total, "total"), *over)
+def pair_summary(df: DataFrame, prompt: str, completion: str) -> DataFrame:
+    """The same summary for prompt, completion and total token counts of a pair."""
+    parts = {"prompt": F.col(prompt), "completion": F.col(completion), "total": F.col(prompt) + F.col(completion)}
+    rows = F.array(*[F.struct(F.lit(m).alias("measure"), c.alias("value")) for m, c in parts.items()])
+    return summary(df.select(F.explode(rows).alias("x")).select("x.*"), "measure", "value")
 
 
 def longest(df: DataFrame, key: str, length: Column, n: int = 100) -> DataFrame:
