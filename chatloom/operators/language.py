@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from chatloom.functions.chat import by_role
 from chatloom.functions.text import col, find_all, strip
-from chatloom.session import broadcast_if_small
+from chatloom.session import broadcast_if_small, cut_lineage
 
 MIN_CHARS = 20
 
@@ -29,8 +29,11 @@ def grams(text, n: int = 3) -> Column:
 
 def train(df: DataFrame, language: str, text: str) -> DataFrame:
     """(language, gram, weight, floor) with add-one smoothing; ``floor`` is the weight of an unseen gram."""
-    counts = df.select(F.col(language).alias("language"), F.explode(grams(text)).alias("gram")).groupBy("language", "gram").agg(
-        F.count(F.lit(1)).alias("n")
+    # the corpus is read once; the counts are kept as a table because sizes, totals and scoring all need them
+    counts = cut_lineage(
+        df.select(F.col(language).alias("language"), F.explode(grams(text)).alias("gram")).groupBy("language", "gram").agg(
+            F.count(F.lit(1)).alias("n")
+        )
     )
     vocabulary = counts.select("gram").distinct().count()
     totals = counts.groupBy("language").agg(F.sum("n").alias("total"))
