@@ -33,6 +33,17 @@ def let(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+def steps(value: Column, *rules) -> Column:
+    """Apply rules one after the other, each on the bound result of the one before.
+
+    A rule that names its input several times would otherwise multiply the expression with every step.
+    """
+    out = value
+    for rule in rules:
+        out = let(out, rule)
+    return out
+
+
 def strip(c) -> Column:
     return F.trim(col(c), F.lit(WHITESPACE))
 

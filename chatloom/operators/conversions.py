@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from chatloom.functions.chat import (
     by_role, flat, last_assistant, last_message, merge_same_role, message, no_messages, replace_last, user_assistant,
 )
-from chatloom.functions.text import col, find_all, hash_key, is_blank, last_of, let, replace_all, split_words, strip
+from chatloom.functions.text import col, find_all, hash_key, is_blank, last_of, let, replace_all, split_words, steps, strip
 
 # Senders of the exported conversation formats.
 SENDER_ROLES = {
@@ -339,18 +339,19 @@ def as_plain_text(messages) -> Column:
     return F.array_join(F.transform(full, lambda m: F.concat(label(m["role"]), F.lit(": "), strip_marks(m["content"]))), "\n\n")
 
 
+def _newline_after_thought(c: Column) -> Column:
+    return F.when(c.contains("</think>\n"), c).otherwise(F.replace(c, F.lit("</think>"), F.lit("</think>\n")))
+
+
 def add_answer_tags(messages) -> Column:
-    c = last_message(messages)["content"]
-    c = F.when(c.contains("</think>\n"), c).otherwise(F.replace(c, F.lit("</think>"), F.lit("</think>\n")))
-    c = F.when(c.contains("<answer>"), c).otherwise(F.replace(c, F.lit("</think>"), F.lit("</think>\n<answer>")))
-    c = F.when(c.endswith("</answer>"), c).otherwise(F.concat(c, F.lit("\n</answer>")))
-    return replace_last(messages, c)
+    opened = lambda c: F.when(c.contains("<answer>"), c).otherwise(F.replace(c, F.lit("</think>"), F.lit("</think>\n<answer>")))
+    closed = lambda c: F.when(c.endswith("</answer>"), c).otherwise(F.concat(c, F.lit("\n</answer>")))
+    return replace_last(messages, steps(last_message(messages)["content"], _newline_after_thought, opened, closed))
 
 
 def remove_answer_tags(messages) -> Column:
-    c = strip(replace_all(last_message(messages)["content"], [("<answer>", ""), ("</answer>", "")]))
-    c = F.when(c.contains("</think>\n"), c).otherwise(F.replace(c, F.lit("</think>"), F.lit("</think>\n")))
-    return replace_last(messages, c)
+    bare = strip(replace_all(last_message(messages)["content"], [("<answer>", ""), ("</answer>", "")]))
+    return replace_last(messages, steps(bare, _newline_after_thought))
 
 
 def prompt_messages(messages, system_override: str | None = None) -> Column:
@@ -375,30 +376,26 @@ def answer_after_hashes(text) -> Column:
 
 
 def last_boxed(text) -> Column:
-    r"""Content of the last ``\boxed{…}`` or ``\fbox{…}`` with balanced braces, or ``\boxed x``; else null."""
-    t = col(text)
-
-    def tail(mark: str) -> Column:
-        return F.substring_index(t, mark, -1)
-
-    def balanced(rest: Column) -> Column:
-        # walk over the braces only: end of the brace group that opens first
-        state = F.struct(F.lit(0).alias("depth"), F.lit(0).alias("at"), F.lit(-1).alias("end"))
-        def step(acc, p):
-            depth = acc["depth"] + F.when(p == "{", 1).when(p == "}", -1).otherwise(0)
-            closes = (p == "}") & (depth == 0) & (acc["end"] < 0)
-            return F.struct(
-                depth.alias("depth"), (acc["at"] + F.length(p)).alias("at"),
-                F.when(closes, acc["at"] + F.length(p)).otherwise(acc["end"]).alias("end"),
-            )
-
-        return let(rest, lambda r: F.aggregate(find_all(r, r"[^{}]+|[{}]"), state, step, lambda acc: F.when(acc["end"] > 0, F.substring(r, F.lit(1), acc["end"]))))
-
-    boxed = balanced(tail("\\boxed"))
-    braced = F.when(boxed.startswith("{"), F.substring(boxed, F.lit(2), F.length(boxed) - 2))
-    return F.when(t.contains("\\boxed "), F.substring_index(F.substring_index(t, "\\boxed ", -1), "$", 1)).when(
-        t.contains("\\boxed"), braced
-    )
+    r"""Content of the last ``\boxed{…}`` with balanced braces, or of ``\boxed x`` up to a dollar sign; else null."""
+    state = F.struct(F.lit(0).alias("depth"), F.lit(0).alias("at"), F.lit(-1).alias("end"))
+
+    def step(acc: Column, p: Column) -> Column:
+        depth = acc["depth"] + F.when(p == "{", 1).when(p == "}", -1).otherwise(0)
+        at = acc["at"] + F.length(p)
+        closes = (p == "}") & (depth == 0) & (acc["end"] < 0)
+        return F.struct(depth.alias("depth"), at.alias("at"), F.when(closes, at).otherwise(acc["end"]).alias("end"))
+
+    def group(rest: Column) -> Column:
+        # the brace group that opens the text after the mark, walked piece by piece
+        inner = lambda end: F.when((end > 0) & rest.startswith("{"), F.substring(rest, F.lit(2), end - 2))
+        return let(F.aggregate(find_all(rest, r"[^{}]+|[{}]"), state, step, lambda acc: acc["end"]), inner)
+
+    def find(t: Column) -> Column:
+        spaced = F.substring_index(F.substring_index(t, "\\boxed ", -1), "$", 1)
+        braced = let(F.substring_index(t, "\\boxed", -1), group)
+        return F.when(t.contains("\\boxed "), spaced).when(t.contains("\\boxed"), braced)
+
+    return let(col(text), find)
 
 
 def final_answer(text) -> Column:

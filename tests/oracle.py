@@ -6,6 +6,7 @@ import datetime
 import math
 import os
 import sys
+import threading
 import time
 
 import duckdb
@@ -81,10 +82,13 @@ def main():
     con = duck(sf_dir)
     bad = 0
     for n in names:
+        timer = threading.Timer(float(os.environ.get("QUERY_LIMIT", "120")), spark.sparkContext.cancelAllJobs)
+        timer.start()
         try:
             ok, note = compare(spark, con, n, queries[n], oracles.get(n), sf_dir)
         except Exception as e:  # noqa: BLE001 - report and go on
             ok, note = False, f"{type(e).__name__}: {str(e)[:700]}"
+        timer.cancel()
         bad += not ok
         print(("ok   " if ok else "FAIL ") + n, note, flush=True)
     print(f"{len(names) - bad}/{len(names)} ok")
