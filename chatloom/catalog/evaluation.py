@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from chatloom.catalog.registry import query
 from chatloom.operators import evaluation as E
+from chatloom.session import broadcast_if_small
 
 # A battle per event: the verdict follows the event type, a dataset is a tenth of the users.
 PREF = "CASE event_type WHEN 'click' THEN 0.2 WHEN 'view' THEN 0.5 WHEN 'purchase' THEN 0.9 WHEN 'signup' THEN 0.4 END"
@@ -158,7 +159,7 @@ def rolling(t):
 def arena(t):
     # battles between brands that share an order; the winner follows the larger quantity
     part = t.part.select(F.col("p_partkey").alias("l_partkey"), F.col("p_brand").alias("brand"))
-    lines = t.lineitem.join(F.broadcast(part) if t.part.count() < 100_000 else part, "l_partkey")
+    lines = t.lineitem.join(broadcast_if_small(part), "l_partkey")
     a = lines.filter("l_linenumber = 1").groupBy("l_orderkey").agg(F.max_by(F.struct("brand", "l_quantity"), F.struct("l_quantity", "brand")).alias("a"))
     b = lines.filter("l_linenumber = 2").groupBy("l_orderkey").agg(F.max_by(F.struct("brand", "l_quantity"), F.struct("l_quantity", "brand")).alias("b"))
     d = F.col("a.l_quantity") - F.col("b.l_quantity")

@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from chatloom.session import spread
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -24,6 +26,10 @@ def query(name: str, sql: str | None = None):
     return wrap
 
 
+# Tables whose rows are texts or vectors: the work per row is heavy, so small files are spread over the cores.
+HEAVY_ROWS = ("documents", "conversations", "pages", "embeddings")
+
+
 class Tables:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
@@ -32,4 +38,5 @@ class Tables:
         return f"{self.sf_dir}/{name}.parquet"
 
     def __getattr__(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(name))
+        table = self.spark.read.parquet(self.path(name))
+        return spread(table) if name in HEAVY_ROWS else table

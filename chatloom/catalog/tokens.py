@@ -167,12 +167,14 @@ OFFSETS = f"""WITH d AS (SELECT doc_id, {ids('text')} AS ids, md5('42:' || doc_i
 
 @query("tk_offsets", OFFSETS + 'SELECT doc_id, s AS start, s + n AS "end" FROM o')
 def offsets(t):
-    return P.document_offsets(doc_tokens(t).select("doc_id", F.size("ids").alias("n")), hash_key("doc_id"), F.col("n")).select("doc_id", "start", "end")
+    sizes = t.documents.select("doc_id", T.token_count("text").alias("n"))
+    return P.document_offsets(sizes, hash_key("doc_id"), F.col("n")).select("doc_id", "start", "end")
 
 
 @query("tk_shard_boundaries", OFFSETS + 'SELECT doc_id, shard, "from", "to" FROM b')
 def boundaries(t):
-    o = P.document_offsets(doc_tokens(t).select("doc_id", F.size("ids").alias("n")), hash_key("doc_id"), F.col("n"))
+    sizes = t.documents.select("doc_id", T.token_count("text").alias("n"))
+    o = P.document_offsets(sizes, hash_key("doc_id"), F.col("n"))
     return P.shard_boundaries(o, SHARD, ["doc_id"]).drop("skip")
 
 

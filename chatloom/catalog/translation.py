@@ -97,7 +97,7 @@ LANGS = "['en','de','fr','xx'][(conv_id % 4)::INT + 1]"
 WORK = f"""w AS (SELECT conv_id, turn, role, text, CASE WHEN text IS NULL OR trim(text, concat(' ', chr(9), chr(10))) = '' THEN 'empty' WHEN length(trim(text)) < 20 THEN 'short'
     WHEN {LANGS} = 'xx' THEN 'unmapped' ELSE 'detected' END AS reason FROM {MARKED_TURNS}),
   v AS (SELECT *, CASE WHEN reason = 'detected' THEN {LANGS} ELSE 'en' END AS source FROM w),
-  u AS (SELECT *, CASE WHEN role = 'system' THEN 'system' WHEN source = 'de' THEN 'same' ELSE 'todo' END AS status FROM v)"""
+  u AS (SELECT *, CASE WHEN role = 'system' THEN 'system' WHEN reason = 'empty' THEN 'empty' WHEN source = 'de' THEN 'same' ELSE 'todo' END AS status FROM v)"""
 
 
 def work(t):
@@ -116,7 +116,7 @@ def report(t):
 
 @query(
     "tr_translated",
-    f"""WITH {WORK}, z AS (SELECT conv_id, turn, role, CASE WHEN status = 'todo' AND (conv_id + turn) % 3 <> 0 AND text IS NOT NULL THEN '[de] ' || text ELSE text END AS text FROM u)
+    f"""WITH {WORK}, z AS (SELECT conv_id, turn, role, CASE WHEN status = 'todo' AND text IN (SELECT text FROM w WHERE (conv_id + turn) % 3 <> 0 AND text IS NOT NULL) THEN '[de] ' || text ELSE text END AS text FROM u)
         SELECT conv_id, string_agg(role || ': ' || text, chr(10) ORDER BY turn) AS chat FROM z GROUP BY conv_id""",
 )
 def translated(t):

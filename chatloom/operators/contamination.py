@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chatloom.functions.text import col, let
-from chatloom.session import broadcast_if_small, cut_lineage, is_small
+from chatloom.session import broadcast_if_small, cut_lineage
 
 # Fixed value: the characters at which texts are cut for matching.
 MATCH_SPLIT = r'[ ,.?!:;()"\-\n\\]'
@@ -48,30 +48,28 @@ def _fields(test: DataFrame, item: str, fields: list[str]) -> DataFrame:
 def exact_matches(train: DataFrame, test: DataFrame, key: str, text: str, item: str, fields: list[str], anchor: int = 5) -> DataFrame:
     """(key, item) where every field of the item occurs in the text as a contiguous phrase.
 
-    A phrase is looked up by its first ``anchor`` tokens and verified against the whole text. While the
-    phrases are provably small the lookup and the check are fused into the scan of the corpus and only hits
-    are shuffled; beyond the bound the anchors are joined by shuffle and candidates re-joined by key.
+    A first pass finds (text, phrase) candidates by the first ``anchor`` tokens of the phrases; a second pass
+    verifies them against the whole text. Only candidates are kept in between, and the corpus itself is shuffled
+    only when the phrases or the candidates are too many to be broadcast.
     """
     parts = _fields(test, item, fields)
     phrases = (
         parts.filter(F.size("tokens") > 0)
         .withColumn("phrase", F.concat(F.lit(" "), F.array_join("tokens", " "), F.lit(" ")))
+        .withColumn("pid", F.md5("phrase"))
         .withColumn("anchor_len", F.least(F.size("tokens"), F.lit(anchor)))
         .withColumn("gram", F.array_join(F.slice("tokens", F.lit(1), F.col("anchor_len")), " "))
     )
-    lookup = phrases.select("gram", "anchor_len", "phrase").distinct()
-    lengths = sorted(r[0] for r in lookup.select("anchor_len").distinct().collect())  # at most ``anchor`` values
-    tokens = train.select(F.col(key).alias("key"), match_tokens(text).alias("tokens"))
-    body = F.concat(F.lit(" "), F.array_join("tokens", " "), F.lit(" "))
-    grams = F.array_distinct(F.concat(*[token_grams(F.col("tokens"), n) for n in lengths])) if lengths else F.array().cast("array<string>")
-    scan = tokens.select("key", body.alias("body"), F.explode(grams).alias("gram"))
-    if is_small(lookup):
-        hits = scan.join(F.broadcast(lookup), "gram").filter(F.contains("body", "phrase")).select("key", "phrase")
-    else:
-        pairs = scan.select("key", "gram").join(lookup, "gram").select("key", "phrase").distinct()
-        hits = pairs.join(tokens.select("key", body.alias("body")), "key").filter(F.contains("body", "phrase"))
-        hits = hits.select("key", "phrase")
-    found = hits.distinct().join(phrases.select("item", "field", "phrase"), "phrase")
+    lengths = sorted(r[0] for r in phrases.select("anchor_len").distinct().collect())  # at most ``anchor`` values
+    grams = let(match_tokens(text), lambda t: F.array_distinct(F.concat(*[token_grams(t, n) for n in lengths or [anchor]])))
+    scan = train.select(F.col(key).alias("key"), F.explode(grams).alias("gram"))
+    lookup = broadcast_if_small(phrases.select("gram", "pid").distinct())
+    candidates = cut_lineage(scan.join(lookup, "gram").select("key", "pid").distinct())
+    wanted = broadcast_if_small(candidates.join(broadcast_if_small(phrases.select("pid", "phrase").distinct()), "pid"))
+    texts = train.select(F.col(key).alias("key"), F.col(text).alias("_text"))
+    body = F.concat(F.lit(" "), F.array_join(match_tokens("_text"), " "), F.lit(" "))
+    hits = texts.join(wanted, "key").filter(F.contains(body, "phrase")).select("key", "pid")
+    found = hits.distinct().join(phrases.select("item", "field", "pid"), "pid")
     return (
         found.groupBy("key", "item")
         .agg(F.count_distinct("field").alias("n"))
@@ -149,8 +147,6 @@ def ngram_pairs_above(
     grams = cut_lineage(item_grams(test, item, fields, n))
     hits = cut_lineage(gram_hits(train, key, text, grams, n))
     frequency = hits.groupBy("gram").agg(F.count(F.lit(1)).alias("df"))
-    from pyspark.sql import Window
-
     by_item = Window.partitionBy("item").orderBy(F.desc("df"), "gram").rowsBetween(Window.unboundedPreceding, 0)
     rare = (
         grams.join(frequency, "gram")

@@ -102,14 +102,13 @@ def _placed(blocks: Column, kind: int, min_len: int) -> Column:
 
 def repeated_blocks(df: DataFrame, key: str, text: str, at_least: tuple[int, int] = (2, 2), min_len: tuple[int, int] = (10, 5)) -> DataFrame:
     """(key, kind, block, structured, total, first, longest, positions) of blocks that occur at least twice."""
-    t = df.select(F.col(key), F.col(text).alias("text"))
-    keep = _repeats(paragraphs("text"), at_least[0]) | _repeats(sentences("text"), at_least[1])
-    rows = t.filter(keep).select(
-        key,
-        is_structured_list("text").alias("structured"),
-        F.explode(
-            F.concat(_placed(paragraphs("text"), PARAGRAPH, min_len[0]), _placed(sentences("text"), LINE, min_len[1]))
-        ).alias("b"),
+    # blocks are cut once, into columns of their own; what follows works on the arrays
+    t = df.select(
+        F.col(key), paragraphs(text).alias("_p"), sentences(text).alias("_s"), is_structured_list(text).alias("structured")
+    )
+    rows = t.filter(_repeats(F.col("_p"), at_least[0]) | _repeats(F.col("_s"), at_least[1])).select(
+        key, "structured",
+        F.explode(F.concat(_placed(F.col("_p"), PARAGRAPH, min_len[0]), _placed(F.col("_s"), LINE, min_len[1]))).alias("b"),
     )
     return (
         rows.groupBy(key, F.col("b.kind").alias("kind"), F.col("b.block").alias("block"))

@@ -90,7 +90,7 @@ def restore(text, kept) -> Column:
 def work_list(
     turns: DataFrame, keys: list[str], role: str, text: str, detected: str, target: str, known: list[str], default: str = "en", min_chars: int = 20
 ) -> DataFrame:
-    """Every turn with source language, reason (empty, short, unmapped, detected) and status (system, same, todo).
+    """Every turn with source language, reason (empty, short, unmapped, detected) and status (system, empty, same, todo).
 
     Empty and short texts and languages outside ``known`` count as the default language.
     """
@@ -100,7 +100,9 @@ def work_list(
         .when(lang.isNull() | ~lang.isin(known), "unmapped").otherwise("detected")
     )
     source = F.when(reason == "detected", lang).otherwise(default)
-    status = F.when(F.col(role) == "system", "system").when(source == target, "same").otherwise("todo")
+    status = (
+        F.when(F.col(role) == "system", "system").when(reason == "empty", "empty").when(source == target, "same").otherwise("todo")
+    )
     return turns.select(*keys, role, text, source.alias("source"), reason.alias("reason"), status.alias("status"))
 
 

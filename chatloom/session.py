@@ -72,3 +72,13 @@ def is_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, max_bytes: int =
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
     """Broadcast hint behind a measured bound; otherwise the frame comes back without a hint."""
     return F.broadcast(df) if is_small(df, max_rows, max_bytes) else df
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores for a table that arrives in fewer pieces than there are cores.
+
+    Worth it where the work per row is much larger than the row. Large inputs have more splits than the cluster has
+    cores; they come back untouched and are not shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
