@@ -4,7 +4,7 @@ import importlib
 
 from chatloom.catalog.registry import ORACLES, QUERIES
 
-MODULES = ["contamination", "filters", "repetition", "conversions", "matching", "mixing", "tokens", "statistics", "preferences", "evaluation", "translation", "verifiers", "sources", "streaming"]
+MODULES = ["contamination", "filters", "repetition", "conversions", "matching", "mixing", "tokens", "statistics", "preferences", "evaluation", "translation", "verifiers", "sources", "streaming", "plans"]
 
 
 def load():

@@ -108,8 +108,13 @@ def prompt_ids(messages, template: ChatTemplate, tokenizer: Tokenizer = word_ids
     """Ids of everything before a final answer, with the generation prompt."""
     m = col(messages)
     prompt = F.when(F.size(m) > 1, F.slice(m, F.lit(1), F.size(m) - 1)).otherwise(m)
-    texts = F.concat(F.array(opening(m, template)), segments(prompt, template, generate=True), F.array(F.lit(template.generation)))
-    return F.flatten(tokenizer(texts))
+    return F.flatten(tokenizer(segments_for_prompt(prompt, template)))
+
+
+def segments_for_prompt(prompt, template: ChatTemplate) -> Column:
+    """Opening, turns and generation prompt of a chat that waits for an answer."""
+    p = col(prompt)
+    return F.concat(F.array(opening(p, template)), segments(p, template, generate=True), F.array(F.lit(template.generation)))
 
 
 def has_labels(labels) -> Column:

@@ -53,7 +53,7 @@ def exact_matches(train: DataFrame, test: DataFrame, key: str, text: str, item:
     only when the phrases or the candidates are too many to be broadcast.
     """
     parts = _fields(test, item, fields)
-    phrases = (
+    phrases = cut_lineage(
         parts.filter(F.size("tokens") > 0)
         .withColumn("phrase", F.concat(F.lit(" "), F.array_join("tokens", " "), F.lit(" ")))
         .withColumn("pid", F.md5("phrase"))
@@ -131,7 +131,7 @@ def _coverage(triples: DataFrame) -> DataFrame:
 
 def ngram_pairs(train: DataFrame, test: DataFrame, key: str, text: str, item: str, fields: list[str], n: int) -> DataFrame:
     """(key, item, score) of every text and item that share a gram: the full match report."""
-    grams = item_grams(test, item, fields, n)
+    grams = cut_lineage(item_grams(test, item, fields, n))
     hits = gram_hits(train, key, text, grams, n)
     return _named(_coverage(hits.join(broadcast_if_small(grams), "gram")), key, item)
 
@@ -185,12 +185,14 @@ def match_matrix(scores: DataFrame, train_set: str, eval_set: str, threshold: fl
 
 def drop_contaminated(train: DataFrame, contaminated: DataFrame, key: str) -> DataFrame:
     """The rows that match no evaluation set."""
-    return train.join(broadcast_if_small(contaminated.select(key).distinct()), key, "left_anti")
+    ids = cut_lineage(contaminated.select(key).distinct())
+    return train.join(broadcast_if_small(ids), key, "left_anti")
 
 
 def kept_report(train: DataFrame, contaminated: DataFrame, key: str) -> DataFrame:
     """Totals and kept percentage in one pass."""
-    flag = broadcast_if_small(contaminated.select(key).distinct()).withColumn("hit", F.lit(1))
+    ids = cut_lineage(contaminated.select(key).distinct().withColumn("hit", F.lit(1)))
+    flag = broadcast_if_small(ids)
     return train.select(key).join(flag, key, "left").agg(
         F.count(F.lit(1)).alias("total"),
         F.count("hit").alias("removed"),

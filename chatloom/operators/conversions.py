@@ -6,9 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chatloom.functions.chat import (
-    by_role, flat, last_assistant, last_message, merge_same_role, message, no_messages, replace_last, user_assistant,
+    flat, last_message, merge_same_role, message, no_messages, replace_last, user_assistant,
 )
-from chatloom.functions.text import col, find_all, hash_key, is_blank, last_of, let, replace_all, split_words, steps, strip
+from chatloom.functions.text import any_of, col, find_all, hash_key, is_blank, last_of, let, replace_all, split_words, steps, strip
 
 # Senders of the exported conversation formats.
 SENDER_ROLES = {
@@ -534,12 +534,9 @@ def convert_with_spec(df: DataFrame, spec: dict) -> DataFrame:
     return transform_source(df, m, spec.get("rename"), spec.get("keep", []))
 
 
-def last_turns(messages) -> Column:
-    return last_assistant(messages)["content"]
-
-
-def first_user(messages) -> Column:
-    return F.get(by_role(messages, "user"), F.lit(0))["content"]
+def without_tools(tool_columns: list) -> Column:
+    """False where one of the tool lists is not empty."""
+    return ~any_of(F.coalesce(F.size(col(c)) > 0, F.lit(False)) for c in tool_columns)
 
 
 def word_count(c) -> Column:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from chatloom.functions.text import col, hash_key
 from chatloom.operators.ordering import row_numbers
 from chatloom.operators.statistics import bin_index, linear_edges
-from chatloom.session import broadcast_if_small
+from chatloom.session import broadcast_if_small, cut_lineage
 
 
 # --- win rates -------------------------------------------------------------------------------
@@ -151,7 +151,7 @@ def rolling_band(series: DataFrame, run: str, step: str, value: str, at_least: f
     rows = series if at_least is None else series.filter(F.col(value) >= at_least)
     # blocks of equal step width; the order value is the step itself
     numbered = row_numbers(rows, F.col(step), "_n", F.floor(F.col(step) / F.lit(block * 10)), [run])
-    sizes = numbered.groupBy(run).agg(F.count(F.lit(1)).alias("_size"))
+    sizes = cut_lineage(rows.groupBy(run).agg(F.count(F.lit(1)).alias("_size")))
     half = F.when(F.col("_size") < window, F.greatest(F.floor(F.col("_size") / 3), F.lit(1))).otherwise(window)
     sized = numbered.join(broadcast_if_small(sizes), run).withColumn("_half", F.floor(half / 2))
     home = F.floor(F.col("_n") / block)
@@ -180,7 +180,7 @@ def rolling_band(series: DataFrame, run: str, step: str, value: str, at_least: f
 def well_known(human: DataFrame, at_least: int = 500) -> DataFrame:
     """Human battles between models that have at least ``at_least`` of them."""
     seen = human.select(F.explode(F.array("model_a", "model_b")).alias("m")).groupBy("m").agg(F.count(F.lit(1)).alias("n"))
-    names = F.broadcast(seen.filter(F.col("n") >= at_least).select("m"))  # one row per model
+    names = broadcast_if_small(cut_lineage(seen.filter(F.col("n") >= at_least).select("m")))  # one row per model
     return human.join(names, F.col("model_a") == F.col("m"), "left_semi").join(names, F.col("model_b") == F.col("m"), "left_semi")
 
 
@@ -197,7 +197,7 @@ def bradley_terry(battles: DataFrame, target: str, at_least: int = 100, replicat
     a Poisson(1) count drawn from its hash. What is fitted is only models × models numbers per replicate.
     """
     seen = battles.select(F.explode(F.array("model_a", "model_b")).alias("m")).groupBy("m").agg(F.count(F.lit(1)).alias("n"))
-    names = F.broadcast(seen.filter((F.col("n") >= at_least) | (F.col("m") == target)).select("m"))
+    names = broadcast_if_small(cut_lineage(seen.filter((F.col("n") >= at_least) | (F.col("m") == target)).select("m")))
     kept = battles.join(names, F.col("model_a") == F.col("m"), "left_semi").join(names, F.col("model_b") == F.col("m"), "left_semi")
     u = lambda r: F.conv(F.substring(hash_key(F.concat_ws(":", "battle", r), seed), 1, 8), 16, 10).cast("double") / F.lit(float(2**32))
     rows = kept.select("battle", "model_a", "model_b", "winner", F.explode(F.sequence(F.lit(0), F.lit(replicates - 1))).alias("rep"))

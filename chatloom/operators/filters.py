@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chatloom.functions.chat import by_role, last_assistant, last_message
+from chatloom.functions.chat import last_assistant, last_message
 from chatloom.functions.text import any_of, col, count_matches, find_all, is_blank, let, occurrences
 
 # Vendor names that disqualify an assistant turn.
@@ -236,5 +236,3 @@ def passed_tests(tests, results, min_rate: float = 0.8) -> tuple[Column, Column]
     return (F.size(results) > 0) & (rate >= min_rate), passed
 
 
-def assistant_text(messages) -> Column:
-    return F.transform(by_role(messages, "assistant"), lambda m: m["content"])

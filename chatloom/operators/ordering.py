@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from chatloom.session import broadcast_if_small
+from chatloom.session import broadcast_if_small, cut_lineage
 
 BLOCK_DIGITS = 4
 
@@ -29,7 +29,8 @@ def running_total(df: DataFrame, order: Column, value: Column, name: str, block:
     keys = [*groups, "_b"]
     totals = rows.groupBy(*keys).agg(F.sum("_v").alias("_t"))
     before = Window.partitionBy(*groups).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(*keys, F.coalesce(F.sum("_t").over(before), F.lit(0)).alias("_off"))
+    # the block table is kept: it is read for the size check and for the join
+    offsets = cut_lineage(totals.select(*keys, F.coalesce(F.sum("_t").over(before), F.lit(0)).alias("_off")))
     inside = Window.partitionBy(*keys).orderBy("_o").rowsBetween(Window.unboundedPreceding, -1)
     local = rows.withColumn("_s", F.coalesce(F.sum("_v").over(inside), F.lit(0)))
     return local.join(broadcast_if_small(offsets), keys).withColumn(name, F.col("_off") + F.col("_s")).drop("_o", "_v", "_b", "_off", "_s")

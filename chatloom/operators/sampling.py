@@ -77,6 +77,8 @@ def train_test(df: DataFrame, key, test_percent: int = 10, seed: int = 42) -> Da
 
 def first_k(df: DataFrame, groups: list[str], order: list, k: int) -> DataFrame:
     """The first k rows per group; the row-number limit is applied before the shuffle as well (k up to 1000)."""
+    if k > 1000:
+        raise ValueError("the limit works before the shuffle up to 1000 rows per group; use take() for more")
     w = Window.partitionBy(*groups).orderBy(*order)
     return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= k).drop("_rn")
 

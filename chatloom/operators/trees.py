@@ -8,8 +8,6 @@ from pyspark.sql import functions as F
 from chatloom.functions.chat import MESSAGES_DDL
 from chatloom.session import cut_lineage
 
-ROLE = {"prompter": "user", "assistant": "assistant"}
-
 
 def _role(c: Column) -> Column:
     return F.when(c == "assistant", "assistant").otherwise("user")

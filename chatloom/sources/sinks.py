@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chatloom.functions.text import is_blank
-from chatloom.session import broadcast_if_small
+from chatloom.session import broadcast_if_small, cut_lineage
 
 
 def write_by_language(df: DataFrame, path: str, language: str, dataset: str, min_samples: int = 1, rows_per_file: int = 1_000_000) -> DataFrame:
@@ -16,7 +16,7 @@ def write_by_language(df: DataFrame, path: str, language: str, dataset: str, min
     written by all tasks at once.
     """
     named = df.filter(~is_blank(language))
-    counts = named.groupBy(language).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_samples)
+    counts = cut_lineage(named.groupBy(language).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_samples))
     kept = named.join(broadcast_if_small(counts.select(language)), language, "left_semi")
     kept.withColumn("dataset", F.lit(dataset)).write.mode("overwrite").option("maxRecordsPerFile", rows_per_file).partitionBy(
         "dataset", language
