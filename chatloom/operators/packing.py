@@ -80,7 +80,8 @@ def pack(df: DataFrame, pack_length: int, pad: int, use_mask: bool = False) -> D
     """Next-fit packs per bucket from (bucket, pos, query, response, mask, logprobs); pad tokens are removed.
 
     Inside a pack every sequence has its own attention number and restarting positions; response tokens carry the
-    one-based number of their row in the bucket, and the last token of a row is marked as done with it.
+    one-based number of their row in the bucket, and the last token of a row is marked as done with it. Query tokens
+    have no log probability (null).
     """
 
     def rows_of(pdf: pd.DataFrame):
