@@ -105,13 +105,9 @@ def resize(df: DataFrame, target: int, key: str, seed: int = 42, total: int | No
     if total == 0:
         return df
     copies, extra = divmod(target, total)
+    times = F.lit(copies)
     if extra:
-        tagged = df.withColumn("_all", F.lit(0))
-        quotas = df.sparkSession.range(1).select(F.lit(0).alias("_all"), F.lit(extra).cast("long").alias("quota"))
-        cut = S.thresholds(tagged, ["_all"], quotas, key, seed).first()["cut"]
-        times = F.lit(copies) + (hash_key(key, seed) <= cut).cast("int")
-    else:
-        times = F.lit(copies)
+        times = times + (hash_key(key, seed) <= S.cut_hash(df, extra, key, seed)).cast("int")
     numbered = df.withColumn("_times", times).filter("_times > 0")
     return numbered.withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("_times") - 1))).drop("_times")
 

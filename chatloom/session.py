@@ -26,6 +26,8 @@ def local_session(cpus: str = "*", app: str = "chatloom") -> SparkSession:
         .config("spark.driver.memory", "12g")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # small local inputs with heavy work per row: do not merge them into one task
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "128k")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
     spark = builder.getOrCreate()
@@ -39,13 +41,14 @@ def shared_dir(spark: SparkSession) -> str:
     Only where the setting is absent on a local master (tests) is a temporary folder made and
     registered; a cluster without the setting is an error, never a machine-local folder.
     """
-    configured = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    configured = context.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
         configured = tempfile.mkdtemp(prefix="chatloom-")
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(configured)
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(configured)
     return configured
 
 
@@ -61,8 +64,11 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 
 def is_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, max_bytes: int = BROADCAST_MAX_BYTES) -> bool:
-    """Measure rows and serialised bytes of ``df``, reading at most ``max_rows + 1`` rows."""
-    probe = df.limit(max_rows + 1).agg(
+    """Measure rows and serialised bytes of ``df`` in one distributed aggregate.
+
+    Frames that are costly to compute should be cut off with ``cut_lineage`` first, so that they are computed once.
+    """
+    probe = df.agg(
         F.count(F.lit(1)).alias("n"),
         F.coalesce(F.sum(F.length(F.to_json(F.struct(*df.columns)))), F.lit(0)).alias("b"),
     ).first()
