@@ -296,9 +296,9 @@ def placeholders(t):
 )
 def tags(t):
     df = t.documents.select(
-        "doc_id", F.expr("CASE source WHEN 'src1' THEN array('x', 'OLMo') WHEN 'src2' THEN array('no-tools') WHEN 'src3' THEN NULL ELSE array('tulu') END").alias("tags")
+        "doc_id", F.expr("CASE source WHEN 'src1' THEN array('x', 'LooM') WHEN 'src2' THEN array('no-tools') WHEN 'src3' THEN NULL ELSE array('other') END").alias("tags")
     )
-    return df.filter(C.keep_by_tags("tags", ["olmo", "no-tools"])).select("doc_id")
+    return df.filter(C.keep_by_tags("tags", ["loom", "no-tools"], {"loom": ["loom", "LooM"]})).select("doc_id")
 
 
 @query(

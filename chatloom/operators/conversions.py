@@ -309,15 +309,14 @@ def fill_placeholders(messages, replacements: dict[str, str], system: str | None
     return F.when(has, filled).otherwise(F.concat(F.array(message("system", F.lit(text))), filled))
 
 
-# Tag spellings behind each filter tag.
-TAG_SPELLINGS = {
-    "olmo": ["olmo", "OLMo"], "tulu": ["tulu", "Tülu", "Tulu"], "date-cutoff": ["date-cutoff"],
-    "no-tools": ["no-tools"], "english-only": ["english-only"],
-}
+# The general filter tags. Tags that are names come with their spellings from the caller.
+GENERAL_TAGS = ["date-cutoff", "no-tools", "english-only"]
 
 
-def keep_by_tags(tags, filter_tags: list[str]) -> Column:
-    bad = [s for t in filter_tags for s in TAG_SPELLINGS.get(t, [])]
+def keep_by_tags(tags, filter_tags: list[str], spellings: dict[str, list[str]] | None = None) -> Column:
+    """False where a row carries one of the filter tags, in any of its spellings; unknown filter tags match nothing."""
+    known = {**{t: [t] for t in GENERAL_TAGS}, **(spellings or {})}
+    bad = [s for t in filter_tags for s in known.get(t, [])]
     if not bad:
         return F.lit(True)
     return ~F.coalesce(F.arrays_overlap(col(tags), F.array(*[F.lit(b) for b in bad])), F.lit(False))

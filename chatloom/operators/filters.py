@@ -24,25 +24,25 @@ PROVIDERS = [
     "OpenAI", "Open AI", "Claude", "Gemini", "Qwen", "DeepSeek", "Anthropic", "Meta AI", "Meta's", "ChatGPT",
     "Cohere", "Mistral AI", "Mistral's", "xAI", "Perplexity",
 ]
-# Patterns of self-identification, {P} is any provider, ~ a gap inside one sentence.
+# Patterns of self-identification, {P} is any provider.
 IDENTITY_PATTERNS = [
-    r"\bI'?m\s+({P}),?\s+an?\s+AI\s+(?:assistant|model)~(?:made|developed|created|trained)\s+by\s+({P})\b~[.!?]",
-    r"\b({P})\s+is\s+an?\s+AI\s+(?:assistant|model)~(?:developed|created|made|trained)\s+by\s+({P})\b~[.!?]",
-    r"\bas\s+an?\s+(?:language\s+model|AI\s+model|assistant|chatbot|model)~\b({P})\b~[.!?]",
-    r"\bas\s+an\s+AI\s+(?:developed|created|made|trained)\s+by\s+({P})\b~[.!?]",
-    r"\bI\s+am\s+(?:a\s+)?(?:language\s+model|AI\s+model|assistant|chatbot|model)~\b({P})\b~[.!?]",
-    r"\bI\s+am\s+called\s+\b({P})\b~[.!?]",
-    r"\b(?:I'?m|I\s+am)\s+\b({P})\b~[.!?]",
-    r"\btrained\s+by\s+~?\b({P})\b~[.!?]",
-    r"\bdeveloped\s+by\s+~?\b({P})\b~[.!?]",
-    r"\bcreated\s+by\s+~?\b({P})\b~[.!?]",
-    r"\bmade\s+by\s+~?\b({P})\b~[.!?]",
-    r"\bagainst\s+({P})(?:'s|'s)?\s+(?:use-case\s+)?(?:policy|policies|guidelines|terms)~[.!?]",
-    r"\b({P})(?:'s|'s)\s+(?:policy|policies|guidelines|terms|use-case)~[.!?]",
-    r"[^.!?]{0,250}?\bDeepSeek\b~[.!?]",
-    r"[^.!?]{0,250}?\bQwen\b~[.!?]",
-    r"[^.!?]{0,250}?\bAlibaba\s+Qwen\b~[.!?]",
-    r"[^.!?]{0,250}?\bAlibaba\s+Cloud\b~[.!?]",
+    r"\bI'?m\s+({P}),?\s+an?\s+AI\s+(?:assistant|model)[^.!?]{0,100}(?:made|developed|created|trained)\s+by\s+({P})\b[^.!?]{0,100}[.!?]",
+    r"\b({P})\s+is\s+an?\s+AI\s+(?:assistant|model)[^.!?]{0,100}(?:developed|created|made|trained)\s+by\s+({P})\b[^.!?]{0,100}[.!?]",
+    r"\bas\s+an?\s+(?:language\s+model|AI\s+model|assistant|chatbot|model)[^.!?]{0,100}\b({P})\b[^.!?]{0,100}[.!?]",
+    r"\bas\s+an\s+AI\s+(?:developed|created|made|trained)\s+by\s+({P})\b[^.!?]{0,100}[.!?]",
+    r"\bI\s+am\s+(?:a\s+)?(?:language\s+model|AI\s+model|assistant|chatbot|model)[^.!?]{0,100}\b({P})\b[^.!?]{0,100}[.!?]",
+    r"\bI\s+am\s+called\s+\b({P})\b[^.!?]{0,100}[.!?]",
+    r"\b(?:I'?m|I\s+am)\s+\b({P})\b[^.!?]{0,100}[.!?]",
+    r"\btrained\s+by\s+[^.!?]{0,100}?\b({P})\b[^.!?]{0,100}[.!?]",
+    r"\bdeveloped\s+by\s+[^.!?]{0,100}?\b({P})\b[^.!?]{0,100}[.!?]",
+    r"\bcreated\s+by\s+[^.!?]{0,100}?\b({P})\b[^.!?]{0,100}[.!?]",
+    r"\bmade\s+by\s+[^.!?]{0,100}?\b({P})\b[^.!?]{0,100}[.!?]",
+    r"\bagainst\s+({P})(?:'s|'s)?\s+(?:use-case\s+)?(?:policy|policies|guidelines|terms)[^.!?]{0,100}[.!?]",
+    r"\b({P})(?:'s|'s)\s+(?:policy|policies|guidelines|terms|use-case)[^.!?]{0,100}[.!?]",
+    r"[^.!?]{0,250}?\bDeepSeek\b[^.!?]{0,100}[.!?]",
+    r"[^.!?]{0,250}?\bQwen\b[^.!?]{0,100}[.!?]",
+    r"[^.!?]{0,250}?\bAlibaba\s+Qwen\b[^.!?]{0,100}[.!?]",
+    r"[^.!?]{0,250}?\bAlibaba\s+Cloud\b[^.!?]{0,100}[.!?]",
 ]
 # Fixed value: mentions of a knowledge cutoff with a year.
 CUTOFF_PATTERN = (
@@ -77,7 +77,7 @@ def mentions_vendor_legacy(text) -> Column:
 
 
 def identity_patterns() -> list[str]:
-    return [p.replace("~", "[^.!?]{0,100}").replace("{P}", "|".join(PROVIDERS)) for p in IDENTITY_PATTERNS]
+    return [p.replace("{P}", "|".join(PROVIDERS)) for p in IDENTITY_PATTERNS]
 
 
 def identifies_itself(text) -> Column:

@@ -65,22 +65,23 @@ def verdict_summary(verdicts: DataFrame) -> DataFrame:
 
 def protect(text) -> Column:
     """Struct (text, kept): code, links and addresses replaced by numbered marks, with what they stand for."""
-    return F.pandas_udf(_protect, "text string, kept array<struct<mark:string,original:string>>")(text)
-
-
-def _protect(texts: pd.Series) -> pd.DataFrame:
-    out, kept = [], []
-    for text in texts:
-        pairs, done = [], text
-        if text is not None:
-            for i, pattern in enumerate(PRESERVED):
-                for j, found in enumerate(re.findall(pattern, done)):
-                    mark = f"__PRESERVE_{i}_{j}__"
-                    done = done.replace(found, mark, 1)
-                    pairs.append({"mark": mark, "original": found})
-        out.append(done)
-        kept.append(pairs)
-    return pd.DataFrame({"text": out, "kept": kept})
+    patterns = list(PRESERVED)
+
+    def mark_all(texts: pd.Series) -> pd.DataFrame:
+        out, kept = [], []
+        for text in texts:
+            pairs, done = [], text
+            if text is not None:
+                for i, pattern in enumerate(patterns):
+                    for j, found in enumerate(re.findall(pattern, done)):
+                        mark = f"__PRESERVE_{i}_{j}__"
+                        done = done.replace(found, mark, 1)
+                        pairs.append({"mark": mark, "original": found})
+            out.append(done)
+            kept.append(pairs)
+        return pd.DataFrame({"text": out, "kept": kept})
+
+    return F.pandas_udf(mark_all, "text string, kept array<struct<mark:string,original:string>>")(text)
 
 
 def restore(text, kept) -> Column:

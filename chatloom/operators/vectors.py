@@ -11,12 +11,7 @@ from pyspark.sql import functions as F
 
 from chatloom.operators.sampling import first_k
 
-QUERY_BLOCK = 4096  # queries held in memory by a task at a time: the proven bound of the broadcast
-
-
-def _unit(m: np.ndarray) -> np.ndarray:
-    norm = np.linalg.norm(m, axis=1, keepdims=True)
-    return m / np.where(norm == 0, 1, norm)
+QUERY_BLOCK = 1024  # queries held in memory by a task at a time: the proven bound of the broadcast
 
 
 def top_matches(corpus: DataFrame, queries: DataFrame, key: str, vector: str, k: int = 5, block: int = QUERY_BLOCK) -> DataFrame:
@@ -25,6 +20,12 @@ def top_matches(corpus: DataFrame, queries: DataFrame, key: str, vector: str, k:
     Queries travel in blocks of bounded size; one pass over the corpus per block keeps k candidates per query and
     task, and the final cut sees only those. With more queries than a block holds, the passes are put together.
     """
+
+    # kernels carry what they need, so executors do not have to import this package
+    def unit(m: np.ndarray) -> np.ndarray:
+        norm = np.linalg.norm(m, axis=1, keepdims=True)
+        return m / np.where(norm == 0, 1, norm)
+
     spark = corpus.sparkSession
     blocks = max(1, -(-queries.count() // block))
     numbered = queries.select(F.col(key).alias("query"), F.col(vector).alias("v"), F.pmod(F.xxhash64(key), F.lit(blocks)).alias("b"))
@@ -36,7 +37,7 @@ def top_matches(corpus: DataFrame, queries: DataFrame, key: str, vector: str, k:
         ids = rows["query"].to_numpy()
         if not len(ids):
             continue
-        shared = spark.sparkContext.broadcast((ids, _unit(np.stack(rows["v"].to_numpy()).astype("float64"))))
+        shared = spark.sparkContext.broadcast((ids, unit(np.stack(rows["v"].to_numpy()).astype("float64"))))
 
         def scan(parts: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
             ids, q = shared.value
@@ -46,7 +47,7 @@ def top_matches(corpus: DataFrame, queries: DataFrame, key: str, vector: str, k:
                 if not len(pdf):
                     continue
                 keys = pdf["key"].to_numpy(dtype="int64")
-                scores = np.concatenate([best_s, np.round(q @ _unit(np.stack(pdf["v"].to_numpy()).astype("float64")).T, 9)], axis=1)
+                scores = np.concatenate([best_s, np.round(q @ unit(np.stack(pdf["v"].to_numpy()).astype("float64")).T, 9)], axis=1)
                 all_k = np.concatenate([best_k, np.broadcast_to(keys, (len(ids), len(keys)))], axis=1)
                 order = np.lexsort((all_k, -scores), axis=1)[:, :k]
                 best_s, best_k = np.take_along_axis(scores, order, 1), np.take_along_axis(all_k, order, 1)
