@@ -4,7 +4,8 @@ from pyspark.sql import functions as F
 
 from chatloom.catalog.data import MARKED_TURNS, marked_turns
 from chatloom.catalog.filters import sql_text
-from chatloom.catalog.registry import query
+from chatloom.catalog.registry import ORACLES, query
+from chatloom.catalog.statistics import detected
 from chatloom.catalog.tokens import toks
 from chatloom.functions import constraints as K
 from chatloom.functions import verifiers as V
@@ -290,3 +291,12 @@ def constraint_score(t):
     family = K.keyed_constraints()
     flags = F.array(*[K.check(F.lit(s[0]), "text", arguments(s[1]), {s[0]: family[s[0]]}) for s in KEYED[:4]])
     return turns.select("conv_id", "turn", F.round(K.constraint_score("text", flags), 6).alias("score"))
+
+
+@query("vf_language_constraint", f"SELECT doc_id, detected = 'en' AS satisfied FROM ({ORACLES['ag_detect_language']})")
+def language_constraint(t):
+    found = detected(t).select("doc_id", "detected")
+    rows = found.select("doc_id", "detected", F.lit("x").alias("text"), F.lit("validate_response_language").alias("kind"), arguments({"language": "en"}).alias("args"))
+    family = K.simple_constraints(F.col("detected"))
+    rule = {"validate_response_language": family["validate_response_language"]}
+    return rows.select("doc_id", K.check("kind", "text", "args", rule).alias("satisfied"))

@@ -155,7 +155,8 @@ def rolling_band(series: DataFrame, run: str, step: str, value: str, at_least: f
     half = F.when(F.col("_size") < window, F.greatest(F.floor(F.col("_size") / 3), F.lit(1))).otherwise(window)
     sized = numbered.join(broadcast_if_small(sizes), run).withColumn("_half", F.floor(half / 2))
     home = F.floor(F.col("_n") / block)
-    homes = F.array_distinct(F.array(home, F.floor((F.col("_n") - F.col("_half")) / block), F.floor((F.col("_n") + F.col("_half")) / block)))
+    # every block a row's window reaches into gets a copy, also when a block is narrower than the window
+    homes = F.sequence(F.floor((F.col("_n") - F.col("_half")) / block), F.floor((F.col("_n") + F.col("_half")) / block))
     spread = sized.withColumn("_home", home).withColumn("_block", F.explode(homes)).filter("_block >= 0")
     widest = window // 2
     near = Window.partitionBy(run, "_block").orderBy("_n").rowsBetween(-widest, widest)
