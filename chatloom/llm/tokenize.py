@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import sys
@@ -13,11 +14,20 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-REMEMBERED = 250_000  # words in each of the two generations of a worker's memory
+REMEMBERED = 200_000  # words, and pieces of words, in each of the two generations of a worker's memory
 LONG = 64  # longer words are not remembered
 CHUNK = 256  # texts that are encoded together
 
 
+# The normaliser and the pieces of the lower-case word tokenizer, and the characters on which they need no more than lower().
+LOWER_WORDS = {
+    "normalizer": {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    "pattern": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+",
+}
+PLAIN = "[!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+"
+PIECES = "'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|[^\\sa-z0-9\u00df-\u00f6\u00f8-\u00ff]+"
+
+
 class Words:
     """Encodes texts of a tokenizer that drops white space and never joins across it. ``whole`` turns the memory off."""
 
@@ -30,12 +40,42 @@ class Words:
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
         self.whole = whole
+        spec = json.loads(self.tokenizer.to_str())
+        known = spec["normalizer"] == LOWER_WORDS["normalizer"] and LOWER_WORDS["pattern"] in json.dumps(spec["pre_tokenizer"], ensure_ascii=False).replace("\\\\", "\\")
+        self.plain = re.compile(PLAIN if known else r"(?!)")
+        self.cut = re.compile(PIECES)
+        self.young_pieces: dict[str, bytes] = {}
+        self.old_pieces: dict[str, bytes] = {}
+        if known:  # words of plain characters: their pieces are remembered, and new ones go to the merges directly
+            from tokenizers.pre_tokenizers import ByteLevel
+
+            self.merges = Tokenizer(self.tokenizer.model)
+            level = ByteLevel(add_prefix_space=False, use_regex=False)
+            self.shown = {c: level.pre_tokenize_str(chr(c))[0][0] for c in [*range(0x21, 0x7F), *range(0xC0, 0x100)]}
         # separators that str.split() knows and the tokenizer does not
         self.odd = re.compile("[\x1c-\x1f]")
 
     def packed(self, texts: list[str]) -> list[bytes]:
         return [np.asarray(e.ids, self.kind).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def from_pieces(self, words: list[str]) -> list[bytes]:
+        if len(self.young_pieces) > REMEMBERED:
+            self.old_pieces, self.young_pieces = self.young_pieces, {}
+        parts = [self.cut.findall(w.lower()) for w in words]
+        fresh = set().union(*parts).difference(self.young_pieces)
+        for p in [p for p in fresh if p in self.old_pieces]:
+            self.young_pieces[p] = self.old_pieces[p]
+            fresh.discard(p)
+        new = list(fresh)
+        ids = self.merges.encode_batch_fast([p.translate(self.shown) for p in new], add_special_tokens=False)
+        self.young_pieces.update((p, np.asarray(e.ids, self.kind).tobytes()) for p, e in zip(new, ids, strict=True))
+        get = self.young_pieces.__getitem__
+        out = [b"".join(map(get, p)) for p in parts]
+        for p in new:
+            if len(p) > LONG:
+                del self.young_pieces[p]
+        return out
+
     def encode(self, texts: list[str]) -> list[bytes]:
         if self.whole:
             return self.packed(texts)
@@ -47,7 +87,10 @@ class Words:
             self.young[w] = self.old[w]
             fresh.discard(w)
         unknown = list(fresh)
-        self.young.update(zip(unknown, self.packed(unknown), strict=True))
+        plain = [w for w in unknown if self.plain.fullmatch(w) and "<|" not in w]
+        self.young.update(zip(plain, self.from_pieces(plain), strict=True))
+        other = [w for w in unknown if w not in self.young]
+        self.young.update(zip(other, self.packed(other), strict=True))
         get = self.young.__getitem__
         out = [self.packed([t])[0] if w is None else b"".join(map(get, w)) for t, w in zip(texts, split, strict=True)]
         for w in unknown:
