@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,3 +37,22 @@ def components(edges: DataFrame) -> DataFrame:
             return now
         before = state
         now = cut(_small(_large(now)))
+
+
+def forest(pairs: np.ndarray) -> list[tuple[int, int]]:
+    """Of (i, j) pairs, those that first join two trees."""
+    parent: dict[int, int] = {}
+
+    def root(i: int) -> int:
+        while parent.setdefault(i, i) != i:
+            parent[i] = parent[parent[i]]
+            i = parent[i]
+        return i
+
+    out = []
+    for i, j in pairs.tolist():
+        a, b = root(i), root(j)
+        if a != b:
+            parent[a] = b
+            out.append((i, j))
+    return out

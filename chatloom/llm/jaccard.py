@@ -7,11 +7,12 @@ each document's component, so the join has to decide every pair of classes in di
    link share a shingle among the first ``n - ceil(similarity * n) + 1`` of each; a class enters the region of each of these shingles. Shingles that a
    scan finds frequent come last in the order, which any fixed order allows; so boilerplate makes no region unless a text is little else.
 2. Small regions are joined directly: sizes, places and the counts of shingles by leading bits bound each pair from above, what is left is counted exactly.
-3. Large regions take documents as pivots. Every member's exact distance to the pivots gives links (members near a pivot need no pairs among them: they are
-   in its component) and a region: the nearest pivot within ``NEAR``, or the outer region. By the triangle inequality a member can only link into a pivot's
-   region if it is within the region's radius plus the linking distance of it, and into the outer region if it is farther than ``NEAR`` less
-   that distance from every pivot; boundary members are replicated by these windows. Regions in one component are done, small ones are joined directly, the
-   others recurse with new pivots. A region that no longer shrinks is joined in blocks, each pair of blocks a group of its own.
+3. Large regions that overlap in most of their members are merged into one. Their members take documents as pivots. Every member's exact distance to the
+   pivots gives links (members near a pivot need no pairs among them: they are in its component) and a region: the nearest pivot within ``NEAR``, or the
+   outer region. By the triangle inequality a member can only link into a pivot's region if it is within the region's radius plus the linking
+   distance of it, and into the outer region if it is farther than ``NEAR`` less that distance from every pivot; boundary members are replicated by these
+   windows. Regions in one component are done; regions that the windows divide recurse with new pivots; small ones, and those whose members are all about as
+   far from each other, are decided in blocks: the sets of two blocks meet in one group, which counts all intersections and gives back a spanning forest.
 
 No pair is left out: every window follows from the metric or from counts. Sets are held as 64-bit hashes; a class's name has 128 bits and a collision of
 its first half is looked for and answered with another seed. Nothing but frequent shingles (a bounded number of them, which only move in the order) and
@@ -32,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chatloom.llm import shingles as S
-from chatloom.llm.components import components
+from chatloom.llm.components import components, forest
 from chatloom.llm.frames import cut
 from chatloom.session import broadcast_if_small
 
@@ -43,8 +44,8 @@ BUCKET = 250_000  # entries of first regions that one group holds
 SMALL = 64  # members of a region that are paired directly
 PIVOTS = 4
 NEAR = 0.6
-DEPTH = 3  # recursions before a region that is still large is joined in blocks
-BLOCK = 1024
+DEPTH = 4  # recursions before a region that is still large is decided in blocks
+BLOCK, BLOCK_SHINGLES = 1024, 150_000  # members and shingles of a block
 
 
 def need(a, b, percent: int):
@@ -188,8 +189,7 @@ def decided(pairs: DataFrame, docs: DataFrame, classes: DataFrame, percent: int,
     limits = cut(pairs)
     close = limits.filter(100 * F.col("most") >= percent * (F.col("nx") + F.col("ny") - F.col("most")))
     used = cut(close.select(F.explode(F.array("x", "y")).alias("cls")).distinct().join(classes.select("cls", "h"), "cls"))
-    texts = docs.select(F.xxhash64(text).alias("h"), F.col(text).alias("_text")).join(broadcast_if_small(used), "h")
-    texts = texts.groupBy("cls").agg(F.first("_text").alias("_text"))
+    texts = texts_of(used, docs, text)
     both = close.join(texts.select(F.col("cls").alias("x"), F.col("_text").alias("tx")), "x").join(texts.select(F.col("cls").alias("y"), F.col("_text").alias("ty")), "y")
 
     def counted(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -226,8 +226,21 @@ def stars(members: DataFrame) -> tuple[DataFrame, DataFrame]:
     return pivots, pairs
 
 
+def merged(members: DataFrame) -> DataFrame:
+    """Members (region, x, y) with regions that share members made one, where that is at most twice the largest of them."""
+    sizes = members.groupBy("region").agg(F.count(F.lit(1)).alias("m"), F.min("x").alias("first"))
+    sized = cut(members.join(sizes, "region"))
+    of = components(sized.select("x", "first")).select(F.col("u").alias("first"), F.col("v").alias("of"))
+    sized = sized.join(of, "first", "left").withColumn("of", F.coalesce("of", "first"))
+    one = sized.groupBy("of", "x").agg(F.max("y").alias("y"))
+    small = one.groupBy("of").agg(F.count(F.lit(1)).alias("n")).join(sized.groupBy("of").agg(F.max("m").alias("largest")), "of").filter("n <= 2 * largest").select("of")
+    small = cut(small)
+    apart = sized.join(small, "of", "left_anti").select("region", "x", "y")
+    return cut(one.join(small, "of").select(F.xxhash64(F.lit("merged"), "of").alias("region"), "x", "y").union(apart))
+
+
 def split_regions(members: DataFrame, pivots: DataFrame, known: DataFrame, limit: float) -> DataFrame:
-    """Members (region, x, y, home) of the next regions: each at its nearest pivot or outside, and wherever a window may hold a partner."""
+    """Members (parent, region, x, y, home) of the next regions: each at its nearest pivot or outside, and wherever a window may hold a partner."""
     union = F.col("nx") + F.col("ny")
     far = known.select("x", "y", (1 - F.coalesce("common", "most") / (union - F.coalesce("common", "most"))).alias("d"), F.col("common").isNotNull().alias("exact"))
     far = far.withColumnsRenamed({"x": "u", "y": "v"})
@@ -237,51 +250,74 @@ def split_regions(members: DataFrame, pivots: DataFrame, known: DataFrame, limit
         F.min(F.when(F.col("exact") & (F.col("d") <= NEAR), F.struct("d", "p"))).alias("near"), F.max(F.col("x") == F.col("p")).alias("pivot"),
         F.min("d").alias("least"), F.collect_list(F.struct("p", "d")).alias("all"),
     ).filter("NOT pivot")
-    at = cut(at.select("region", "x", "y", "least", "all", F.col("near.d").alias("d"), F.col("near.p").alias("home")))
-    radius = at.filter("home IS NOT NULL").groupBy("region", "home").agg(F.max("d").alias("radius"))
-    visits = at.select("region", "x", "y", F.col("home").alias("own"), F.inline("all"))
-    visits = visits.join(radius.withColumnRenamed("home", "p"), ["region", "p"]).filter((F.col("d") <= F.col("radius") + limit) | F.col("own").eqNullSafe(F.col("p")))
-    inside = visits.select(F.xxhash64("region", "p").alias("region"), "x", "y", F.col("own").eqNullSafe(F.col("p")).alias("home"))
-    outside = at.filter((F.col("home").isNull()) | (F.col("least") > NEAR - limit)).select(
-        F.xxhash64("region", F.lit("outer")).alias("region"), "x", "y", F.col("home").isNull().alias("home"))
+    at = cut(at.select("region", "x", "y", "least", "all", F.col("near.d").alias("d"), F.col("near.p").alias("own")))
+    radius = at.filter("own IS NOT NULL").groupBy("region", F.col("own").alias("p")).agg(F.max("d").alias("radius"))
+    visits = at.select("region", "x", "y", "own", F.inline("all"))
+    visits = visits.join(radius, ["region", "p"]).filter((F.col("d") <= F.col("radius") + limit) | F.col("own").eqNullSafe(F.col("p")))
+    parent = F.col("region").alias("parent")
+    inside = visits.select(parent, F.xxhash64("region", "p").alias("region"), "x", "y", F.col("own").eqNullSafe(F.col("p")).alias("home"))
+    outside = at.filter((F.col("own").isNull()) | (F.col("least") > NEAR - limit)).select(
+        parent, F.xxhash64("region", F.lit("outer")).alias("region"), "x", "y", F.col("own").isNull().alias("home"))
     return inside.union(outside)
 
 
 def open_regions(members: DataFrame, links: DataFrame) -> DataFrame:
-    """Members (region, x, y, home, c) of regions that hold more than one component and someone at home."""
+    """Members with ``c``, their component, and ``m``, the members of their region, of regions that hold more than one component and someone at home."""
     named = members.join(components(links).select(F.col("u").alias("x"), F.col("v").alias("c")), "x", "left").withColumn("c", F.coalesce("c", "x"))
-    if "home" not in members.columns:
-        named = named.withColumn("home", F.lit(True))
     mixed = named.groupBy("region").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.max("home").alias("any"), F.count(F.lit(1)).alias("m"))
     return cut(named.join(mixed.filter("lo <> hi AND any"), "region").drop("lo", "hi", "any"))
 
 
-def blocks(members: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
-    """Pairs of different components in regions, in groups of two blocks of about ``BLOCK`` members; sizes and sketches thin them out."""
-    n = F.greatest(F.lit(1), F.ceil(F.col("m") / BLOCK)).cast("int")
-    rows = members.join(sketches.select(F.col("cls").alias("x"), "raw"), "x").withColumns({"n": n}).withColumn("b", F.pmod(F.xxhash64(F.lit(9), "x"), F.col("n")).cast("int"))
-    rows = rows.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
-    rows = rows.withColumns({"lo": F.least("b", "with"), "hi": F.greatest("b", "with")})
+def texts_of(classes: DataFrame, docs: DataFrame, text: str) -> DataFrame:
+    """(cls, _text) of ``classes`` (cls, h: hash of the text of one of its documents)."""
+    texts = docs.select(F.xxhash64(text).alias("h"), F.col(text).alias("_text")).join(broadcast_if_small(classes), "h")
+    return texts.groupBy("cls").agg(F.first("_text").alias("_text"))
+
+
+def block_links(members: DataFrame, docs: DataFrame, classes: DataFrame, percent: int, words: int, seed: int, text: str) -> DataFrame:
+    """(u, v): a spanning forest per group of the links between components, from groups of two blocks of the region's sets."""
+    used = cut(members.select(F.col("x").alias("cls")).distinct().join(classes.select("cls", "h"), "cls"))
+
+    def hashed(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in parts:
+            yield pd.DataFrame({"x": part["cls"], "raw": [s.tobytes() for s in S.sets(part["_text"].tolist(), words, seed)]})
+
+    held = texts_of(used, docs, text).mapInPandas(hashed, "x long, raw binary")
+    sizes = members.groupBy("region").agg(F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum("y") / BLOCK_SHINGLES)).cast("int").alias("n"))
+    rows = members.join(sizes, "region").withColumn("b", F.pmod(F.xxhash64(F.lit(9), "x"), F.col("n")).cast("int"))
+    rows = rows.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("n") - 1))).join(held, "x")
+    rows = rows.withColumns({"lo": F.least("b", "with"), "hi": F.greatest("b", "with")}).select("region", "lo", "hi", "b", "x", "y", "c", "home", "raw")
 
     def met(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("x")
-        x, size, c, home, b = (pdf[k].to_numpy() for k in ("x", "y", "c", "home", "b"))
-        grid = [S.counts_of(r, n) for r, n in zip(pdf["raw"], size, strict=True)]
-        width = min(map(len, grid))
-        table = np.stack([g.reshape(width, -1).sum(1) for g in grid])
-        lo, hi = pdf["lo"].iloc[0], pdf["hi"].iloc[0]
-        out = []
-        for i in range(len(x) - 1):
-            j = np.arange(i + 1, len(x))
-            ok = (c[j] != c[i]) & (home[j] | home[i]) & (100 * np.minimum(size[j], size[i]) >= percent * np.maximum(size[j], size[i]))
-            ok &= (b[j] != b[i]) if lo != hi else True
-            j = j[ok]
-            if len(j):
-                j = j[np.minimum(table[j], table[i]).sum(1) >= need(size[j], size[i], percent)]
-                out += [(x[i], y) for y in x[j]]
-        return pd.DataFrame(out, columns=["x", "y"], dtype="int64")
-
-    return rows.groupBy("region", "lo", "hi").applyInPandas(met, "x long, y long")
+        lo, hi = int(pdf["lo"].iloc[0]), int(pdf["hi"].iloc[0])
+        first, second = pdf[pdf["b"] == lo], pdf[pdf["b"] == hi]
+        sets = [np.frombuffer(r, np.uint64) for r in [*first["raw"], *second["raw"]]]
+        if not len(first) or not len(second):
+            return pd.DataFrame({"u": [], "v": []}, dtype="int64")
+        owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+        found, place, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+        shared = times > 1
+        column, kept = (np.cumsum(shared) - 1)[place], shared[place]
+        owner, column = owner[kept], column[kept]
+        order = np.argsort(column, kind="stable")
+        owner, column = owner[order], column[order]
+        common = np.zeros((len(first), len(second)), np.float32)
+        step = max(64, 4_000_000 // len(sets))
+        for a in range(0, int(shared.sum()), step):
+            i, j = np.searchsorted(column, [a, a + step])
+            table = np.zeros((len(sets), step), np.float32)
+            table[owner[i:j], column[i:j] - a] = 1
+            common += table[: len(first)] @ table[len(first) :].T
+        n, m = first["y"].to_numpy()[:, None], second["y"].to_numpy()[None]
+        ok = 100 * common >= percent * (n + m - common)
+        ok &= first["c"].to_numpy()[:, None] != second["c"].to_numpy()[None]
+        ok &= first["home"].to_numpy()[:, None] | second["home"].to_numpy()[None]
+        i, j = np.nonzero(ok)
+        pairs = np.stack([first["x"].to_numpy()[i], second["x"].to_numpy()[j]], 1)
+        return pd.DataFrame(forest(pairs), columns=["u", "v"], dtype="int64")
+
+    return cut(rows.groupBy("region", "lo", "hi").applyInPandas(met, "u long, v long"))
 
 
 def join(docs: DataFrame, percent: int = 80, words: int = 5, text: str = "text", key: str = "doc_id", seed: int = 0) -> DataFrame:
@@ -300,26 +336,28 @@ def join(docs: DataFrame, percent: int = 80, words: int = 5, text: str = "text",
         sketches = cut(entries.filter("kind = 1").groupBy("cls").agg(F.first("n").alias("n"), F.first("raw").alias("raw")))
         regions = join_first(entries, buckets, percent)
         pairs, members = regions.filter("region IS NULL").select("x", "y"), regions.filter("region IS NOT NULL")
+        if members.limit(1).count():
+            members = merged(members).withColumn("home", F.lit(True))
         links, depth = None, 0
         while True:
             left = members.limit(1).count() > 0
-            if left and depth < DEPTH:
+            if left:
                 pivots, to_pivots = stars(members)
                 pairs = pairs.union(to_pivots)
-            elif left:
-                pairs = pairs.union(blocks(members, sketches, percent).select(*ordered("x", "y")))
             known = decided(bounded(pairs, sketches, percent), docs, classes, percent, words, seed, text)
             linked = known.filter(100 * F.col("common") >= percent * (F.col("nx") + F.col("ny") - F.col("common"))).select(F.col("x").alias("u"), F.col("y").alias("v"))
             links = linked if links is None else links.union(linked)
-            if not left or depth >= DEPTH:
+            if not left:
                 break
-            depth += 1
-            members = open_regions(members.select("region", "x", "y", *[c for c in ("home",) if c in members.columns]), links)
-            members = split_regions(members.select("region", "x", "y"), pivots, known, limit)
             members = open_regions(members, links)
-            small = members.filter(F.col("m") <= SMALL)
-            pairs = blocks(small, sketches, percent).select(*ordered("x", "y"))
-            members = members.filter(F.col("m") > SMALL)
+            parts = open_regions(split_regions(members, pivots, known, limit), links)
+            work = parts.groupBy("parent", "region").agg(F.max("m").alias("m")).groupBy("parent").agg(F.sum(F.col("m") * F.col("m")).alias("work"))
+            work = members.groupBy("region").agg(F.max("m").alias("m")).join(work.withColumnRenamed("parent", "region"), "region", "left")
+            stuck = cut(work.filter((2 * F.coalesce("work", F.lit(0)) > F.col("m") * F.col("m")) | F.lit(depth >= DEPTH)).select("region"))
+            parts = parts.join(stuck.withColumnRenamed("region", "parent"), "parent", "left_anti").drop("parent")
+            ready = members.join(stuck, "region", "left_semi").unionByName(parts.filter(F.col("m") <= SMALL))
+            links = links.union(block_links(ready, docs, classes, percent, words, seed, text))
+            members, pairs, depth = cut(parts.filter(F.col("m") > SMALL).select("region", "x", "y", "home")), pairs.limit(0), depth + 1
         joined = components(links)
     else:
         joined = spark.createDataFrame([], "u long, v long")

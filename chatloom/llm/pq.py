@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chatloom.llm.components import components
+from chatloom.llm.components import components, forest
 from chatloom.llm.frames import cut
 
 SAMPLE = 65_536  # most vectors that the lists and codes are fitted on
@@ -99,25 +99,6 @@ def unit(x: np.ndarray) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def forest(pairs: np.ndarray) -> list[tuple[int, int]]:
-    """Of (i, j) pairs, those that first join two trees."""
-    parent: dict[int, int] = {}
-
-    def root(i: int) -> int:
-        while parent.setdefault(i, i) != i:
-            parent[i] = parent[parent[i]]
-            i = parent[i]
-        return i
-
-    out = []
-    for i, j in pairs.tolist():
-        a, b = root(i), root(j)
-        if a != b:
-            parent[a] = b
-            out.append((i, j))
-    return out
-
-
 def links(classes: DataFrame, count: int, cosine: float) -> DataFrame:
     """(u, v, n) of classes of one vector length: links of class u to n vectors (v null), and forest edges u, v (n null)."""
     sample = classes.orderBy(F.xxhash64(F.lit(1), "cls")).limit(min(SAMPLE, 16 * math.isqrt(count) + 256)).select("cls", "vec").collect()

@@ -11,7 +11,7 @@ MASK = (1 << 64) - 1
 BASE, INVERSE = 0x100000001B3, pow(0x100000001B3, -1, 1 << 64)
 #: One odd factor per place of a word in its shingle, and a last one for the length of a word.
 FACTORS = tuple((0x9E3779B97F4A7C15 * (2 * i + 1) + 2 * i) & MASK | 1 for i in range(1, 66))
-CHUNK = 4 << 20  # bytes of text that are hashed together
+CHUNK = 1 << 20  # bytes of text that are hashed together
 
 
 def mixed(h: np.ndarray) -> np.ndarray:
