@@ -8,6 +8,7 @@ import re
 import sys
 import types
 from collections.abc import Iterator
+from itertools import chain, pairwise
 
 import numpy as np
 import pandas as pd
@@ -43,6 +44,7 @@ class Words:
         spec = json.loads(self.tokenizer.to_str())
         known = spec["normalizer"] == LOWER_WORDS["normalizer"] and LOWER_WORDS["pattern"] in json.dumps(spec["pre_tokenizer"], ensure_ascii=False).replace("\\\\", "\\")
         self.plain = re.compile(PLAIN if known else r"(?!)")
+        self.plain_text = re.compile(f"(?:{PLAIN}|[ \\t-\\r]+)*+" if known else r"(?!)")
         self.cut = re.compile(PIECES)
         self.young_pieces: dict[str, bytes] = {}
         self.old_pieces: dict[str, bytes] = {}
@@ -59,16 +61,19 @@ class Words:
         return [np.asarray(e.ids, self.kind).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def from_pieces(self, words: list[str]) -> list[bytes]:
+        """Ids of plain words or texts."""
         if len(self.young_pieces) > REMEMBERED:
             self.old_pieces, self.young_pieces = self.young_pieces, {}
         parts = [self.cut.findall(w.lower()) for w in words]
-        fresh = set().union(*parts).difference(self.young_pieces)
+        fresh = set(chain.from_iterable(parts)).difference(self.young_pieces)
         for p in [p for p in fresh if p in self.old_pieces]:
             self.young_pieces[p] = self.old_pieces[p]
             fresh.discard(p)
         new = list(fresh)
-        ids = self.merges.encode_batch_fast([p.translate(self.shown) for p in new], add_special_tokens=False)
-        self.young_pieces.update((p, np.asarray(e.ids, self.kind).tobytes()) for p, e in zip(new, ids, strict=True))
+        ids = self.merges.encode_batch_fast([p if p.isascii() else p.translate(self.shown) for p in new], add_special_tokens=False)
+        ids = [e.ids for e in ids]
+        flat, ends = np.fromiter(chain.from_iterable(ids), self.kind).tobytes(), np.cumsum([len(x) for x in ids]) * self.kind.itemsize
+        self.young_pieces.update(zip(new, (flat[a:b] for a, b in pairwise([0, *ends.tolist()])), strict=True))
         get = self.young_pieces.__getitem__
         out = [b"".join(map(get, p)) for p in parts]
         for p in new:
@@ -79,6 +84,12 @@ class Words:
     def encode(self, texts: list[str]) -> list[bytes]:
         if self.whole:
             return self.packed(texts)
+        easy = [i for i, t in enumerate(texts) if self.plain_text.fullmatch(t) and "<|" not in t]
+        done = dict(zip(easy, self.from_pieces([texts[i] for i in easy]), strict=True))
+        rest = self.by_words([t for i, t in enumerate(texts) if i not in done]) if len(easy) < len(texts) else iter(())
+        return [done[i] if i in done else next(rest) for i in range(len(texts))]
+
+    def by_words(self, texts: list[str]) -> Iterator[bytes]:
         split = [None if self.odd.search(t) else t.split() for t in texts]
         if len(self.young) > REMEMBERED:
             self.old, self.young = self.young, {}
@@ -96,7 +107,7 @@ class Words:
         for w in unknown:
             if len(w) > LONG:
                 del self.young[w]
-        return out
+        return iter(out)
 
 
 def shared_words(path: str, whole: bool) -> Words:
