@@ -122,10 +122,10 @@ def by_columns_instruction(t):
 
 @query(
     "cv_chosen_side",
-    """SELECT doc_id, 'user: ' || source || chr(10) || 'assistant: ' || CASE WHEN doc_id % 3 = 1 THEN lang ELSE substr(text, 1, 30) END AS chat FROM documents""",
+    """SELECT doc_id, 'user: ' || source || chr(10) || 'assistant: ' || CASE WHEN doc_id % 3 = 1 THEN lang ELSE text END AS chat FROM documents""",
 )
 def chosen_side(t):
-    df = t.documents.select("doc_id", "source", "lang", F.substring("text", 1, 30).alias("b"), (F.col("doc_id") % 3).alias("label"))
+    df = t.documents.select("doc_id", "source", "lang", F.col("text").alias("b"), (F.col("doc_id") % 3).alias("label"))
     return out(df.select("doc_id", C.chosen_answer(F.col("label") == 1, "source", "lang", "b").alias("messages")), "doc_id")
 
 
@@ -345,8 +345,8 @@ def raw_prompt(t):
     )
 
 
-BOXED = """CASE doc_id % 4 WHEN 0 THEN concat(substr(text, 1, 50), ' so \\boxed{', doc_id, '}') WHEN 1 THEN concat('\\boxed{1} and \\boxed{\\frac{', doc_id, '}{7}} end')
-  WHEN 2 THEN concat('Sum #### ', doc_id, ' ') ELSE substr(text, 1, 50) END"""
+BOXED = """CASE doc_id % 4 WHEN 0 THEN concat(text, ' so \\boxed{', doc_id, '}') WHEN 1 THEN concat('\\boxed{1} and \\boxed{\\frac{', doc_id, '}{7}} end')
+  WHEN 2 THEN concat('Sum #### ', doc_id, ' ') ELSE text END"""
 
 
 @query(
@@ -374,11 +374,11 @@ def final_answer(t):
 
 @query(
     "cv_last_user_query",
-    f"""SELECT doc_id, CASE doc_id % 3 WHEN 0 THEN trim(substr(text, 1, 80), {WS}) WHEN 1 THEN source ELSE substr(text, 1, 80) END AS query FROM documents""",
+    f"""SELECT doc_id, CASE doc_id % 3 WHEN 0 THEN trim(text, {WS}) WHEN 1 THEN source ELSE text END AS query FROM documents""",
 )
 def user_query(t):
-    text = """CASE doc_id % 3 WHEN 0 THEN concat('<|user|>\\nfirst\\n<|assistant|>\\n<think>a</think>\\n<|user|>\\n', substr(text, 1, 80), '\\n<|assistant|>\\n<think>')
-      WHEN 1 THEN concat('<|im_start|>user\\n', source, '\\n<functions>f</functions><|im_end|>\\n<|im_start|>assistant\\n<think>') ELSE substr(text, 1, 80) END"""
+    text = """CASE doc_id % 3 WHEN 0 THEN concat('<|user|>\\nfirst\\n<|assistant|>\\n<think>a</think>\\n<|user|>\\n', text, '\\n<|assistant|>\\n<think>')
+      WHEN 1 THEN concat('<|im_start|>user\\n', source, '\\n<functions>f</functions><|im_end|>\\n<|im_start|>assistant\\n<think>') ELSE text END"""
     return t.documents.select("doc_id", F.expr(text).alias("text")).select("doc_id", C.last_user_query("text").alias("query"))
 
 
@@ -404,11 +404,11 @@ def instruction(t):
 @query(
     "cv_binary",
     """SELECT doc_id, 'user: ' || source || chr(10) || 'assistant: ' || lang AS chat, true AS label FROM documents
-       UNION ALL SELECT doc_id, 'user: ' || source || chr(10) || 'assistant: ' || substr(text, 1, 5), false FROM documents""",
+       UNION ALL SELECT doc_id, 'user: ' || source || chr(10) || 'assistant: ' || text, false FROM documents""",
 )
 def binary(t):
     pairs = t.documents.select(
-        "doc_id", C.user_assistant("source", "lang").alias("chosen"), C.user_assistant("source", F.substring("text", 1, 5)).alias("rejected")
+        "doc_id", C.user_assistant("source", "lang").alias("chosen"), C.user_assistant("source", "text").alias("rejected")
     )
     return C.to_binary(pairs).select("doc_id", flat("messages").alias("chat"), "label")
 

@@ -10,16 +10,16 @@ from chatloom.functions.chat import chat_rows
 MARKED = """CASE (conv_id * 7 + turn * 3) % 29
  WHEN 0 THEN concat(text, ' I''m ChatGPT, an AI assistant made by OpenAI. Thanks.')
  WHEN 1 THEN concat(text, ' As of my last update in April 2023, it holds; knowledge cutoff 2021 too.')
- WHEN 2 THEN concat('答案是四十二 ', substr(text, 1, 40))
- WHEN 3 THEN concat('<think>', text, '</think><answer>', substr(text, 1, 20), '</answer>')
- WHEN 4 THEN concat('<think>', text, '</think> so ', substr(text, 1, 20))
+ WHEN 2 THEN concat('答案是四十二 ', text)
+ WHEN 3 THEN concat('<think>', text, '</think><answer>', text, '</answer>')
+ WHEN 4 THEN concat('<think>', text, '</think> so ', text)
  WHEN 5 THEN concat(chr(10), '  ', chr(9))
  WHEN 6 THEN NULL
  WHEN 7 THEN concat('I am called Claude and that is it. ', text)
  WHEN 8 THEN concat(text, ' as a language model from the house of Anthropic I pause.')
- WHEN 9 THEN concat('import os', chr(10), 'def f(x): return (x[0]);', chr(10), substr(text, 1, 30))
- WHEN 10 THEN concat('See https://example.org/', turn, ' or mail me@example.org, pay 12.50 or 1,300. ', substr(text, 1, 60))
- WHEN 11 THEN concat('```python', chr(10), 'print(', conv_id, ')', chr(10), '``` then ', substr(text, 1, 60))
+ WHEN 9 THEN concat('import os', chr(10), 'def f(x): return (x[0]);', chr(10), text)
+ WHEN 10 THEN concat('See https://example.org/', turn, ' or mail me@example.org, pay 12.50 or 1,300. ', text)
+ WHEN 11 THEN concat('```python', chr(10), 'print(', conv_id, ')', chr(10), '``` then ', text)
  ELSE text END"""
 
 MARKED_TURNS = f"(SELECT conv_id, turn, role, {MARKED} AS text FROM conversations)"

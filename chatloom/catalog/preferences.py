@@ -138,12 +138,12 @@ def score_pair(t):
 @query(
     "pf_append_turns",
     """SELECT doc_id, 'user: ' || source || chr(10) || 'assistant: hm' || chr(10) || 'assistant: ' || lang AS chosen,
-         'user: ' || source || chr(10) || 'assistant: hm' || chr(10) || 'assistant: ' || substr(text, 1, 9) AS rejected FROM documents""",
+         'user: ' || source || chr(10) || 'assistant: hm' || chr(10) || 'assistant: ' || text AS rejected FROM documents""",
 )
 def append_turns(t):
     from chatloom.operators.conversions import user_assistant
 
-    c, r = P.append_turns(user_assistant("source", F.lit("hm")), "lang", F.substring("text", 1, 9))
+    c, r = P.append_turns(user_assistant("source", F.lit("hm")), "lang", F.col("text"))
     return t.documents.select("doc_id", flat(c).alias("chosen"), flat(r).alias("rejected"))
 
 

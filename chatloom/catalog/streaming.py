@@ -12,7 +12,8 @@ from chatloom.streaming import jobs as J
 
 
 def stream(t, name):
-    return J.file_stream(t.spark, t.sf_dir, t.spark.read.parquet(t.path(name)).schema, f"{name}.parquet")
+    # the braces make it a pattern, which takes a table of one file and a folder of files alike
+    return J.file_stream(t.spark, f"{t.sf_dir}/{{{name}.parquet}}", t.spark.read.parquet(t.path(name)).schema)
 
 
 def folders(t, name):

@@ -112,14 +112,14 @@ def mask_none(t):
 
 @query(
     "tk_preferences",
-    f"""SELECT doc_id, len({toks("'<|user|>' || source || '<|assistant|>' || substr(text, 1, 60) || '" + EOS + "'")}) AS n_chosen,
-          len({toks("substr(text, 1, 60) || '" + EOS + "'")}) AS chosen_trainable, len({toks("lang || '" + EOS + "'")}) AS rejected_trainable FROM documents""",
+    f"""SELECT doc_id, len({toks("'<|user|>' || source || '<|assistant|>' || text || '" + EOS + "'")}) AS n_chosen,
+          len({toks("text || '" + EOS + "'")}) AS chosen_trainable, len({toks("lang || '" + EOS + "'")}) AS rejected_trainable FROM documents""",
 )
 def preferences(t):
     from chatloom.operators.conversions import user_assistant
 
     pairs = t.documents.select(
-        "doc_id", user_assistant("source", F.substring("text", 1, 60)).alias("chosen"), user_assistant("source", "lang").alias("rejected")
+        "doc_id", user_assistant("source", "text").alias("chosen"), user_assistant("source", "lang").alias("rejected")
     )
     tagged = TEMPLATES["tagged"]
     coded = pairs.select("doc_id", T.masked_chat("chosen", tagged, 4096, "last").alias("c"), T.masked_chat("rejected", tagged, 4096, "last").alias("r"))
@@ -226,12 +226,12 @@ def efficiency(t):
 
 @query(
     "tk_padded_preferences",
-    f"""WITH p AS (SELECT doc_id, doc_id // 8 AS batch, {ids('source')} AS c, {ids('substr(text, 1, 40)')} AS r FROM documents),
+    f"""WITH p AS (SELECT doc_id, doc_id // 8 AS batch, {ids('source')} AS c, {ids('text')} AS r FROM documents),
       m AS (SELECT *, max(greatest(len(c), len(r))) OVER (PARTITION BY batch) AS n FROM p)
       SELECT doc_id, batch, array_to_string(list_resize(c, n, 0), ',') AS chosen, array_to_string(list_resize(r, n, 0), ',') AS rejected FROM m""",
 )
 def padded(t):
-    x = T.word_ids(F.array("source", F.substring("text", 1, 40)))
+    x = T.word_ids(F.array("source", F.col("text")))
     rows = t.documents.select("doc_id", F.floor(F.col("doc_id") / 8).alias("batch"), x.alias("x")).select(
         "doc_id", "batch", F.col("x")[0].alias("chosen"), F.col("x")[1].alias("rejected")
     )
@@ -240,7 +240,7 @@ def padded(t):
 
 @query(
     "tk_flat_batches",
-    f"""WITH p AS (SELECT doc_id // 8 AS batch, doc_id, {ids('substr(text, 1, 40)')} AS i FROM documents),
+    f"""WITH p AS (SELECT doc_id // 8 AS batch, doc_id, {ids('text')} AS i FROM documents),
       q AS (SELECT *, row_number() OVER (PARTITION BY batch ORDER BY doc_id) - 1 AS s, sum(len(i)) OVER (PARTITION BY batch ORDER BY doc_id)::BIGINT AS c FROM p)
       SELECT batch, array_to_string(flatten(list(i ORDER BY doc_id)), ',') AS input_ids,
         array_to_string(flatten(list(list_concat(CASE WHEN len(i) > 0 THEN [-100] ELSE [] END, i[2:]) ORDER BY doc_id)), ',') AS labels,
@@ -249,7 +249,7 @@ def padded(t):
         array_to_string(flatten(list([s FOR j IN i] ORDER BY doc_id)), ',') AS seq_idx FROM q GROUP BY batch""",
 )
 def flat_batches(t):
-    x = T.word_ids(F.array(F.substring("text", 1, 40)))[0]
+    x = T.word_ids(F.array(F.col("text")))[0]
     rows = t.documents.select("doc_id", F.floor(F.col("doc_id") / 8).alias("batch"), x.alias("ids"))
     out = P.flatten_batch(rows, "batch", "doc_id", "ids", "ids")
     return out.select("batch", "max_length", *[csv(c).alias(c) for c in ("input_ids", "labels", "cu_seq_lens", "position_ids", "seq_idx")])
