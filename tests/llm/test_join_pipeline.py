@@ -65,7 +65,7 @@ def corpus(seed):
     return [(i if i % 37 else None, t) for i, t in enumerate(texts)] + [(3, texts[3])]
 
 
-@pytest.mark.parametrize("seed, small, frequent, near", [(0, 64, 48, 0.6), (1, 4, 10**9, 0.6), (2, 4, 4, 0.3), (3, 2, 10**9, 0.6)])
+@pytest.mark.parametrize("seed, small, frequent, near", [(0, 64, 48, 0.6), (1, 4, 10**6, 0.6), (2, 4, 4, 0.3), (3, 2, 10**6, 0.6)])
 def test_join(spark, monkeypatch, seed, small, frequent, near):
     monkeypatch.setattr(jaccard, "SMALL", small)
     monkeypatch.setattr(jaccard, "FREQUENT", frequent)
