@@ -62,7 +62,7 @@ def _sets(chunk: list[bytes], words: int, seed: int) -> Iterator[np.ndarray]:
         salt = np.uint64(mix_int(seed))
         many = np.full(max(0, len(hashes) - words + 1), np.uint64(words)) + salt
         for i in range(words):
-            many = many + hashes[i : len(hashes) - words + 1 + i] * np.uint64(FACTORS[i])
+            many = many + hashes[i : i + len(many)] * np.uint64(FACTORS[i])
         many = mixed(many)
         for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True):
             n = b - a
