@@ -7,15 +7,15 @@ import os
 import re
 import sys
 import types
-from collections.abc import Iterator
-from itertools import chain, pairwise
+from collections.abc import Callable, Iterator
+from struct import pack
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-REMEMBERED = 200_000  # words, and pieces of words, in each of the two generations of a worker's memory
+REMEMBERED = 100_000  # words, and pieces of words, in each of the two generations of a worker's memory
 LONG = 64  # longer words are not remembered
 CHUNK = 256  # texts that are encoded together
 
@@ -25,10 +25,32 @@ LOWER_WORDS = {
     "normalizer": {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]},
     "pattern": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+",
 }
-PLAIN = "[!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+"
+PLAIN = "!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"
 PIECES = "'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|[^\\sa-z0-9\u00df-\u00f6\u00f8-\u00ff]+"
 
 
+class Memory(dict):
+    """Ids of strings, made when first asked for. Two generations bound it: what the younger lacks may come from the older."""
+
+    def __init__(self, make: Callable[[str], bytes], old: dict[str, bytes] | None = None):
+        self.make, self.old = make, old or {}
+
+    def __missing__(self, s: str) -> bytes:
+        ids = self.old.get(s)
+        if ids is None:
+            ids = self.make(s)
+        if len(s) <= LONG:
+            self[s] = ids
+        return ids
+
+    def turned(self) -> Memory:
+        """This memory, or where it is full the next one."""
+        if len(self) <= REMEMBERED:
+            return self
+        self.old = {}
+        return Memory(self.make, self)
+
+
 class Words:
     """Encodes texts of a tokenizer that drops white space and never joins across it. ``whole`` turns the memory off."""
 
@@ -38,76 +60,48 @@ class Words:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
         self.whole = whole
-        spec = json.loads(self.tokenizer.to_str())
-        known = spec["normalizer"] == LOWER_WORDS["normalizer"] and LOWER_WORDS["pattern"] in json.dumps(spec["pre_tokenizer"], ensure_ascii=False).replace("\\\\", "\\")
-        self.plain = re.compile(PLAIN if known else r"(?!)")
-        self.plain_text = re.compile(f"(?:{PLAIN}|[ \\t-\\r]+)*+" if known else r"(?!)")
-        self.cut = re.compile(PIECES)
-        self.young_pieces: dict[str, bytes] = {}
-        self.old_pieces: dict[str, bytes] = {}
-        if known:  # words of plain characters: their pieces are remembered, and new ones go to the merges directly
+        parts = [json.loads(x.__getstate__()) if x else None for x in (self.tokenizer.normalizer, self.tokenizer.pre_tokenizer)]
+        known = parts[0] == LOWER_WORDS["normalizer"] and LOWER_WORDS["pattern"] in json.dumps(parts[1], ensure_ascii=False).replace("\\\\", "\\")
+        self.plain_text = re.compile(f"[ \\t-\\r{PLAIN}]*+" if known else r"(?!)")
+        self.cut = re.compile(PIECES).findall
+        if known:  # texts of plain characters: their pieces are remembered, and new ones go to the merges directly
             from tokenizers.pre_tokenizers import ByteLevel
 
-            self.merges = Tokenizer(self.tokenizer.model)
             level = ByteLevel(add_prefix_space=False, use_regex=False)
+            self.merges = self.tokenizer.model
             self.shown = {c: level.pre_tokenize_str(chr(c))[0][0] for c in [*range(0x21, 0x7F), *range(0xC0, 0x100)]}
+        self.words, self.pieces = Memory(self.word), Memory(self.piece)
         # separators that str.split() knows and the tokenizer does not
         self.odd = re.compile("[\x1c-\x1f]")
 
     def packed(self, texts: list[str]) -> list[bytes]:
         return [np.asarray(e.ids, self.kind).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def from_pieces(self, words: list[str]) -> list[bytes]:
-        """Ids of plain words or texts."""
-        if len(self.young_pieces) > REMEMBERED:
-            self.old_pieces, self.young_pieces = self.young_pieces, {}
-        parts = [self.cut.findall(w.lower()) for w in words]
-        fresh = set(chain.from_iterable(parts)).difference(self.young_pieces)
-        for p in [p for p in fresh if p in self.old_pieces]:
-            self.young_pieces[p] = self.old_pieces[p]
-            fresh.discard(p)
-        new = list(fresh)
-        ids = self.merges.encode_batch_fast([p if p.isascii() else p.translate(self.shown) for p in new], add_special_tokens=False)
-        ids = [e.ids for e in ids]
-        flat, ends = np.fromiter(chain.from_iterable(ids), self.kind).tobytes(), np.cumsum([len(x) for x in ids]) * self.kind.itemsize
-        self.young_pieces.update(zip(new, (flat[a:b] for a, b in pairwise([0, *ends.tolist()])), strict=True))
-        get = self.young_pieces.__getitem__
-        out = [b"".join(map(get, p)) for p in parts]
-        for p in new:
-            if len(p) > LONG:
-                del self.young_pieces[p]
-        return out
+    def piece(self, s: str) -> bytes:
+        ids = [t.id for t in self.merges.tokenize(s if s.isascii() else s.translate(self.shown))]
+        return pack(f"<{len(ids)}{'H' if self.kind.itemsize == 2 else 'I'}", *ids)
+
+    def is_plain(self, text: str) -> bool:
+        return self.plain_text.fullmatch(text) is not None and "<|" not in text
+
+    def from_pieces(self, text: str) -> bytes:
+        """Ids of a plain word or text."""
+        return b"".join(map(self.pieces.__getitem__, self.cut(text.lower())))
+
+    def word(self, w: str) -> bytes:
+        return self.from_pieces(w) if self.is_plain(w) else self.packed([w])[0]
+
+    def text(self, t: str) -> bytes:
+        if self.is_plain(t):
+            return self.from_pieces(t)
+        return self.packed([t])[0] if self.odd.search(t) else b"".join(map(self.words.__getitem__, t.split()))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if self.whole:
             return self.packed(texts)
-        easy = [i for i, t in enumerate(texts) if self.plain_text.fullmatch(t) and "<|" not in t]
-        done = dict(zip(easy, self.from_pieces([texts[i] for i in easy]), strict=True))
-        rest = self.by_words([t for i, t in enumerate(texts) if i not in done]) if len(easy) < len(texts) else iter(())
-        return [done[i] if i in done else next(rest) for i in range(len(texts))]
-
-    def by_words(self, texts: list[str]) -> Iterator[bytes]:
-        split = [None if self.odd.search(t) else t.split() for t in texts]
-        if len(self.young) > REMEMBERED:
-            self.old, self.young = self.young, {}
-        fresh = set().union(*[w for w in split if w]).difference(self.young)
-        for w in [w for w in fresh if w in self.old]:
-            self.young[w] = self.old[w]
-            fresh.discard(w)
-        unknown = list(fresh)
-        plain = [w for w in unknown if self.plain.fullmatch(w) and "<|" not in w]
-        self.young.update(zip(plain, self.from_pieces(plain), strict=True))
-        other = [w for w in unknown if w not in self.young]
-        self.young.update(zip(other, self.packed(other), strict=True))
-        get = self.young.__getitem__
-        out = [self.packed([t])[0] if w is None else b"".join(map(get, w)) for t, w in zip(texts, split, strict=True)]
-        for w in unknown:
-            if len(w) > LONG:
-                del self.young[w]
-        return iter(out)
+        self.words, self.pieces = self.words.turned(), self.pieces.turned()
+        return [self.text(t) for t in texts]
 
 
 def shared_words(path: str, whole: bool) -> Words:
