@@ -114,22 +114,23 @@ def train(rows: list[tuple[np.ndarray, np.ndarray, int]], seed: int = 7) -> Mode
 
 
 def fit(labelled: DataFrame, text: str = "text", label: str = "quality", key: str = "doc_id", max_rows: int = MAX_ROWS) -> Model:
-    """Train on the first ``max_rows`` labelled rows by hash of the key. What reaches the driver are at most ``max_rows`` count vectors of at most
-    ``BUCKETS`` entries."""
+    """Train on the first ``max_rows`` labelled rows by hash of the key, in one task: it holds at most ``max_rows`` count vectors of at most
+    ``BUCKETS`` entries. The driver gets the model, a weight per bucket."""
 
-    def counted(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def fitted(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        got = []
         for part in parts:
-            found = [np.unique(buckets((t or "").encode("utf-8", "replace")), return_counts=True) for t in part["_text"]]
-            yield pd.DataFrame({
-                "_key": part["_key"], "_label": part["_label"], "ids": [i.astype(np.uint16).tobytes() for i, _ in found],
-                "counts": [n.astype(np.float32).tobytes() for _, n in found],
-            })
+            for k, t, y in zip(part["_key"], part["_text"], part["_label"], strict=True):
+                ids, counts = np.unique(buckets((t or "").encode("utf-8", "replace")), return_counts=True)
+                got.append((pd.isna(k), k, int(y), ids.astype(np.uint16).tobytes(), counts.astype(np.float32)))
+        got.sort(key=lambda r: (r[0], 0 if r[0] else r[1], *r[2:4]))
+        model = train([(np.frombuffer(ids, np.uint16), counts, y) for _, _, y, ids, counts in got])
+        yield pd.DataFrame({"weights": [model.weights.tobytes()], "bias": [model.bias]})
 
     rows = labelled.select(F.col(key).cast("long").alias("_key"), F.col(text).alias("_text"), F.col(label).cast("int").alias("_label"))
     chosen = rows.filter("_label IN (0, 1)").orderBy(F.xxhash64(F.lit(3), "_key"), "_key", "_label", F.xxhash64("_text")).limit(max_rows)
-    got = chosen.mapInPandas(counted, "_key long, _label int, ids binary, counts binary").collect()
-    got.sort(key=lambda r: (r["_key"] is None, r["_key"], r["_label"], r["ids"]))
-    return train([(np.frombuffer(r["ids"], np.uint16).astype(np.int64), np.frombuffer(r["counts"], np.float32), r["_label"]) for r in got])
+    made = chosen.coalesce(1).mapInPandas(fitted, "weights binary, bias double").collect()
+    return Model(np.frombuffer(made[0]["weights"], np.float32), made[0]["bias"]) if made else train([])
 
 
 def score(docs: DataFrame, model: Model, text: str = "text", key: str = "doc_id", threshold: float = 0.7) -> DataFrame:
