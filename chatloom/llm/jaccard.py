@@ -83,7 +83,7 @@ def frequent(spark: SparkSession, found: DataFrame):
     sizes = counts.agg(*[F.count_if(F.col("n") >= FREQUENT << i).alias(str(i)) for i in range(40)]).first()
     while sizes[str((most // FREQUENT).bit_length() - 1)] > MOST_FREQUENT:
         most *= 2
-    hot = np.array([r["a"] for r in counts.filter(F.col("n") >= most).select("a").collect()], np.int64).view(np.uint64)
+    hot = counts.filter(F.col("n") >= most).select("a").toArrow()["a"].to_numpy().astype(np.int64).view(np.uint64)
     bits = np.zeros(1 << BITS, bool)
     bits[(hot >> np.uint64(64 - BITS)).astype(np.int64)] = True
     return spark.sparkContext.broadcast(np.packbits(bits))
