@@ -216,3 +216,16 @@ def test_near_duplicates_without_vectors(spark):
     assert pq.near_duplicates(empty).collect() == []
     nulls = spark.createDataFrame([(1, None), (2, None)], "vec_id long, embedding array<float>")
     assert sorted(map(tuple, pq.near_duplicates(nulls).collect())) == [(1, 0, 1, True), (2, 0, 2, True)]
+
+
+@pytest.mark.parametrize("step", [1, 7, 128])
+def test_table_lookups_are_distances_to_the_coded_vectors(step):
+    rng = np.random.default_rng(3)
+    sample = rng.normal(size=(400, 10))  # ten columns over eight subspaces: uneven parts
+    index = pq.Index(sample, 5)
+    x, y, centre = sample[:30], sample[300:], index.centres[2]
+    codes, error = index.code(y, centre)
+    coded = centre + np.concatenate([w[codes[:, i]] for i, w in enumerate(index.words)], 1)
+    assert np.allclose(error, np.linalg.norm(y - coded, axis=1))
+    assert np.allclose(index.distances(x, centre, codes, step), ((coded[:, None] - x[None]) ** 2).sum(2))
+    assert index.distances(x[:0], centre, codes, step).shape == (len(y), 0)
