@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from chatloom.llm import budget, jaccard, lines, quality
+from chatloom.llm import budget, jaccard, lines, passages, quality
 from chatloom.llm.frames import WORD, cut, saved
 from chatloom.llm.queries import packed, table
 from chatloom.session import broadcast_if_small
@@ -21,9 +21,11 @@ def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Later repeated runs of lines go; documents that lose their last word with them go too."""
-    out = lines.dedup_lines(docs).filter((F.col("n_removed") == 0) | F.col("text").rlike(WORD))
-    return out.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(docs.columns)
+    """Later repeated runs of lines go, then later repeated passages that begin or end inside a line; documents that lose their last word with them go too."""
+    out = saved(lines.dedup_lines(docs).filter((F.col("n_removed") == 0) | F.col("text").rlike(WORD)), "lines")
+    out = passages.dedup_passages(out).filter(~F.col("cut_words") | F.col("text").rlike(WORD))
+    changed = (F.col("n_removed") > 0) | F.col("cut_words")
+    return out.withColumn("n_chars", F.when(changed, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
