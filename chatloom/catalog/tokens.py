@@ -122,7 +122,7 @@ def preferences(t):
         "doc_id", user_assistant("source", "text").alias("chosen"), user_assistant("source", "lang").alias("rejected")
     )
     tagged = TEMPLATES["tagged"]
-    coded = pairs.select("doc_id", T.masked_chat("chosen", tagged, 4096, "last").alias("c"), T.masked_chat("rejected", tagged, 4096, "last").alias("r"))
+    coded = pairs.select("doc_id", T.masked_chat("chosen", tagged, 2**31 - 1, "last").alias("c"), T.masked_chat("rejected", tagged, 2**31 - 1, "last").alias("r"))
     kept = coded.filter(T.has_labels("c.labels") & T.has_labels("r.labels"))
     return kept.select(
         "doc_id", F.size("c.input_ids").cast("long").alias("n_chosen"), T.trainable("c.labels").cast("long").alias("chosen_trainable"),
