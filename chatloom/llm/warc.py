@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import gzip
 from collections.abc import Iterator
+from html.entities import html5
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -25,6 +26,11 @@ from chatloom.functions.text import let
 HIDDEN = ("script", "style", "template", "noscript", "title")
 BLOCKS = "address|article|aside|blockquote|body|br|dd|div|dl|dt|fieldset|figure|footer|form|h1|h2|h3|h4|h5|h6|head|header|hr|html|li|main|nav|ol|p|pre|section|table|td|th|tr|ul"
 NAMED = (("lt", "<"), ("gt", ">"), ("quot", '"'), ("apos", "'"), ("nbsp", " "), ("copy", "©"), ("middot", "·"))
+# Every named reference, with its semicolon, and those that stand without one, longest first.
+REFERENCES = {name: char for name, char in html5.items() if name.endswith(";")} | {f"{name};": char for name, char in NAMED}
+BARE = sorted((name for name in html5 if not name.endswith(";")), key=len, reverse=True)
+# The attributes of a tag and its end: a > in quotes does not end it, a quote that stays open holds nothing.
+TAG_END = r"(?:[^>\"']*+(?:(?:\"[^\"]*+\"|'[^']*+')[^>\"']*+)*+>|[^>]*+>)"
 CRLF = "\r\n"
 
 
@@ -70,17 +76,44 @@ def decode_numbers(c: Column) -> Column:
     return let(c, lambda t: F.when(F.instr(t, F.lit("&#")) > 0, let(F.split(t, "&#", -1), decoded)).otherwise(t))
 
 
+def decode_names(c: Column) -> Column:
+    """Named references of the HTML5 table, except the ampersand's, which are written ``&amp;`` to be decoded last."""
+    table = F.create_map(*[F.lit(x) for pair in REFERENCES.items() for x in pair])
+
+    def one(part: Column) -> Column:
+        def named(name: Column) -> Column:
+            bare = F.regexp_extract(part, f"^({'|'.join(BARE)})", 1)
+            found = F.when(name != "", F.element_at(table, name))
+            short = F.element_at(table, F.concat(bare, F.lit(";")))
+            char = lambda x: F.when(x == "&", F.lit("&amp;")).otherwise(x)
+            return F.when(found.isNotNull(), F.concat(char(found), F.substring(part, F.length(name) + 1, F.length(part)))).when(
+                bare != "", F.concat(char(short), F.substring(part, F.length(bare) + 1, F.length(part)))).when(
+                F.startswith(part, F.lit("#")), F.concat(F.lit("&"), part)).otherwise(F.concat(F.lit("&amp;"), part))
+
+        return let(F.regexp_extract(part, "^[a-zA-Z][a-zA-Z0-9]*;", 0), named)
+
+    decoded = lambda parts: F.concat(F.get(parts, F.lit(0)), F.array_join(F.transform(F.slice(parts, F.lit(2), F.size(parts)), one), ""))
+    return let(F.split(c, "&", -1), decoded)
+
+
 def plain_text(html: Column) -> Column:
     """The text of a page: hidden elements, comments and markup go, elements that begin a line begin one, references are decoded, white space
-    inside a line is one space, and empty lines go."""
-    out = F.regexp_replace(html, r"(?s)<!--.*?-->", "")
+    inside a line is one space, and empty lines go. A comment or hidden element that is not closed ends with the text."""
+    out = F.regexp_replace(html, r"(?s)<!--.*?(?:-->|\z)", "")
     for tag in HIDDEN:
-        out = F.regexp_replace(out, rf"(?is)<{tag}\b[^>]*>.*?</{tag}\s*>", "")
+        out = F.regexp_replace(out, rf"(?is)<{tag}\b{TAG_END}.*?(?:</{tag}\s*>|\z)", "")
     out = F.regexp_replace(out, r"[ \t\n\r\x0b\x0c]+", " ")
-    out = F.regexp_replace(out, rf"(?i)</?(?:{BLOCKS})\b[^>]*>", "\n")
-    out = F.regexp_replace(out, r"<[a-zA-Z/!?][^>]*>", "")
-    for name, char in NAMED:
-        out = F.replace(out, F.lit(f"&{name};"), F.lit(char))
+    out = F.regexp_replace(out, rf"(?i)</?(?:{BLOCKS})\b{TAG_END}", "\n")
+    out = F.regexp_replace(out, rf"<[a-zA-Z/!?]{TAG_END}", "")
+    common = "|".join(["amp", *[name for name, _ in NAMED]])
+
+    def listed(t: Column) -> Column:
+        for name, char in NAMED:
+            t = F.replace(t, F.lit(f"&{name};"), F.lit(char))
+        return t
+
+    # the whole table where a reference beside the usual ones stands
+    out = let(out, lambda t: F.when(t.rlike(f"&(?!(?:{common});)[a-zA-Z]"), decode_names(t)).otherwise(listed(t)))
     out = F.replace(decode_numbers(out), F.lit("&amp;"), F.lit("&"))
     return F.regexp_replace(F.regexp_replace(out, r" *\n[ \n]*", "\n"), r"^[ \n]+|[ \n]+$", "")
 
