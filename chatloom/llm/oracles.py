@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from chatloom.llm import warc
+from chatloom.llm import licences, warc
 
 WORD = r"[^\x20\x09-\x0D]+"
 ANY_CASE = lambda w: "".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in w)
@@ -96,6 +96,20 @@ SELECT d.doc_id, CASE WHEN n.n IS NULL THEN d.text ELSE coalesce(kept.t, '') END
   CASE WHEN d.text IS NULL THEN 0 ELSE len(string_split(d.text, chr(10))) END AS n_lines, coalesce(n.n, 0) AS n_removed
 FROM documents d LEFT JOIN n USING (doc_id) LEFT JOIN kept USING (doc_id)"""
 
+_CLAUSES = ", ".join(
+    f"({t}, '{c.label}', {len(c.words)}, {c.least}, {len(c.must)}, {c.base}, {i}, '{w}', {i in c.must})" for t, c in enumerate(licences.clauses()) for i, w in enumerate(c.words)
+)
+LICENCES = f"""WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+c(t, label, m, least, n_must, base, i, word, must) AS (VALUES {_CLAUSES}),
+w AS (SELECT r, unnest(w) AS word, unnest(range(len(w))) AS pos FROM d),
+p AS (SELECT r, t, label, base, pos - i AS start, count(*) / any_value(m) AS share FROM w JOIN c USING (word) GROUP BY r, t, label, base, pos - i
+  HAVING count(*) >= any_value(least) AND count_if(must) = any_value(n_must)),
+s AS (SELECT r, count_if(base) AS n_base, min(start) FILTER (base) AS first_word, max(start) FILTER (base) AS last_word, string_agg(DISTINCT label, ',' ORDER BY label) AS labels,
+  string_agg(DISTINCT label, ',' ORDER BY label) FILTER (base) AS base_labels, max(share) AS score FROM p GROUP BY r)
+SELECT doc_id, len(w) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word, coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,
+  coalesce(score, 0)::DOUBLE AS score FROM d LEFT JOIN s USING (r)"""
+
 ORACLES = {
     "op2_secret_scan": SECRETS, "op4_warc_derivatives": WARC, "op6_jaccard_join": JACCARD, "op8_product_quantisation": EMBEDDINGS, "op10_line_dedup": LINES,
+    "op11_licence_scan": LICENCES,
 }

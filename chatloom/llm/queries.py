@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chatloom.llm import budget, jaccard, lines, pq, quality, rules, secret_scan, slack, template, warc
+from chatloom.llm import budget, jaccard, licences, lines, pq, quality, rules, secret_scan, slack, template, warc
 from chatloom.llm.frames import cut
 
 TOKENIZER = "word_bpe_49k.json"
@@ -80,10 +80,21 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.dedup_lines(table(spark, sf_dir, "documents")).select("doc_id", "text", "n_lines", "n_removed")
 
 
+def op11_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licences.scan(table(spark, sf_dir, "documents"))
+    base = F.filter("places", lambda p: p["base"])
+    starts = F.transform(base, lambda p: p["start"])
+    return found.select(
+        "doc_id", "n_words", F.size(base).cast("long").alias("n_base"), F.array_min(starts).alias("first_word"), F.array_max(starts).alias("last_word"),
+        licences.listed(base).alias("base_labels"), licences.listed(F.col("places")).alias("labels"),
+        F.coalesce(F.array_max(F.transform("places", lambda p: p["share"])), F.lit(0.0)).alias("score"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_quality_classifier, op2_secret_scan, op3_bin_packing, op4_warc_derivatives, op5_decision_list, op6_jaccard_join, op7_template_extraction,
-        op8_product_quantisation, op9_budget_mixture, op10_line_dedup,
+        op8_product_quantisation, op9_budget_mixture, op10_line_dedup, op11_licence_scan,
     )
 }
