@@ -109,7 +109,54 @@ s AS (SELECT r, count_if(base) AS n_base, min(start) FILTER (base) AS first_word
 SELECT doc_id, len(w) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word, coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,
   coalesce(score, 0)::DOUBLE AS score FROM d LEFT JOIN s USING (r)"""
 
+# CRC-32 by its table, over strings of ASCII; then one row per turn and state pattern: the cheapest (cost, audit) that ends in each state.
+_TABLE = "list_transform(range(256), lambda i: list_reduce(list_prepend(i::BIGINT, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END))"
+_CRC = """xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(k, ''), lambda x: ascii(x)::BIGINT)),
+  lambda c, b: xor(c >> 8, crc[(xor(c, b) & 255) + 1])), 4294967295)"""
+_BEFORE = {0: (), 1: ((0, "s"),), 2: ((0, "u"), (1, "u"), (3, "u")), 3: ((2, "a"),)}
+
+
+def _state(q: int) -> str:
+    """The cheapest way into state q: from each state before, with up to two new turns, by a turn that is deleted, kept or given another role."""
+    new = lambda x, n: f"{{'c': {x}.c + {5 * n}, 'a': {x}.a || '{'I' * n}'}}"
+    reach = {0: ["s.s0"], 1: ["s.s1"], 2: ["s.s2", *(new(f"s.s{p}", 1) for p in (0, 1, 3))], 3: ["s.s3", new("s.s2", 1), *(new(f"s.s{p}", 2) for p in (0, 1))]}
+    step = lambda x, cost, edit: f"{{'c': {x}.c + {cost}, 'a': {x}.a || '{edit}'}}"
+    ways = [step(x, 2, "D") for x in reach[q]]
+    for p, role in _BEFORE[q]:
+        for x in reach[p]:
+            ways.append(f"CASE WHEN NOT t.must AND t.i = '{role}' THEN {step(x, 't.extra', 'K')} END")
+            if role != "s":
+                ways.append(f"CASE WHEN NOT t.must THEN {step(x, '1 + t.extra', 'R')} END")
+    return f"list_min([{', '.join(ways)}])"
+
+
+_ENDS = "[s.s0, s.s3, {'c': s.s0.c + 10, 'a': s.s0.a || 'II'}, {'c': s.s1.c + 10, 'a': s.s1.a || 'II'}, {'c': s.s2.c + 5, 'a': s.s2.a || 'I'}]"
+_FAR = "{'c': 1000000000::BIGINT, 'a': ''}"
+REPAIR = f"""WITH RECURSIVE x AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS k, {_TABLE} AS crc FROM conversations),
+y AS (SELECT conv_id, turn, role, text, {_CRC} % 20 AS kind FROM x),
+z AS (SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role, CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+  unnest(CASE kind WHEN 0 THEN [] WHEN 3 THEN [0, 1] ELSE [0] END) AS copy FROM y),
+o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, substr(role, 1, 32), md5(length(role) || ':' || role || text)) AS n,
+  regexp_extract(text, '([^\x20\x09-\x0D])[\x20\x09-\x0D]*$', 1) AS e FROM z),
+f AS (SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY n) > 1 AS again, substr(role, 1, 1) AS i, lag(substr(role, 1, 1)) OVER (PARTITION BY conv_id ORDER BY n) AS before FROM o),
+t AS (SELECT *, CASE WHEN e = '' THEN 'b' WHEN again THEN 'd' WHEN e IN ('.', '!', '?') THEN '-' ELSE 't' END AS fault, e = '' OR again AS must, CASE WHEN NOT (e = '' OR again) AND e NOT IN ('.', '!', '?') THEN 5 ELSE 0 END AS extra FROM f),
+s(conv_id, n, s0, s1, s2, s3) AS (SELECT DISTINCT conv_id, 0::BIGINT, {{'c': 0::BIGINT, 'a': ''}}, {_FAR}, {_FAR}, {_FAR} FROM t
+  UNION ALL SELECT s.conv_id, t.n, {", ".join(map(_state, range(4)))} FROM s JOIN t ON t.conv_id IS NOT DISTINCT FROM s.conv_id AND t.n = s.n + 1),
+b AS (SELECT conv_id, list_min({_ENDS}) AS best FROM s QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY n DESC) = 1),
+p AS (SELECT conv_id, best.a AS audit, unnest(string_split(best.a, '')) AS edit, generate_subscripts(string_split(best.a, ''), 1) AS j FROM b WHERE best.a <> ''),
+q AS (SELECT *, count(*) FILTER (edit <> 'I') OVER (PARTITION BY conv_id ORDER BY j) AS n FROM p),
+r AS (SELECT q.conv_id, j, edit, t.role, t.text, t.i, row_number() OVER (PARTITION BY q.conv_id ORDER BY j) AS m,
+  first_value(edit = 'K' AND t.i = 's') OVER (PARTITION BY q.conv_id ORDER BY j) AS sys FROM q JOIN t ON t.conv_id IS NOT DISTINCT FROM q.conv_id AND t.n = greatest(q.n, 1) WHERE edit <> 'D'),
+h AS (SELECT conv_id, sha256(string_agg(CASE WHEN edit = 'K' THEN role ELSE CASE WHEN (m + CASE WHEN sys THEN 0 ELSE 1 END) % 2 = 0 THEN 'user' ELSE 'assistant' END END
+  || ':' || CASE WHEN edit = 'I' THEN '' ELSE text END, chr(10) ORDER BY j)) AS repaired_sha256 FROM r GROUP BY conv_id),
+g AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count_if(fault = 'b') AS blank, count_if(fault = 'd') AS duplicate, count_if(fault = 't') AS truncated,
+  count_if(before IS NOT NULL AND before || i NOT IN ('su', 'ua', 'au')) AS illegal FROM t GROUP BY conv_id)
+SELECT d.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate, coalesce(truncated, 0)::BIGINT AS truncated,
+  coalesce(illegal, 0)::BIGINT AS illegal, coalesce(best.c, 0)::BIGINT AS cost, coalesce(best.a, '') AS audit, coalesce(repaired_sha256, sha256('')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) d LEFT JOIN g ON g.conv_id IS NOT DISTINCT FROM d.conv_id LEFT JOIN b ON b.conv_id IS NOT DISTINCT FROM d.conv_id
+LEFT JOIN h ON h.conv_id IS NOT DISTINCT FROM d.conv_id"""
+
 ORACLES = {
     "op2_secret_scan": SECRETS, "op4_warc_derivatives": WARC, "op6_jaccard_join": JACCARD, "op8_product_quantisation": EMBEDDINGS, "op10_line_dedup": LINES,
-    "op11_licence_scan": LICENCES,
+    "op11_licence_scan": LICENCES, "op12_conversation_repair": REPAIR,
 }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chatloom.llm import budget, jaccard, licences, lines, pq, quality, rules, secret_scan, slack, template, warc
+from chatloom.llm import budget, jaccard, licences, lines, pq, quality, repair, rules, secret_scan, slack, template, warc
 from chatloom.llm.frames import cut
 
 TOKENIZER = "word_bpe_49k.json"
@@ -91,10 +91,23 @@ def op11_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations")
+    found = repair.repair(repair.damaged(rows))
+    ids = rows.select("conv_id").distinct().withColumn("_c", F.struct("conv_id"))
+    audits = found.audits.withColumn("_c", F.struct("conv_id")).drop("conv_id")
+    hashes = repair.digests(found.turns).withColumn("_c", F.struct("conv_id")).drop("conv_id")
+    zero = lambda c: F.coalesce(F.col(c), F.lit(0).cast("long")).alias(c)
+    return ids.join(audits, "_c", "left").join(hashes, "_c", "left").select(
+        "conv_id", *map(zero, ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")), F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_quality_classifier, op2_secret_scan, op3_bin_packing, op4_warc_derivatives, op5_decision_list, op6_jaccard_join, op7_template_extraction,
-        op8_product_quantisation, op9_budget_mixture, op10_line_dedup, op11_licence_scan,
+        op8_product_quantisation, op9_budget_mixture, op10_line_dedup, op11_licence_scan, op12_conversation_repair,
     )
 }
