@@ -156,7 +156,25 @@ SELECT d.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT
 FROM (SELECT DISTINCT conv_id FROM conversations) d LEFT JOIN g ON g.conv_id IS NOT DISTINCT FROM d.conv_id LEFT JOIN b ON b.conv_id IS NOT DISTINCT FROM d.conv_id
 LEFT JOIN h ON h.conv_id IS NOT DISTINCT FROM d.conv_id"""
 
+_PRICE = lambda n, total: f"(1 + (1000000000 * ({n} + 1)::HUGEINT) // ({total} + v))"
+DIVERGENCE = f"""WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+  regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+o AS (SELECT r, lang, source, unnest(w) AS term FROM d),
+k AS (SELECT lang, term FROM o GROUP BY lang, term HAVING count(DISTINCT r) >= 3),
+c AS (SELECT lang, source, term, count(*)::HUGEINT AS n FROM o JOIN k USING (lang, term) GROUP BY ALL),
+v AS (SELECT lang, count(*)::HUGEINT AS v FROM k GROUP BY lang),
+g AS (SELECT lang, source, coalesce(t, 0)::HUGEINT AS t FROM (SELECT DISTINCT lang, source FROM d) LEFT JOIN (SELECT lang, source, sum(n) AS t FROM c GROUP BY ALL) USING (lang, source)),
+l AS (SELECT lang, term, sum(n)::HUGEINT AS n, (sum(sum(n)) OVER (PARTITION BY lang))::HUGEINT AS t FROM c GROUP BY lang, term),
+p AS (SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n, {_PRICE("coalesce(c.n, 0)", "g.t")} AS p FROM g JOIN v USING (lang) JOIN k USING (lang) LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+q AS (SELECT lang, term, {_PRICE("n", "t")} AS q FROM l JOIN v USING (lang)),
+pairs AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+e AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(x.value, 0) AS value FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN pairs x ON x.lang = a.lang AND x.source = a.source AND x.item = b.source
+  UNION ALL SELECT lang, source, 'term', term, (p - q) * (p - q) // q FROM p JOIN q USING (lang, term) WHERE n > 0 AND p > q)
+SELECT lang, source, part, item, value::BIGINT AS value, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INT AS rank FROM e
+QUALIFY part = 'pair' OR rank <= 200"""
+
 ORACLES = {
     "op2_secret_scan": SECRETS, "op4_warc_derivatives": WARC, "op6_jaccard_join": JACCARD, "op8_product_quantisation": EMBEDDINGS, "op10_line_dedup": LINES,
-    "op11_licence_scan": LICENCES, "op12_conversation_repair": REPAIR,
+    "op11_licence_scan": LICENCES, "op12_conversation_repair": REPAIR, "op13_divergence_audit": DIVERGENCE,
 }

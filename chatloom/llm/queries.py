@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chatloom.llm import budget, jaccard, licences, lines, pq, quality, repair, rules, secret_scan, slack, template, warc
+from chatloom.llm import budget, divergence, jaccard, licences, lines, pq, quality, repair, rules, secret_scan, slack, template, warc
 from chatloom.llm.frames import cut
 
 TOKENIZER = "word_bpe_49k.json"
@@ -104,10 +104,15 @@ def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_divergence_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"), least=3, top=200)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_quality_classifier, op2_secret_scan, op3_bin_packing, op4_warc_derivatives, op5_decision_list, op6_jaccard_join, op7_template_extraction,
         op8_product_quantisation, op9_budget_mixture, op10_line_dedup, op11_licence_scan, op12_conversation_repair,
+        op13_divergence_audit,
     )
 }
