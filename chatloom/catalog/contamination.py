@@ -74,13 +74,13 @@ def exact_two_fields(t):
     return C.exact_matches(t.documents, items, "doc_id", "text", "item_id", ["question", "answer"])
 
 
-def _pairs(t):
-    return C.ngram_pairs(t.documents, t.benchmark, "doc_id", "text", "item_id", ["text"], N)
+def _matches(t, threshold=None):
+    return C.ngram_matches(t.documents, t.benchmark, "doc_id", "text", "item_id", ["text"], N, threshold)
 
 
 @query("jn_ngram_pairs", PAIRS_SQL + "SELECT doc_id, item_id, round(score, 6) AS score FROM pairs")
 def ngram_pairs(t):
-    return _pairs(t).select("doc_id", "item_id", F.round("score", 6).alias("score"))
+    return C.all_pairs(_matches(t), "doc_id", "item_id").select("doc_id", "item_id", F.round("score", 6).alias("score"))
 
 
 @query(
@@ -89,12 +89,12 @@ def ngram_pairs(t):
                    FROM benchmark LEFT JOIN pairs USING (item_id) GROUP BY item_id""",
 )
 def ngram_items(t):
-    return C.item_scores(t.benchmark, _pairs(t), "item_id", ["text"]).select("item_id", F.round("score", 6).alias("score"))
+    return C.item_scores(t.benchmark, _matches(t).scores, "item_id", ["text"]).select("item_id", F.round("score", 6).alias("score"))
 
 
 @query("jn_ngram_rows", PAIRS_SQL + "SELECT doc_id, round(max(score), 6) AS score FROM pairs GROUP BY doc_id")
 def ngram_rows(t):
-    return C.row_scores(_pairs(t), "doc_id").select("doc_id", F.round("score", 6).alias("score"))
+    return C.row_scores(_matches(t), "doc_id").select("doc_id", F.round("score", 6).alias("score"))
 
 
 @query(
@@ -120,8 +120,7 @@ def ngram_above(t):
 )
 def matrix(t):
     # one training set per language; the set list times the item list is the report itself
-    pairs = _pairs(t).join(t.documents.select("doc_id", "lang"), "doc_id")
-    best = pairs.groupBy("lang", "item_id").agg(F.max("score").alias("best"))
+    best = C.set_scores(_matches(t, 0.5), t.documents, "doc_id", "lang", "item_id")
     sets = t.documents.select("lang").distinct().agg(F.collect_set("lang").alias("langs"))
     langs = F.array(*[F.lit(x) for x in sorted(sets.first()["langs"])])
     cells = t.benchmark.select("item_id", F.explode(langs).alias("lang")).join(best, ["lang", "item_id"], "left")
@@ -137,7 +136,7 @@ def matrix(t):
                    WHERE doc_id NOT IN (SELECT doc_id FROM pairs WHERE score > 0.5)""",
 )
 def decontaminate(t):
-    bad = C.ngram_pairs_above(t.documents, t.benchmark, "doc_id", "text", "item_id", ["text"], N, 0.5)
+    bad = C.contaminated(_matches(t, 0.5), "doc_id")
     return C.drop_contaminated(t.documents, bad, "doc_id").select("doc_id", "lang", "source")
 
 
@@ -149,7 +148,7 @@ def decontaminate(t):
       FROM documents LEFT JOIN bad USING (doc_id)""",
 )
 def kept(t):
-    bad = C.ngram_pairs_above(t.documents, t.benchmark, "doc_id", "text", "item_id", ["text"], N, 0.5)
+    bad = C.contaminated(_matches(t, 0.5), "doc_id")
     return C.kept_report(t.documents, bad, "doc_id")
 
 

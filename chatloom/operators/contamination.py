@@ -1,10 +1,18 @@
-"""Benchmark contamination: phrase and n-gram matching as equi-joins, and removal of the matched rows."""
+"""Benchmark contamination: phrase and n-gram matching as equi-joins, and removal of the matched rows.
+
+A text's n-grams are numbers that a filter of the benchmark's grams is asked for inside the row; only the few that pass are exploded, as strings, and
+joined. Texts that hold the same benchmark grams are one class, and scores are formed per class and item, so that a passage in a third of the corpus is
+scored once.
+"""
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from chatloom.functions.grams import GramFilter, gram_of
 from chatloom.functions.text import col, let
 from chatloom.session import broadcast_if_small, cut_lineage
 
@@ -48,9 +56,9 @@ def _fields(test: DataFrame, item: str, fields: list[str]) -> DataFrame:
 def exact_matches(train: DataFrame, test: DataFrame, key: str, text: str, item: str, fields: list[str], anchor: int = 5) -> DataFrame:
     """(key, item) where every field of the item occurs in the text as a contiguous phrase.
 
-    A first pass finds (text, phrase) candidates by the first ``anchor`` tokens of the phrases; a second pass
-    verifies them against the whole text. Only candidates are kept in between, and the corpus itself is shuffled
-    only when the phrases or the candidates are too many to be broadcast.
+    A first pass finds (text, phrase) candidates by the first ``anchor`` tokens of the phrases, inside the row but for those that a filter of
+    the anchors lets pass; a second pass verifies them against the whole text. Only candidates are kept in between, and the corpus itself is
+    shuffled only when the candidates are too many to be broadcast.
     """
     parts = _fields(test, item, fields)
     phrases = cut_lineage(
@@ -61,12 +69,13 @@ def exact_matches(train: DataFrame, test: DataFrame, key: str, text: str, item:
         .withColumn("gram", F.array_join(F.slice("tokens", F.lit(1), F.col("anchor_len")), " "))
     )
     lengths = sorted(r[0] for r in phrases.select("anchor_len").distinct().collect())  # at most ``anchor`` values
-    grams = let(match_tokens(text), lambda t: F.array_distinct(F.concat(*[token_grams(t, n) for n in lengths or [anchor]])))
-    scan = train.select(F.col(key).alias("key"), F.explode(grams).alias("gram"))
+    by_length = [F.when(F.col("anchor_len") == n, gram_of(F.col("gram"), n)) for n in lengths]
+    known = GramFilter(phrases.select(F.coalesce(*by_length, F.lit(0).cast("long")).alias("h")).distinct())
+    texts = train.select(F.col(key).alias("key"), F.col(text).alias("_text"))
+    scan = known.attach(texts).select("key", F.explode(known.surviving(match_tokens("_text"), lengths or [anchor])).alias("gram"))
     lookup = broadcast_if_small(phrases.select("gram", "pid").distinct())
     candidates = cut_lineage(scan.join(lookup, "gram").select("key", "pid").distinct())
     wanted = broadcast_if_small(candidates.join(broadcast_if_small(phrases.select("pid", "phrase").distinct()), "pid"))
-    texts = train.select(F.col(key).alias("key"), F.col(text).alias("_text"))
     body = F.concat(F.lit(" "), F.array_join(match_tokens("_text"), " "), F.lit(" "))
     hits = texts.join(wanted, "key").filter(F.contains(body, "phrase")).select("key", "pid")
     found = hits.distinct().join(phrases.select("item", "field", "pid"), "pid")
@@ -113,68 +122,103 @@ def item_grams(test: DataFrame, item: str, fields: list[str], n: int) -> DataFra
 
 
 def gram_hits(train: DataFrame, key: str, text: str, grams: DataFrame, n: int) -> DataFrame:
-    """(key, gram) for the benchmark grams present in each text, each once. One pass over the corpus."""
-    wanted = broadcast_if_small(grams.select("gram").distinct())
-    have = train.select(
-        F.col(key).alias("key"), F.explode(F.array_distinct(token_grams(match_tokens(text), n))).alias("gram")
-    )
-    return have.join(wanted, "gram").select("key", "gram")
+    """(key, gid) for the benchmark grams (gram, gid) present in each text, each once. One pass over the corpus; its other grams never leave their row."""
+    known = GramFilter(grams.select(gram_of(F.col("gram"), n).alias("h")))
+    texts = train.select(F.col(key).alias("key"), F.col(text).alias("_text"))
+    have = known.attach(texts).select("key", F.explode(known.surviving(match_tokens("_text"), [n])).alias("gram"))
+    return have.join(broadcast_if_small(grams.select("gram", "gid")), "gram").select("key", "gid")
 
 
 def _coverage(triples: DataFrame) -> DataFrame:
-    """(key, item, score) from (key, item, cover, weight); a pair has at most as many rows as the item has grams."""
-    by_field = triples.groupBy("key", "item", "weight", (F.col("cover")[0] / 1_000_000_000).cast("int").alias("field")).agg(
+    """(cls, item, score) from (cls, item, cover, weight); a pair has at most as many rows as the item has grams."""
+    by_field = triples.groupBy("cls", "item", "weight", (F.col("cover")[0] / 1_000_000_000).cast("int").alias("field")).agg(
         F.size(F.array_distinct(F.flatten(F.collect_list("cover")))).alias("covered")
     )
-    return by_field.groupBy("key", "item").agg(F.sum(F.col("covered") * F.col("weight")).alias("score"))
+    return by_field.groupBy("cls", "item").agg(F.sum(F.col("covered") * F.col("weight")).alias("score"))
 
 
-def ngram_pairs(train: DataFrame, test: DataFrame, key: str, text: str, item: str, fields: list[str], n: int) -> DataFrame:
-    """(key, item, score) of every text and item that share a gram: the full match report."""
-    grams = cut_lineage(item_grams(test, item, fields, n))
-    hits = gram_hits(train, key, text, grams, n)
-    return _named(_coverage(hits.join(broadcast_if_small(grams), "gram")), key, item)
+class Matches(NamedTuple):
+    """Matched texts: ``members`` (key, cls) with the class of their benchmark grams, and ``scores`` (cls, item, score)."""
 
+    members: DataFrame
+    scores: DataFrame
 
-def ngram_pairs_above(
-    train: DataFrame, test: DataFrame, key: str, text: str, item: str, fields: list[str], n: int, threshold: float
-) -> DataFrame:
-    """The pairs with a score above ``threshold``, without forming the pairs that boilerplate grams would give.
 
-    The most frequent grams of an item, as long as together they cannot lift a score above the threshold,
+def ngram_matches(
+    train: DataFrame, test: DataFrame, key: str, text: str, item: str, fields: list[str], n: int, threshold: float | None = None
+) -> Matches:
+    """Scores of every class and item that share a gram, or of those above ``threshold``, without forming the pairs that boilerplate grams would give.
+
+    With a threshold, the most frequent grams of an item, as long as together they cannot lift a score above the threshold,
     create no candidates: a pair above it must share a rarer gram as well. Candidates are then scored on all grams.
     """
-    grams = cut_lineage(item_grams(test, item, fields, n))
-    hits = cut_lineage(gram_hits(train, key, text, grams, n))
-    frequency = hits.groupBy("gram").agg(F.count(F.lit(1)).alias("df"))
-    by_item = Window.partitionBy("item").orderBy(F.desc("df"), "gram").rowsBetween(Window.unboundedPreceding, 0)
+    places = cut_lineage(item_grams(test, item, fields, n))
+    ids = cut_lineage(places.select("gram").distinct().withColumn("gid", F.monotonically_increasing_id()))
+    places = cut_lineage(places.join(broadcast_if_small(ids), "gram").drop("gram"))
+    held = gram_hits(train, key, text, ids, n).groupBy("key").agg(F.sort_array(F.collect_set("gid")).alias("gids"))
+    held = cut_lineage(held.withColumn("cls", F.md5(F.concat_ws(",", F.transform("gids", lambda g: g.cast("string"))))))
+    classes = cut_lineage(held.groupBy("cls").agg(F.first("gids").alias("gids")))
+    hits = classes.select("cls", F.explode("gids").alias("gid"))
+    members = held.select(F.col("key").alias(key), "cls")
+    if threshold is None:
+        return Matches(members, _item_named(_coverage(hits.join(broadcast_if_small(places), "gid")), item))
+    frequency = hits.groupBy("gid").agg(F.count(F.lit(1)).alias("df"))
+    by_item = Window.partitionBy("item").orderBy(F.desc("df"), "gid").rowsBetween(Window.unboundedPreceding, 0)
     rare = (
-        grams.join(frequency, "gram")
+        places.join(frequency, "gid")
         .withColumn("reach", F.sum(F.size("cover") * F.col("weight")).over(by_item))
         .filter(F.col("reach") > threshold - 1e-9)
-        .select("gram", "item")
+        .select("gid", "item")
     )
-    candidates = hits.join(broadcast_if_small(rare), "gram").select("key", "item").distinct()
-    wanted = candidates.join(broadcast_if_small(grams), "item")
-    scored = _coverage(wanted.join(hits, ["key", "gram"], "left_semi"))
-    return _named(scored.filter(F.col("score") > threshold), key, item)
+    candidates = hits.join(rare, "gid").select("cls", "item").distinct()
+    scored = _coverage(candidates.join(broadcast_if_small(places), "item").join(hits, ["cls", "gid"], "left_semi"))
+    return Matches(members, _item_named(scored.filter(F.col("score") > threshold), item))
 
 
-def _named(df: DataFrame, key: str, item: str) -> DataFrame:
-    return df.select(F.col("key").alias(key), F.col("item").alias(item), "score")
+def _item_named(scores: DataFrame, item: str) -> DataFrame:
+    return scores.select("cls", F.col("item").alias(item), "score")
 
 
-def item_scores(test: DataFrame, pairs: DataFrame, item: str, fields: list[str]) -> DataFrame:
-    """Best score per item, 0 for items without any match."""
-    best = pairs.groupBy(item).agg(F.max("score").alias("best"))
+def ngram_pairs(train: DataFrame, test: DataFrame, key: str, text: str, item: str, fields: list[str], n: int) -> DataFrame:
+    """(key, item, score) of every text and item that share a gram: the full match report."""
+    return all_pairs(ngram_matches(train, test, key, text, item, fields, n), key, item)
+
+
+def ngram_pairs_above(
+    train: DataFrame, test: DataFrame, key: str, text: str, item: str, fields: list[str], n: int, threshold: float
+) -> DataFrame:
+    """The pairs with a score above ``threshold``."""
+    return all_pairs(ngram_matches(train, test, key, text, item, fields, n, threshold), key, item)
+
+
+def all_pairs(found: Matches, key: str, item: str) -> DataFrame:
+    """The scores of every member of a class: the report itself."""
+    return found.members.join(found.scores, "cls").select(key, item, "score")
+
+
+def contaminated(found: Matches, key: str) -> DataFrame:
+    """The texts of the classes that have a score, each once."""
+    return found.members.join(found.scores.select("cls").distinct(), "cls", "left_semi").select(key)
+
+
+def item_scores(test: DataFrame, scores: DataFrame, item: str, fields: list[str]) -> DataFrame:
+    """Best score per item, 0 for items without any match; ``scores`` of pairs or of classes."""
+    best = scores.groupBy(item).agg(F.max("score").alias("best"))
     return test.dropna(subset=fields).select(item).join(best, item, "left").select(
         item, F.coalesce("best", F.lit(0.0)).alias("score")
     )
 
 
-def row_scores(pairs: DataFrame, key: str) -> DataFrame:
-    """Best score per training row."""
-    return pairs.groupBy(key).agg(F.max("score").alias("score"))
+def row_scores(found: Matches, key: str) -> DataFrame:
+    """Best score per training row: one number a class."""
+    best = found.scores.groupBy("cls").agg(F.max("score").alias("score"))
+    return found.members.join(best, "cls").select(key, "score")
+
+
+def set_scores(found: Matches, sets: DataFrame, key: str, train_set: str, item: str) -> DataFrame:
+    """(train_set, item, best): best score of an item in each training set of ``sets`` (key, train_set); a class counts once a set."""
+    present = found.members.join(sets.select(key, train_set), key).select("cls", train_set).distinct()
+    return present.join(found.scores, "cls").groupBy(train_set, item).agg(F.max("score").alias("best"))
 
 
 def match_matrix(scores: DataFrame, train_set: str, eval_set: str, threshold: float | None, eval_sets: list[str]) -> DataFrame:

@@ -9,7 +9,7 @@ from chatloom.operators.statistics import language_shares
 
 
 def clean_rows(documents: DataFrame, benchmark: DataFrame, n: int = 8, threshold: float = 0.5) -> DataFrame:
-    bad = C.ngram_pairs_above(documents, benchmark, "doc_id", "text", "item_id", ["text"], n, threshold)
+    bad = C.contaminated(C.ngram_matches(documents, benchmark, "doc_id", "text", "item_id", ["text"], n, threshold), "doc_id")
     return C.drop_contaminated(documents, bad, "doc_id")
 
 
