@@ -9,6 +9,7 @@ from chatloom.functions.chat import chat_rows, flat
 from chatloom.functions.templates import TEMPLATES, render
 from chatloom.functions.text import hash_key
 from chatloom.operators import packing as P
+from chatloom.operators.nextfit import chunk_boundaries
 
 TOK = r"regexp_extract_all({c}, '[\p{{L}}\p{{N}}_]+|[^\p{{L}}\p{{N}}_\s]')"
 
@@ -197,31 +198,58 @@ def shards(t):
     ).withColumn("shard", F.col("shard").cast("long"))
 
 
-@query("tk_chunk_boundaries")
+# Next-fit over all rows in hash order, one step a row.
+NEXT_FIT = lambda rows, cap: f"""WITH RECURSIVE r AS ({rows}),
+  f(i, used, pack) AS (SELECT i, n, 0 FROM r WHERE i = 1 UNION ALL
+    SELECT r.i, CASE WHEN used + n > {cap} THEN n ELSE used + n END, CASE WHEN used + n > {cap} THEN pack + 1 ELSE pack END FROM f JOIN r ON r.i = f.i + 1)"""
+
+
+@query(
+    "tk_chunk_boundaries",
+    NEXT_FIT(
+        f"""SELECT n, sum(n) OVER (ORDER BY h) AS e, row_number() OVER (ORDER BY h) AS i
+            FROM (SELECT len({toks('text')}) AS n, md5('42:' || doc_id) AS h FROM documents) WHERE n > 0""", 5000)
+    + """ SELECT pack::BIGINT AS chunk, min(e - n)::BIGINT AS start, max(e)::BIGINT AS "end" FROM f JOIN r USING (i) GROUP BY pack""",
+)
 def chunks(t):
-    sized = P.bucketed(t.documents.select("doc_id", T.token_count("text").alias("size")), hash_key("doc_id"), 2000)
-    return P.chunk_boundaries(sized, "size", 5000)
+    sized = t.documents.select("doc_id", T.token_count("text").alias("size"))
+    return chunk_boundaries(sized, hash_key("doc_id"), F.col("size"), 5000)
 
 
 def packable(t):
-    chats = chat_rows(t.conversations.filter("role <> 'system'")).filter(F.size("messages") >= 2)
-    first, second = F.get("messages", F.lit(0))["content"], F.get("messages", F.lit(1))["content"]
-    coded = chats.select("conv_id", T.word_ids(F.array(first, second)).alias("x")).select(
-        "conv_id", F.col("x")[0].alias("query"), F.col("x")[1].alias("response")
-    )
-    rows = coded.withColumn("mask", F.transform("response", lambda x: F.lit(1))).withColumn("logprobs", F.transform("response", lambda x: (-x / 50000).cast("float")))
-    return P.bucketed(rows, hash_key("conv_id"), 1000)
+    """All turns of a chat: the last one answers those before it."""
+    coded = chat_rows(t.conversations).select("conv_id", T.word_ids(F.transform("messages", lambda m: m["content"])).alias("x"))
+    rows = coded.select("conv_id", F.flatten(F.slice("x", F.lit(1), F.size("x") - 1)).alias("query"), F.element_at("x", -1).alias("response"))
+    return rows.withColumn("mask", F.transform("response", lambda x: F.lit(1))).withColumn("logprobs", F.transform("response", lambda x: (-x / 50000).cast("float")))
+
 
+PACKS = NEXT_FIT(
+    f"""SELECT *, q + a AS n, row_number() OVER (ORDER BY md5('42:' || conv_id)) AS i FROM (
+          SELECT conv_id, sum(len(x)) - arg_max(len(x), turn) AS q, arg_max(len(x), turn) AS a, flatten(list(x ORDER BY turn)) AS ids
+          FROM (SELECT conv_id, turn, {ids('text')} AS x FROM conversations) GROUP BY conv_id)""", 900)
 
-@query("tk_packs")
+
+@query(
+    "tk_packs",
+    PACKS + """, p AS (SELECT *, row_number() OVER (PARTITION BY pack ORDER BY i) AS s FROM f JOIN r USING (i))
+      SELECT pack::BIGINT AS pack, sum(n)::INT AS size, string_agg(n::BIGINT::VARCHAR, ',' ORDER BY i) AS lengths, string_agg(a::VARCHAR, ',' ORDER BY i) AS actions,
+        md5(coalesce(string_agg(nullif(array_to_string(list_resize([]::INT[], n::BIGINT, s::INT), ','), ''), ',' ORDER BY i), '')) AS attention,
+        md5(coalesce(string_agg(nullif(array_to_string(ids, ','), ''), ',' ORDER BY i), '')) AS ids,
+        md5(coalesce(string_agg(nullif(array_to_string(list_concat(list_resize([]::INT[], q::BIGINT, 0), list_resize([]::INT[], a, i::INT)), ','), ''), ',' ORDER BY i), '')) AS response_mask,
+        md5(coalesce(string_agg(nullif(array_to_string(list_concat(list_resize([]::INT[], greatest(n - 1, 0)::BIGINT, 0), CASE WHEN n > 0 THEN [i::INT] ELSE [] END), ','), ''), ',' ORDER BY i), '')) AS dones
+      FROM p GROUP BY pack""",
+)
 def packs(t):
-    p = P.pack(packable(t), 600, -1)
-    return p.select("bucket", "pack", F.size("ids").alias("size"), csv("lengths").alias("lengths"), csv("num_actions").alias("actions"), F.md5(csv("attention")).alias("attention"))
+    p = P.pack(packable(t), 900, -1, hash_key("conv_id"))
+    return p.select("pack", F.size("ids").alias("size"), csv("lengths").alias("lengths"), csv("num_actions").alias("actions"), *[F.md5(csv(c)).alias(c) for c in ("attention", "ids", "response_mask", "dones")])
 
 
-@query("tk_pack_efficiency")
+@query(
+    "tk_pack_efficiency",
+    PACKS + """ SELECT count(DISTINCT pack) AS packs, count(*)::BIGINT AS sequences, round(sum(n) / (count(DISTINCT pack) * 900), 6)::DOUBLE AS efficiency FROM f JOIN r USING (i)""",
+)
 def efficiency(t):
-    return P.pack_efficiency(P.pack(packable(t), 600, -1), 600)
+    return P.pack_efficiency(P.pack(packable(t), 900, -1, hash_key("conv_id")), 900)
 
 
 @query(

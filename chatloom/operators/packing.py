@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from chatloom.operators.ordering import row_numbers, running_total
-
-BUCKET_ROWS = 50_000  # rows a sequential greedy step sees at most; results are defined per bucket
+from chatloom.operators.nextfit import in_blocks
+from chatloom.operators.ordering import running_total
+from chatloom.session import cut_lineage
 
 
 def document_offsets(df: DataFrame, order: Column, size: Column) -> DataFrame:
@@ -41,89 +43,73 @@ def shard_pieces(offsets: DataFrame, shard_tokens: int, key: str, ids: str, mask
     return b.select(key, "shard", "from", "to", F.slice(ids, at, n).alias("tokens"), F.slice(mask, at, n).alias("mask"))
 
 
-def bucketed(df: DataFrame, order: Column, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
-    """(bucket, pos): position in hash order, split into buckets of bounded size."""
-    numbered = row_numbers(df, order, "_n")
-    return numbered.withColumn("bucket", F.floor(F.col("_n") / bucket_rows)).withColumn("pos", F.col("_n") % bucket_rows).drop("_n")
-
-
-def chunk_boundaries(df: DataFrame, size: str, capacity: int) -> DataFrame:
-    """(bucket, chunk, start, end) of greedy chunks that never split an item; an oversize item stands alone.
-
-    Expects (bucket, pos, size); offsets are counted from the start of the bucket.
-    """
-
-    def cut(pdf: pd.DataFrame) -> pd.DataFrame:
-        sizes = pdf.sort_values("pos")[size].to_numpy()
-        ends = np.cumsum(sizes)
-        spans, first = [], 0
-        while first < len(sizes):
-            base = ends[first] - sizes[first]
-            last = max(first + 1, int(np.searchsorted(ends, base + capacity, side="right")))
-            spans.append((base, ends[last - 1]))
-            first = last
-        spans = [s for s in spans if s[1] > s[0]]
-        return pd.DataFrame(
-            {"bucket": pdf["bucket"].iloc[0], "chunk": range(len(spans)), "start": [s[0] for s in spans], "end": [s[1] for s in spans]}
-        )
-
-    return df.select("bucket", "pos", size).groupBy("bucket").applyInPandas(cut, "bucket long, chunk long, start long, end long")
-
-
 PACK_SCHEMA = (
-    "bucket long, pack long, ids array<int>, attention array<int>, response_mask array<int>, dones array<int>, "
+    "pack long, ids array<int>, attention array<int>, response_mask array<long>, dones array<long>, "
     "positions array<int>, num_actions array<int>, lengths array<int>, logprobs array<float>"
 )
+PACK_ARRAYS = ["ids", "attention", "response_mask", "dones", "positions", "num_actions", "lengths", "logprobs"]
 
 
-def pack(df: DataFrame, pack_length: int, pad: int, use_mask: bool = False) -> DataFrame:
-    """Next-fit packs per bucket from (bucket, pos, query, response, mask, logprobs); pad tokens are removed.
+def pack(df: DataFrame, pack_length: int, pad: int, order: Column, use_mask: bool = False, block: Column | None = None) -> DataFrame:
+    """Next-fit packs over all rows (query, response, mask, logprobs) in ``order``, a unique hash; pad tokens are removed.
 
     Inside a pack every sequence has its own attention number and restarting positions; response tokens carry the
-    one-based number of their row in the bucket, and the last token of a row is marked as done with it. Query tokens
-    have no log probability (null).
+    one-based number of their row in the order, and the last token of a row is marked as done with it. Query tokens
+    have no log probability (null). A task holds one pack at a time; a pack that goes on in the next block of rows is put together from its pieces.
     """
-
-    def rows_of(pdf: pd.DataFrame):
-        for i, r in enumerate(pdf.sort_values("pos").itertuples(index=False), start=1):
-            q = np.asarray(r.query, dtype="int32")
-            q = q[q != pad]
-            a = np.asarray(r.response, dtype="int32")
-            keep = a != pad
-            m = np.asarray(r.mask, dtype="int32")[keep]
-            yield i, q, a[keep], m, np.asarray(r.logprobs, dtype="float32")[keep]
-
-    def build(pdf: pd.DataFrame) -> pd.DataFrame:
-        packs, used = [[]], 0
-        for row in rows_of(pdf):
-            n = len(row[1]) + len(row[2])
-            if used + n > pack_length:
-                packs.append([])
-                used = 0
-            packs[-1].append(row)
-            used += n
-        out = []
-        for p, rows in enumerate(p for p in packs if p):
-            sizes = [len(q) + len(a) for _, q, a, _, _ in rows]
-            zero = lambda k: np.zeros(k, dtype="int32")
-            join = lambda parts: np.concatenate(parts).tolist() if parts else []
-            out.append(
-                {
-                    "bucket": pdf["bucket"].iloc[0], "pack": p,
-                    "ids": join([np.concatenate([q, a]) for _, q, a, _, _ in rows]),
-                    "attention": join([np.full(n, s + 1, dtype="int32") for s, n in enumerate(sizes)]),
-                    "response_mask": join(
-                        [np.concatenate([zero(len(q)), np.where(m != 0, i, 0) if use_mask else np.full(len(a), i)]) for i, q, a, m, _ in rows]
-                    ),
-                    "dones": join([np.concatenate([zero(n - 1), [r[0]]]) for r, n in zip(rows, sizes) if n]),
-                    "positions": join([np.arange(n) for n in sizes]),
-                    "num_actions": [len(a) for _, _, a, _, _ in rows], "lengths": sizes,
-                    "logprobs": join([np.concatenate([np.full(len(q), np.nan), lp]) for _, q, _, _, lp in rows]),
-                }
-            )
-        return pd.DataFrame(out)
-
-    return df.select("bucket", "pos", "query", "response", "mask", "logprobs").groupBy("bucket").applyInPandas(build, PACK_SCHEMA)
+    size = F.size(F.filter("query", lambda x: x != pad)) + F.size(F.filter("response", lambda x: x != pad))
+    rows = in_blocks(df.select("query", "response", "mask", "logprobs", order.alias("_order")), F.col("_order"), size, pack_length, block)
+
+    def arrays(pack: int, held: int, first: int, whole: bool, rows: list[tuple]) -> dict:
+        """The piece of a pack; ``held`` rows of it stand in earlier blocks, and ``first`` is the number of its first row here."""
+        join = lambda parts: np.concatenate(parts).tolist() if parts else []
+        sizes = [len(q) + len(a) for q, a, _, _ in rows]
+        marks = [np.where(m != 0, i, 0) if use_mask else np.full(len(a), i) for i, (_, a, m, _) in enumerate(rows, first + 1)]
+        return {
+            "pack": pack, "piece": first, "whole": whole,
+            "ids": join([np.concatenate([q, a]) for q, a, _, _ in rows]),
+            "attention": join([np.full(n, held + s + 1) for s, n in enumerate(sizes)]),
+            "response_mask": join([np.concatenate([np.zeros(len(q), "int64"), x]) for (q, _, _, _), x in zip(rows, marks)]),
+            "dones": join([np.concatenate([np.zeros(n - 1, "int64"), [i]]) for i, n in enumerate(sizes, first + 1) if n]),
+            "positions": join([np.arange(n) for n in sizes]),
+            "num_actions": [len(a) for _, a, _, _ in rows], "lengths": sizes,
+            "logprobs": join([np.concatenate([np.full(len(q), np.nan, "float32"), x]) for q, _, _, x in rows]),
+        }
+
+    def build(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        block, open_, used, held, number, first, own = None, [], 0, 0, 0, 0, False
+        for pdf in parts:
+            out, weight = [], 0
+            for b, q, a, mask, logprobs, *state in zip(*(pdf[c] for c in ("_b", "query", "response", "mask", "logprobs", "used", "held", "pack", "first"))):
+                if b != block:
+                    if open_:
+                        out.append(arrays(number, held, first, False, open_))
+                    block, open_, own = b, [], False
+                    used, held, number, first = map(int, state)
+                q, a = np.asarray(q, dtype="int32"), np.asarray(a, dtype="int32")
+                q, keep = q[q != pad], a != pad
+                row = (q, a[keep], np.asarray(mask, dtype="int32")[keep], np.asarray(logprobs, dtype="float32")[keep])
+                n = len(row[0]) + len(row[1])
+                if used + n > pack_length:
+                    if open_:
+                        out.append(arrays(number, held, first, own, open_))
+                        first += len(open_)
+                    open_, used, held, number, own = [], 0, 0, number + 1, True
+                open_.append(row)
+                used += n
+                weight += n
+                if weight > 1 << 18 and out:
+                    yield pd.DataFrame(out)
+                    out, weight = [], 0
+            if out:
+                yield pd.DataFrame(out)
+        if open_:
+            yield pd.DataFrame([arrays(number, held, first, False, open_)])
+
+    pieces = cut_lineage(rows.mapInPandas(build, PACK_SCHEMA + ", piece long, whole boolean"))
+    broken = pieces.filter("NOT whole").groupBy("pack").agg(F.array_sort(F.collect_list(F.struct("piece", *PACK_ARRAYS))).alias("p"))
+    joined = broken.select("pack", *[F.flatten(F.col(f"p.{c}")).alias(c) for c in PACK_ARRAYS])
+    return pieces.filter("whole").select(joined.columns).unionByName(joined)
 
 
 def pack_efficiency(packs: DataFrame, pack_length: int) -> DataFrame:

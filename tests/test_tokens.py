@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from chatloom.functions import tokens as T
 from chatloom.functions.templates import TEMPLATES, render
 from chatloom.operators import packing as P
+from chatloom.operators.nextfit import chunk_boundaries
 
 WORD = re.compile(r"[^\W]+|[^\w\s]")
 
@@ -103,8 +104,9 @@ def test_truncate_to_context(spark):
 def test_chunk_boundaries(spark, seed):
     rng = random.Random(seed)
     sizes = [rng.choice([1, 5, 9, 60]) for _ in range(80)]
-    df = spark.createDataFrame([(0, i, s) for i, s in enumerate(sizes)], "bucket long, pos long, size long")
-    got = sorted((r["start"], r["end"]) for r in P.chunk_boundaries(df, "size", 20).collect())
+    df = spark.createDataFrame([(f"{i:04x}", s) for i, s in enumerate(sizes)], "o string, size long")
+    block = F.substring("_o", 1, 4 - seed)
+    got = sorted((r["start"], r["end"]) for r in chunk_boundaries(df, F.col("o"), F.col("size"), 20, block).collect())
     want, start, cur, total = [], 0, 0, 0
     for s in sizes:
         if cur + s > 20 and cur > 0:
@@ -118,15 +120,15 @@ def test_chunk_boundaries(spark, seed):
 
 
 def test_pack(spark):
-    rows = [(0, 0, [1, 2], [3, 4, 0], [1, 1, 1], [0.1, 0.2, 0.3]), (0, 1, [5], [6], [0], [0.4]), (0, 2, [7, 8, 9], [10, 11], [1, 0], [0.5, 0.6])]
-    df = spark.createDataFrame(rows, "bucket long, pos long, query array<int>, response array<int>, mask array<int>, logprobs array<float>")
-    a, b = P.pack(df, 6, 0).orderBy("pack").collect()
+    rows = [("00", [1, 2], [3, 4, 0], [1, 1, 1], [0.1, 0.2, 0.3]), ("01", [5], [6], [0], [0.4]), ("02", [7, 8, 9], [10, 11], [1, 0], [0.5, 0.6])]
+    df = spark.createDataFrame(rows, "o string, query array<int>, response array<int>, mask array<int>, logprobs array<float>")
+    a, b = P.pack(df, 6, 0, F.col("o")).orderBy("pack").collect()
     assert a["ids"] == [1, 2, 3, 4, 5, 6] and b["ids"] == [7, 8, 9, 10, 11]
     assert a["attention"] == [1, 1, 1, 1, 2, 2] and b["attention"] == [1] * 5
     assert a["response_mask"] == [0, 0, 1, 1, 0, 2] and a["dones"] == [0, 0, 0, 1, 0, 2] and b["dones"] == [0, 0, 0, 0, 3]
     assert a["positions"] == [0, 1, 2, 3, 0, 1] and a["num_actions"] == [2, 1] and a["lengths"] == [4, 2]
     assert a["logprobs"][0] is None and abs(a["logprobs"][2] - 0.1) < 1e-6
-    m = P.pack(df, 6, 0, use_mask=True).orderBy("pack").collect()
+    m = P.pack(df, 6, 0, F.col("o"), use_mask=True).orderBy("pack").collect()
     assert m[0]["response_mask"] == [0, 0, 1, 1, 0, 0] and m[1]["response_mask"] == [0, 0, 0, 3, 0]
 
 
@@ -138,3 +140,48 @@ def test_positions_do_not_depend_on_partitions(spark):
         {(r["id"], r["start"], r["end"]) for r in P.document_offsets(base.repartition(p), hash_key("id"), F.col("n")).collect()} for p in (1, 7, 60)
     ]
     assert runs[0] == runs[1] == runs[2]
+
+
+def plain_packs(rows, capacity):
+    """(numbers of the rows, tokens) of every pack, one row after the other."""
+    packs, used = [], capacity + 1
+    for i, n in enumerate(rows):
+        if used + n > capacity:
+            packs.append([])
+            used = 0
+        packs[-1].append(i)
+        used += n
+    return packs
+
+
+@pytest.mark.parametrize("digits,partitions", [(1, 1), (3, 7), (4, 50)])
+def test_packs_do_not_depend_on_blocks(spark, digits, partitions):
+    rng = random.Random(digits)
+    sizes = [rng.choice([0, 0, 1, 3, 7, 19, 20, 21, 60]) for _ in range(400)]
+    lengths = [(rng.randint(0, n), n) for n in sizes]
+    rows = [(f"{i * 13:04x}", list(range(1, q + 1)) + [0], list(range(q + 1, n + 1)), [i % 2] * (n - q), [0.5] * (n - q)) for i, (q, n) in enumerate(lengths)]
+    df = spark.createDataFrame(rows, "o string, query array<int>, response array<int>, mask array<int>, logprobs array<float>").repartition(partitions)
+    got = P.pack(df, 20, 0, F.col("o"), block=F.substring("_o", 1, digits)).orderBy("pack").collect()
+    want = plain_packs(sizes, 20)
+    assert [r["pack"] for r in got] == list(range(len(want)))
+    for r, pack in zip(got, want):
+        assert r["lengths"] == [sizes[i] for i in pack] and r["num_actions"] == [sizes[i] - lengths[i][0] for i in pack]
+        assert r["attention"] == [s + 1 for s, i in enumerate(pack) for _ in range(sizes[i])]
+        assert r["ids"] == [x for i in pack for x in range(1, sizes[i] + 1)] and r["positions"] == [x for i in pack for x in range(sizes[i])]
+        assert r["response_mask"] == [0 if x < lengths[i][0] else i + 1 for i in pack for x in range(sizes[i])]
+        assert r["dones"] == [i + 1 if x == sizes[i] - 1 else 0 for i in pack for x in range(sizes[i])]
+    full = [n for n in sizes if n]
+    spans, at = [], 0
+    for pack in plain_packs(full, 20):
+        spans.append((len(spans), at, at + sum(full[i] for i in pack)))
+        at = spans[-1][2]
+    found = chunk_boundaries(df, F.col("o"), F.size("query") - 1 + F.size("response"), 20, F.substring("_o", 1, digits))
+    assert sorted(map(tuple, found.collect())) == spans
+
+
+def test_long_rows_are_packed_one_pack_at_a_time(spark):
+    rows = spark.range(200, numPartitions=3).select(
+        F.lpad(F.hex("id"), 8, "0").alias("o"), F.array_repeat(F.lit(7), 100).alias("query"), F.array_repeat(F.lit(8), 32_000).alias("response"),
+        F.array_repeat(F.lit(1), 32_000).alias("mask"), F.array_repeat(F.lit(0.5), 32_000).cast("array<float>").alias("logprobs"))
+    got = P.pack(rows, 65_000, -1, F.col("o"), block=F.substring("_o", 1, 7)).select("pack", F.size("ids").alias("n"), F.size("lengths").alias("k")).collect()
+    assert sorted(map(tuple, got)) == [(i, 64_200, 2) for i in range(100)]
