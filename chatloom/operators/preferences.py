@@ -263,29 +263,28 @@ def solved_prompts(df: DataFrame, prompt: str, score: str, max_score: float, rat
 def gae(gamma: float, lam: float):
     """Kernel for advantages and returns of trajectory rows: ``gae(g, l)(values, rewards, dones, response_mask)``.
 
-    The backward recursion runs over the time axis for all rows of an Arrow batch at once and is linear in the
-    length of a trajectory. Dones and query tokens cut it; pass arrays of zeros and ones to have no cut.
+    The steps of all rows of an Arrow batch stand one after the other, and the backward recursion ``a[t] + c[t] * adv[t + 1]`` is put together over
+    reaches of 1, 2, 4, ... steps; a reach ends where c is 0, at the end of a row, a done, or a query token. Memory follows the steps of a batch, not its longest row.
+    Pass arrays of zeros as dones and of ones as mask to have no cut.
     """
 
     @F.pandas_udf("advantages array<double>, returns array<double>")
     def kernel(values: pd.Series, rewards: pd.Series, dones: pd.Series, response_mask: pd.Series) -> pd.DataFrame:
         size = values.map(len).to_numpy()
-        width = int(size.max()) if len(size) else 0
-
-        def grid(rows: pd.Series) -> np.ndarray:
-            out = np.zeros((len(rows), width + 1))
-            for i, row in enumerate(rows):
-                out[i, : len(row)] = row
-            return out
-
-        v, r, d, m = (grid(x) for x in (values, rewards, dones, response_mask))
+        flat = lambda rows: np.concatenate([np.zeros(0), *(np.asarray(x, dtype="float64") for x in rows)])
+        v, r, d, m = (flat(x) for x in (values, rewards, dones, response_mask))
+        ends = np.cumsum(size)
         passes = (1 - np.clip(d, 0, 1)) * np.clip(m, 0, 1)
-        adv = np.zeros_like(v)
-        for t in range(width - 1, -1, -1):
-            inside = t < size - 1  # the last step of each row has no successor
-            delta = r[:, t] + gamma * np.where(inside, v[:, t + 1], 0.0) * passes[:, t] - v[:, t]
-            adv[:, t] = np.where(t < size, delta + gamma * lam * adv[:, t + 1] * passes[:, t], 0.0)
-        return pd.DataFrame({"advantages": [a[:n] for a, n in zip(adv, size)], "returns": [a[:n] for a, n in zip(adv + v, size)]})
+        passes[ends[size > 0] - 1] = 0.0  # the last step of a row has no successor
+        adv = r + gamma * np.append(v[1:], 0.0)[: len(v)] * passes - v
+        reach, step = gamma * lam * passes, 1
+        while step < len(v) and reach.any():
+            # a product of two reaches of ``step`` steps is one of twice as many
+            adv[:-step] = adv[:-step] + reach[:-step] * adv[step:]
+            reach = np.append(reach[:-step] * reach[step:], np.zeros(step))
+            step *= 2
+        cuts = ends[:-1]
+        return pd.DataFrame({"advantages": np.split(adv, cuts)[: len(size)], "returns": np.split(adv + v, cuts)[: len(size)]})
 
     return kernel
 

@@ -1,4 +1,8 @@
-"""Nearest training vectors per evaluation vector by cosine similarity."""
+"""Nearest training vectors per evaluation vector by cosine similarity.
+
+Both sides may be large. Corpus rows are packed into matrices where they are read, queries into blocks of bounded size; one join gives each corpus matrix every
+query block (broadcast if all blocks are small), and a product of two matrices keeps the k best of each query. Only those are shuffled to the final cut.
+"""
 
 from __future__ import annotations
 
@@ -10,55 +14,61 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chatloom.operators.sampling import first_k
+from chatloom.session import cut_lineage
 
-QUERY_BLOCK = 1024  # queries held in memory by a task at a time: the proven bound of the broadcast
+QUERY_BLOCK = 1024  # queries in a block
+BROADCAST_BYTES = 64 << 20  # of all query blocks together
+CELLS = 1 << 22  # products that are held at once
 
 
 def top_matches(corpus: DataFrame, queries: DataFrame, key: str, vector: str, k: int = 5, block: int = QUERY_BLOCK) -> DataFrame:
-    """(query, key, score) of the k best corpus vectors per query, ties by key.
-
-    Queries travel in blocks of bounded size; one pass over the corpus per block keeps k candidates per query and
-    task, and the final cut sees only those. With more queries than a block holds, the passes are put together.
-    """
+    """(query, key, score) of the k best corpus vectors per query, ties by key. Keys of any type; vectors of one length."""
 
     # kernels carry what they need, so executors do not have to import this package
     def unit(m: np.ndarray) -> np.ndarray:
         norm = np.linalg.norm(m, axis=1, keepdims=True)
         return m / np.where(norm == 0, 1, norm)
 
-    spark = corpus.sparkSession
-    blocks = max(1, -(-queries.count() // block))
-    numbered = queries.select(F.col(key).alias("query"), F.col(vector).alias("v"), F.pmod(F.xxhash64(key), F.lit(blocks)).alias("b"))
-    out = None
-    for b in range(blocks):
-        rows = numbered.filter(F.col("b") == b).select("query", "v").limit(4 * block + 1).toPandas()
-        if len(rows) > 4 * block:  # cannot happen with unique keys; never cut silently
-            raise ValueError("query keys are not unique enough to be split into blocks")
-        ids = rows["query"].to_numpy()
-        if not len(ids):
-            continue
-        shared = spark.sparkContext.broadcast((ids, unit(np.stack(rows["v"].to_numpy()).astype("float64"))))
-
-        def scan(parts: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
-            ids, q = shared.value
-            best_s = np.full((len(ids), 0), -np.inf)
-            best_k = np.full((len(ids), 0), 0, dtype="int64")
-            for pdf in parts:
-                if not len(pdf):
-                    continue
-                keys = pdf["key"].to_numpy(dtype="int64")
-                scores = np.concatenate([best_s, np.round(q @ unit(np.stack(pdf["v"].to_numpy()).astype("float64")).T, 9)], axis=1)
-                all_k = np.concatenate([best_k, np.broadcast_to(keys, (len(ids), len(keys)))], axis=1)
-                order = np.lexsort((all_k, -scores), axis=1)[:, :k]
-                best_s, best_k = np.take_along_axis(scores, order, 1), np.take_along_axis(all_k, order, 1)
-            if best_s.shape[1]:
-                yield pd.DataFrame({"query": np.repeat(ids, best_s.shape[1]), "key": best_k.ravel(), "score": best_s.ravel()})
-
-        part = corpus.select(F.col(key).alias("key"), F.col(vector).alias("v")).mapInPandas(scan, "query long, key long, score double")
-        out = part if out is None else out.unionByName(part)
-    if out is None:
-        return spark.createDataFrame([], "query long, key long, score double")
-    return first_k(out, ["query"], [F.desc("score"), "key"], k)
+    def packed(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in parts:
+            if len(pdf):
+                yield pd.DataFrame({"ids": [pdf["id"].tolist()], "rows": [unit(np.stack(pdf["v"].to_numpy()).astype("float64")).tobytes()]})
+
+    def best(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in parts:
+            for q_ids, q, c_ids, c in zip(pdf["q_ids"], pdf["q_rows"], pdf["ids"], pdf["rows"]):
+                q, c = (np.frombuffer(raw).reshape(len(i), -1) for raw, i in ((q, q_ids), (c, c_ids)))
+                rank = np.unique(np.asarray(c_ids), return_inverse=True)[1]
+                step = max(1, CELLS // len(c))
+                for a in range(0, len(q), step):
+                    scores = np.round(q[a : a + step] @ c.T, 9)
+                    least = -np.partition(-scores, min(k, len(c)) - 1, axis=1)[:, min(k, len(c)) - 1]
+                    row, at = np.nonzero(scores >= least[:, None])
+                    order = np.lexsort((rank[at], -scores[row, at], row))
+                    row, at = row[order], at[order]
+                    place = np.arange(len(row)) - np.searchsorted(row, row)
+                    row, at = row[place < k], at[place < k]
+                    yield pd.DataFrame({"query": [q_ids[a + i] for i in row], "key": [c_ids[i] for i in at], "score": scores[row, at]})
+
+    kind = corpus.schema[key].dataType.simpleString()
+    asked = cut_lineage(queries.select(F.col(key).alias("q"), F.col(vector).cast("array<double>").alias("v")))
+    n, width = asked.agg(F.count(F.lit(1)), F.coalesce(F.max(F.size("v")), F.lit(0))).first()
+    blocks = max(1, -(-n // block))
+    number = F.pmod(F.xxhash64("q", "v"), F.lit(blocks)).cast("int")
+    grouped = asked.groupBy(number.alias("block")).agg(F.collect_list("q").alias("q_ids"), F.collect_list("v").alias("m"))
+
+    def matrices(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in parts:
+            rows = [unit(np.stack([np.asarray(x, dtype="float64") for x in m])).tobytes() for m in pdf["m"]]
+            yield pd.DataFrame({"block": pdf["block"], "q_ids": pdf["q_ids"], "q_rows": rows})
+
+    asked = grouped.mapInPandas(matrices, f"block int, q_ids array<{queries.schema[key].dataType.simpleString()}>, q_rows binary")
+    if n * width * 8 <= BROADCAST_BYTES:
+        asked = F.broadcast(asked)
+    rows = corpus.select(F.col(key).alias("id"), F.col(vector).cast("array<double>").alias("v"))
+    rows = rows.mapInPandas(packed, f"ids array<{kind}>, rows binary").withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    found = rows.join(asked, "block").mapInPandas(best, f"query {queries.schema[key].dataType.simpleString()}, key {kind}, score double")
+    return first_k(found, ["query"], [F.desc("score"), "key"], k)
 
 
 def query_scores(matches: DataFrame) -> DataFrame:
