@@ -58,7 +58,7 @@ def groups(t):
     GROUPS + "SELECT user_id AS prompt, event_id AS sample, round((score - m) / (d + 1e-8::DOUBLE), 6) AS advantage FROM c WHERE n = 4 AND d > 0",
 )
 def rollout_groups(t):
-    return groups(t).filter("NOT dropped").select("prompt", "sample", F.round("advantage", 6).alias("advantage"))
+    return groups(t).filter("NOT dropped AND NOT timed_out").select("prompt", "sample", F.round("advantage", 6).alias("advantage"))
 
 
 @query("st_dropped_groups", GROUPS + "SELECT count(*) // 4 AS dropped, 0::BIGINT AS zero, count(*) // 4 AS solved, 0::BIGINT AS other FROM c WHERE n = 4 AND d = 0")
@@ -85,4 +85,4 @@ def votes(t):
     out, checkpoint = folders(t, "votes")
     rows = J.event_time(stream(t, "events"), "ts").withColumn("evaluator", F.col("event_id") % 4)
     J.latest_votes(rows, "user_id", "evaluator", "ts", "event_type", out, checkpoint)
-    return J.current(t.spark, out, ["user_id", "evaluator"]).select("user_id", "evaluator", "event_type")
+    return J.newest_votes(t.spark, out, "user_id", "evaluator", "ts", "event_type").select("user_id", "evaluator", "event_type")

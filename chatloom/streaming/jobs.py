@@ -7,6 +7,7 @@ interruption. Checkpoints and results live below the shared folder the caller pa
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -28,18 +29,37 @@ def event_time(df: DataFrame, column: str) -> DataFrame:
     return df.withColumn(column, F.col(column).cast("timestamp"))
 
 
-def _finish(query: StreamingQuery) -> None:
+class Progress(NamedTuple):
+    """What a run has done: rows read, rows that came behind the watermark and were left out, and rows of state that are kept."""
+
+    read: int
+    late: int
+    state: int
+
+
+PROGRESS = "spark.sql.streaming.numRecentProgressUpdates"
+
+
+def _run(spark: SparkSession, start: Callable[[], StreamingQuery]) -> Progress:
+    """Start a query, wait for its end, and add up the progress of all its triggers."""
+    before = spark.conf.get(PROGRESS)
+    spark.conf.set(PROGRESS, "1000000")
+    try:
+        query = start()
+    finally:
+        spark.conf.set(PROGRESS, before)
     query.awaitTermination()
     if query.exception() is not None:
         raise query.exception()
+    steps = query.recentProgress
+    late = sum(o["numRowsDroppedByWatermark"] for p in steps for o in p["stateOperators"])
+    return Progress(sum(p["numInputRows"] for p in steps), late, sum(o["numRowsTotal"] for o in steps[-1]["stateOperators"]) if steps else 0)
 
 
-def process_incrementally(stream: DataFrame, transform: Callable[[DataFrame], DataFrame], out: str, checkpoint: str) -> None:
+def process_incrementally(stream: DataFrame, transform: Callable[[DataFrame], DataFrame], out: str, checkpoint: str) -> Progress:
     """Stateless plan over new files into Parquet. Commits are per batch; half-written batches are never read."""
-    _finish(
-        transform(stream).writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint)
-        .outputMode("append").trigger(availableNow=True).start()
-    )
+    sink = transform(stream).writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint)
+    return _run(stream.sparkSession, lambda: sink.outputMode("append").trigger(availableNow=True).start())
 
 
 def keep_rows(stream: DataFrame, keep: Column, out: str, checkpoint: str) -> None:
@@ -47,7 +67,7 @@ def keep_rows(stream: DataFrame, keep: Column, out: str, checkpoint: str) -> Non
     process_incrementally(stream, lambda s: s.filter(keep), out, checkpoint)
 
 
-def running_table(stream: DataFrame, keys: list, measures: list[Column], out: str, checkpoint: str) -> None:
+def running_table(stream: DataFrame, keys: list, measures: list[Column], out: str, checkpoint: str) -> Progress:
     """Streaming aggregate whose changed rows are written per batch; ``current`` reads the latest state.
 
     A batch that is repeated after a failure overwrites its own folder, so every change counts once.
@@ -56,17 +76,16 @@ def running_table(stream: DataFrame, keys: list, measures: list[Column], out: st
     def store(batch: DataFrame, epoch: int) -> None:
         batch.write.mode("overwrite").parquet(f"{out}/epoch={epoch}")
 
-    _finish(
-        stream.groupBy(*keys).agg(*measures).writeStream.outputMode("update").option("checkpointLocation", checkpoint)
-        .foreachBatch(store).trigger(availableNow=True).start()
-    )
+    sink = stream.groupBy(*keys).agg(*measures).writeStream.outputMode("update").option("checkpointLocation", checkpoint).foreachBatch(store)
+    return _run(stream.sparkSession, lambda: sink.trigger(availableNow=True).start())
 
 
-def current(spark: SparkSession, out: str, keys: list[str]) -> DataFrame:
-    """Latest row per key of a running table."""
+def current(spark: SparkSession, out: str, keys: list[str], newest: Column | None = None) -> DataFrame:
+    """Latest row per key of a running table: of the last batch, or of the highest ``newest``."""
     log = spark.read.parquet(out)
     rest = [c for c in log.columns if c not in (*keys, "epoch")]
-    return log.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.col("epoch")).alias("r")).select(*keys, "r.*")
+    by = F.col("epoch") if newest is None else newest
+    return log.groupBy(*keys).agg(F.max_by(F.struct(*rest), by).alias("r")).select(*keys, "r.*")
 
 
 def solved_table(stream: DataFrame, prompt: str, score: Column, out: str, checkpoint: str) -> None:
@@ -83,39 +102,57 @@ def accounting_table(stream: DataFrame, source: str, tokens: Column, out: str, c
     running_table(stream, [source], [F.count(F.lit(1)).alias("rows"), F.sum(tokens).alias("tokens")], out, checkpoint)
 
 
-def latest_votes(stream: DataFrame, instance: str, evaluator: str, time: str, vote: str, out: str, checkpoint: str) -> None:
-    """The latest vote per instance and evaluator."""
-    running_table(
-        stream, [instance, evaluator], [F.max_by(vote, F.col(time)).alias(vote), F.max(time).alias(time)], out, checkpoint
+def latest_votes(
+    stream: DataFrame, instance: str, evaluator: str, time: str, vote: str, out: str, checkpoint: str, wait: str = "7 days", span: str = "1 day"
+) -> Progress:
+    """The latest vote per instance, evaluator and ``span`` of time; ``newest_votes`` reads the latest of all.
+
+    A span is state until the watermark, ``wait`` behind the newest vote, has passed it; so the state holds the votes of the last ``wait`` and not all
+    that ever came. Votes behind the watermark are left out and counted in the result.
+    """
+    timed = stream.withWatermark(time, wait)
+    return running_table(
+        timed, [F.window(time, span).alias("span"), instance, evaluator], [F.max_by(vote, F.col(time)).alias(vote), F.max(time).alias(time)], out, checkpoint
     )
 
 
-def rollout_groups(stream: DataFrame, prompt: str, sample: str, score: str, time: str, n: int, out: str, checkpoint: str, wait: str = "1 hour") -> None:
+def newest_votes(spark: SparkSession, out: str, instance: str, evaluator: str, time: str, vote: str) -> DataFrame:
+    """(instance, evaluator, vote, time) of the latest vote among all spans."""
+    return current(spark, out, [instance, evaluator], F.struct(F.col(time), F.col("epoch"))).select(instance, evaluator, vote, time)
+
+
+def rollout_groups(
+    stream: DataFrame, prompt: str, sample: str, score: str, time: str, n: int, out: str, checkpoint: str, wait: str = "1 hour"
+) -> Progress:
     """Groups of ``n`` scored samples per prompt with advantages, emitted as soon as they are complete.
 
     Groups without variance are marked as dropped. Only an unfinished group is kept as state, so it never holds more
-    than ``n - 1`` samples of a prompt; it is given up when the watermark passes its deadline.
+    than ``n - 1`` samples of a prompt; when the watermark passes its deadline its samples are emitted as timed out, without an advantage. So
+    every row that is read is emitted, kept as state (``state`` counts prompts), or came behind the watermark (``late``). New samples of a trigger are
+    taken by time, then by number.
     """
     wait_ms = int(pd.Timedelta(wait).total_seconds() * 1000)
 
     def collect(key: tuple, parts: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
+        samples, scores = (list(x) for x in state.get) if state.exists else ([], [])
         if state.hasTimedOut:
             state.remove()
+            yield pd.DataFrame({"prompt": key[0], "sample": samples, "score": scores, "advantage": np.nan, "dropped": False, "timed_out": True})
             return
-        samples, scores = (list(x) for x in state.get) if state.exists else ([], [])
         newest = 0
         for pdf in parts:
-            pdf = pdf.sort_values("sample")
-            samples += pdf["sample"].tolist()
-            scores += pdf["score"].tolist()
+            pdf = pdf.sort_values(["time", "sample"])
             newest = max(newest, int(pdf["time"].max().timestamp() * 1000))
-            while len(samples) >= n:
-                s = np.array(scores[:n])
-                dropped = bool(s.std() == 0)
-                yield pd.DataFrame(
-                    {"prompt": key[0], "sample": samples[:n], "score": s, "advantage": (s - s.mean()) / (s.std() + 1e-8), "dropped": dropped}
-                )
-                samples, scores = samples[n:], scores[n:]
+            for x, value in zip(pdf["sample"].tolist(), pdf["score"].tolist()):
+                samples.append(x)
+                scores.append(value)
+                if len(samples) == n:
+                    s = np.array(scores)
+                    dropped = bool(s.std() == 0)
+                    yield pd.DataFrame(
+                        {"prompt": key[0], "sample": samples, "score": s, "advantage": (s - s.mean()) / (s.std() + 1e-8), "dropped": dropped, "timed_out": False}
+                    )
+                    samples, scores = [], []
         if samples:
             state.update((samples, scores))
             state.setTimeoutTimestamp(max(newest + wait_ms, state.getCurrentWatermarkMs() + 1))
@@ -127,9 +164,9 @@ def rollout_groups(stream: DataFrame, prompt: str, sample: str, score: str, time
         F.col(time).alias("time"),
     )
     groups = rows.groupBy("prompt").applyInPandasWithState(
-        collect, "prompt long, sample long, score double, advantage double, dropped boolean", STATE_COLUMNS, "append", "EventTimeTimeout"
+        collect, "prompt long, sample long, score double, advantage double, dropped boolean, timed_out boolean", STATE_COLUMNS, "append", "EventTimeTimeout"
     )
-    process_incrementally(groups, lambda g: g, out, checkpoint)
+    return process_incrementally(groups, lambda g: g.withColumn("advantage", F.when(~F.col("timed_out"), F.col("advantage"))), out, checkpoint)
 
 
 def dropped_tally(groups: DataFrame, n: int, solved_score: float) -> DataFrame:
