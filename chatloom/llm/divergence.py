@@ -1,7 +1,7 @@
 """Source divergence audit: an index of terms built in one pass in memory, spilled as sorted runs and merged shard by shard into frequencies.
 
-1. A task builds postings in memory: for each term of a language and source, in how many texts it stands and how often. When the dictionary holds
-   ``MOST`` postings it is spilled as one run, sorted by (language, term, source), and begun anew; so a term is sent once a run, however often it stands.
+1. A task builds postings in memory: for each term of a language, in how many texts of each source it stands and how often. When the memory holds
+   ``MOST`` postings, half of them different, it is spilled as one run, sorted by (language, term), and begun anew; so a term is sent once a run.
 2. Runs are dealt over shards by a hash of (language, term). In a shard they are merged in sorted order (the sort of a shuffle partition is a heap merge of
    runs on disk) and read as a stream that adds up neighbouring postings: the frequencies of a term in all sources. Terms of fewer than ``least`` texts go.
 3. Sums over the frequencies give the sizes; the price of a term in a source is ``1 + floor(10**9 * (count + 1) / (N + V))``, in whole numbers throughout.
@@ -18,11 +18,13 @@ blocks of bounded size; repeated rows count each; a language with one source has
 from __future__ import annotations
 
 import re
-from collections import Counter
+from bisect import bisect_left
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -30,10 +32,11 @@ from chatloom.llm.frames import cut
 from chatloom.session import broadcast_if_small
 
 UNIT = 10**9
-MOST = 400_000  # postings, or pairs, that a task holds
+MOST = 1_000_000  # postings, or pairs, that a task holds
+ROWS = 20_000  # rows that are handed on at once
 BLOCK = 1 << 20  # bytes of a text whose terms are listed at once
 CELLS = 1 << 20  # pairs of postings that are priced at once
-TERM = rb"[a-z\x80-\xff]+"
+FIND = re.compile(rb"[a-z\x80-\xff]+").findall
 
 
 def blocks(raw: bytes) -> Iterator[bytes]:
@@ -48,93 +51,149 @@ def blocks(raw: bytes) -> Iterator[bytes]:
 
 
 class Block:
-    """Postings in memory: (language, source) -> term -> (texts, places)."""
+    """Postings in memory. A term has a number; postings are numbers of (term, group), with the texts and places that hold them, added up now and then."""
+
+    GROUPS = 1 << 20  # groups of language and source that a block tells apart
 
     def __init__(self):
-        self.places, self.texts, self.size = {}, {}, 0
+        self.begin()
+
+    def begin(self) -> None:
+        self.terms = defaultdict()
+        self.terms.default_factory = self.terms.__len__
+        self.groups, self.new, self.size, self.held = {}, [], 0, None
 
-    def add(self, lang: bytes, source: bytes, text: str) -> Iterator[list[tuple]]:
-        """Count a text, and spill whenever the memory is full. A term counts a text when the text ends."""
-        group, whole = (lang, source), set()
-        find = re.compile(TERM).findall
+    def add(self, lang: str, source: str, text: str) -> Iterator[pa.RecordBatch]:
+        """Count a text, and spill whenever the memory is full; a term counts a text once, however many blocks the text has."""
+        found, n = np.zeros(0, np.int64), np.zeros(0, np.int64)
         for raw in blocks(text.encode("utf-8", "surrogatepass").lower()):
-            terms = find(raw)
-            places = self.places.setdefault(group, Counter())
-            before = len(places)
-            places.update(terms)
-            self.size += len(places) - before
-            whole.update(terms)
-            if self.size >= MOST:
-                yield self.spilled()
-        texts = self.texts.setdefault(group, Counter())
-        before = len(texts)
-        texts.update(whole)
-        self.size += len(texts) - before
-        if self.size >= MOST:
-            yield self.spilled()
-
-    def spilled(self) -> list[tuple]:
-        """The run (language, term, source, texts, places), sorted."""
-        run = []
-        for group in self.places.keys() | self.texts.keys():
-            texts, places = self.texts.get(group, {}), self.places.get(group, {})
-            run += [(group[0], t, group[1], texts.get(t, 0), places.get(t, 0)) for t in texts.keys() | places.keys()]
-        self.places, self.texts, self.size = {}, {}, 0
-        return sorted(run)
+            terms = FIND(raw)
+            more, m = np.unique(np.fromiter(map(self.terms.__getitem__, terms), np.int64, len(terms)), return_counts=True)
+            found, _, n = (more, m, m) if not len(found) else summed(np.concatenate([found, more]), np.concatenate([n, m]), np.concatenate([n, m]))
+        group = self.groups.setdefault((lang, source), len(self.groups))
+        self.new.append((found * self.GROUPS + group, np.ones(len(found), np.int64), n))
+        self.size += len(found)
+        if self.size >= MOST or len(self.groups) == self.GROUPS:
+            self.settle()
+            if len(self.held[0]) >= MOST // 2 or len(self.groups) == self.GROUPS:
+                yield from self.spilled()
+
+    def settle(self) -> None:
+        """Add up equal postings."""
+        parts = self.new + ([self.held] if self.held else [])
+        self.held = summed(*(np.concatenate([p[i] for p in parts]) for i in range(3))) if parts else None
+        self.new, self.size = [], 0
+
+    def spilled(self) -> Iterator[pa.RecordBatch]:
+        """The run: a row (lang, term) with the postings of its sources, sorted."""
+        self.settle()
+        if self.held is None:
+            return
+        keys, texts, places = self.held
+        order = sorted(self.terms)
+        rank = np.empty(len(order), np.int64)
+        rank[np.fromiter(map(self.terms.__getitem__, order), np.int64, len(order))] = np.arange(len(order))
+        langs, sources = (sorted({g[i] for g in self.groups}) for i in range(2))
+        lang_of, source_of = (np.array([bisect_left(names, g[i]) for g in self.groups], np.int64) for i, names in enumerate((langs, sources)))
+        term, group = rank[keys // self.GROUPS], keys % self.GROUPS
+        row = lang_of[group] * len(order) + term
+        by = np.lexsort((source_of[group], row))
+        row = row[by]
+        first = np.flatnonzero(np.append(True, row[1:] != row[:-1])) if len(row) else np.zeros(0, np.int64)
+        ends = np.append(first[1:], len(row))
+        names, words = pa.array(langs, pa.string()), pa.array(order, pa.binary())
+        source, texts, places = pa.array(sources, pa.string()).take(pa.array(source_of[group[by]])), texts[by], places[by]
+        for a in range(0, len(first), ROWS):
+            f, e = first[a : a + ROWS], ends[a : a + ROWS]
+            offsets = pa.array(np.append(f, e[-1]) - f[0], pa.int32())
+            part = slice(f[0], e[-1])
+            lists = [pa.ListArray.from_arrays(offsets, x) for x in (source[part], pa.array(texts[part]), pa.array(places[part]))]
+            at = row[f]
+            yield pa.RecordBatch.from_arrays([names.take(pa.array(at // len(order))), words.take(pa.array(at % len(order))).cast(pa.string()), *lists], RUN)
+        self.begin()
+
+
+RUN = ["lang", "term", "sources", "texts", "places"]
+RUN_SQL = "lang string, term string, sources array<string>, texts array<long>, places array<long>"
+
+
+def summed(keys: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Equal keys once, in order, with the sums of their values."""
+    if not len(keys):
+        return (keys, *values)
+    by = np.argsort(keys, kind="stable")
+    keys = keys[by]
+    first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+    return (keys[first], *(np.add.reduceat(v[by], first) for v in values))
 
 
 def runs(docs: DataFrame) -> DataFrame:
-    """(lang, term, source, texts, places): the sorted runs of every task."""
+    """The sorted runs of every task: a row for a term of a language, with its postings (source, texts, places)."""
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = Block()
         for part in parts:
             for lang, source, text in zip(*(part.column(n).to_pylist() for n in ("lang", "source", "text"))):
-                for run in block.add(lang.encode(), source.encode(), text):
-                    yield from written(run)
-        yield from written(block.spilled())
+                yield from block.add(lang, source, text)
+        yield from block.spilled()
 
-    return docs.select("lang", "source", "text").mapInArrow(batches, "lang string, term string, source string, texts long, places long")
+    return docs.select("lang", "source", "text").mapInArrow(batches, RUN_SQL)
 
 
-def written(rows: list[tuple], most: int = 50_000) -> Iterator[pa.RecordBatch]:
-    names = ["lang", "term", "source", "texts", "places"]
-    kinds = [pa.string()] * 3 + [pa.int64()] * 2
-    for a in range(0, len(rows), most):
-        columns = list(zip(*rows[a : a + most]))
-        arrays = [pa.array(c, pa.binary()).cast(k) if k == pa.string() else pa.array(c, k) for c, k in zip(columns, kinds)]
-        yield pa.RecordBatch.from_arrays(arrays, names)
+def changes(*columns: pa.Array) -> np.ndarray:
+    """Places at which a row differs from the one before it in any of the columns; the first always does."""
+    new = np.zeros(len(columns[0]), bool)
+    new[:1] = True
+    for c in columns:
+        new[1:] |= pc.not_equal(c[1:], c[:-1]).to_numpy(zero_copy_only=False)
+    return np.flatnonzero(new)
 
 
-def frequencies(found: DataFrame, least: int) -> DataFrame:
-    """(lang, term, source, n) of the terms that stand in ``least`` texts of their language: the runs of a shard, merged.
+def whole_terms(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Rows sorted by (lang, term), regrouped so that a term's rows come together; only a last, open term is carried along."""
+    rest = []
+    for part in parts:
+        if not part.num_rows:
+            continue
+        rest.append(part)
+        if part.num_rows > 1 and (part.column("lang")[0], part.column("term")[0]) != (part.column("lang")[-1], part.column("term")[-1]):
+            table = pa.Table.from_batches(rest).combine_chunks()
+            last = int(changes(*(table.column(c).combine_chunks() for c in ("lang", "term")))[-1])
+            yield table.slice(0, last)
+            rest = table.slice(last).to_batches()
+    if rest:
+        yield pa.Table.from_batches(rest)
 
-    Rows of a term follow each other. A task holds one term's postings, one row a source.
-    """
-    names = ["lang", "term", "source", "n"]
 
-    def merged(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, seen, counts, out = None, 0, {}, []
+def column(table: pa.Table, name: str) -> pa.Array:
+    x = table.column(name).combine_chunks()
+    return pa.concat_arrays(x.chunks) if isinstance(x, pa.ChunkedArray) else x
 
-        def closed() -> None:
-            if seen >= least:
-                out.extend((*now, s, n) for s, n in counts.items())
 
-        for part in parts:
-            for lang, term, source, texts, places in zip(*(c.to_pylist() for c in part.columns)):
-                if (lang, term) != now:
-                    closed()
-                    now, seen, counts = (lang, term), 0, {}
-                seen += texts
-                counts[source] = counts.get(source, 0) + places
-            if len(out) >= 10_000:
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out)], names)
-                out.clear()
-        closed()
-        if out:
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out)], names)
-
-    shards = found.repartition("lang", "term").sortWithinPartitions("lang", "term", "source")
+def frequencies(found: DataFrame, least: int) -> DataFrame:
+    """(lang, term, source, n) of the terms that stand in ``least`` texts of their language: the runs of a shard, merged in sorted order."""
+
+    def merged(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in whole_terms(parts):
+            lang, term, lists = column(table, "lang"), column(table, "term"), column(table, "sources")
+            first = changes(lang, term)
+            number = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(lang))))
+            sizes = pc.list_value_length(lists).to_numpy(zero_copy_only=False)
+            of = np.repeat(number, sizes)
+            sources = lists.flatten().dictionary_encode()
+            texts, places = (column(table, c).flatten().to_numpy(zero_copy_only=False) for c in ("texts", "places"))
+            seen = np.zeros(len(first), np.int64)
+            np.add.at(seen, of, texts)
+            names = len(sources.dictionary)
+            keys, n = summed(of * names + sources.indices.to_numpy(zero_copy_only=False), places)
+            kept = seen[keys // names] >= least
+            keys, n = keys[kept], n[kept]
+            at = pa.array(first[keys // names])
+            for a in range(0, len(keys), ROWS):
+                cut = slice(a, a + ROWS)
+                yield pa.RecordBatch.from_arrays([lang.take(at[cut]), term.take(at[cut]), sources.dictionary.take(pa.array(keys[cut] % names)), pa.array(n[cut])], ["lang", "term", "source", "n"])
+
+    shards = found.repartition("lang", "term").sortWithinPartitions("lang", "term")
     return shards.mapInArrow(merged, "lang string, term string, source string, n long")
 
 
@@ -166,69 +225,46 @@ def both(postings: DataFrame) -> DataFrame:
     what its source's histogram and the other's have put in for it, f(p, q0) + f(p0, q) - f(p0, q0), to f(p, q).
     """
 
+    names = ["lang", "source", "item", "value"]
+
+    def flushed(sums: dict) -> pa.RecordBatch:
+        keys = list(sums)
+        return pa.RecordBatch.from_arrays([*(pa.array([k[i] for k in keys], pa.string()) for i in range(3)), pa.array(list(sums.values()), pa.int64())], names)
+
+    def corrections(who: np.ndarray, p: np.ndarray, p0: np.ndarray, names: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Pairs and their corrections; terms (rows) of as many postings each (columns)."""
+        f = lambda x, y: (x - y) * (x - y) // y
+        k = who.shape[1]
+        step = max(1, CELLS // len(who))
+        for i in range(k):
+            for a in range(0, k, step):
+                js = np.array([j for j in range(a, min(k, a + step)) if j != i], np.int64)
+                mine, mine0, other, other0 = p[:, i, None], p0[:, i, None], p[:, js], p0[:, js]
+                more = f(mine, other) - f(mine, other0) - f(mine0, other) + f(mine0, other0)
+                yield summed((who[:, i, None] * names + who[:, js]).ravel(), more.ravel())
+
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums, now, few = {}, None, {}
-
-        def flushed() -> Iterator[pa.RecordBatch]:
-            if sums:
-                keys = list(sums)
-                yield pa.RecordBatch.from_arrays([*(pa.array([k[i] for k in keys], pa.string()) for i in range(3)), pa.array(list(sums.values()), pa.int64())], ["lang", "source", "item", "value"])
-                sums.clear()
-
-        def priced(lang: str, terms: list[list[tuple]]) -> Iterator[pa.RecordBatch]:
-            """Terms of as many postings each, (source, p, p0), sorted by source."""
-            k = len(terms[0])
-            names = sorted({s for t in terms for s, _, _ in t})
-            number = {s: i for i, s in enumerate(names)}
-            who = np.array([[number[s] for s, _, _ in t] for t in terms])
-            p, p0 = (np.array([[x[c] for x in t] for t in terms], np.int64) for c in (1, 2))
-            step = max(1, CELLS // max(1, len(terms)))
-            for i in range(k):
-                for a in range(0, k, step):
-                    js = np.array([j for j in range(a, min(k, a + step)) if j != i], np.int64)
-                    if not len(js):
-                        continue
-                    f = lambda x, y: (x - y) * (x - y) // y
-                    mine, mine0, other, other0 = p[:, i, None], p0[:, i, None], p[:, js], p0[:, js]
-                    more = f(mine, other) - f(mine, other0) - f(mine0, other) + f(mine0, other0)
-                    pair, at = np.unique(who[:, i, None] * len(names) + who[:, js], return_inverse=True)
-                    total = np.zeros(len(pair), np.int64)
-                    np.add.at(total, at.ravel(), more.ravel())
-                    for c, x in zip(pair.tolist(), total.tolist()):
-                        key = (lang, names[c // len(names)], names[c % len(names)])
-                        sums[key] = sums.get(key, 0) + x
-                    if len(sums) >= MOST:
-                        yield from flushed()
-
-        def term(postings: list[tuple]) -> Iterator[pa.RecordBatch]:
-            """Put a term's postings with others of as many; price them when there are enough."""
-            if len(postings) < 2:
-                return
-            key = (now[0], len(postings))
-            few.setdefault(key, []).append(postings)
-            waiting[0] += len(postings)
-            if len(few[key]) * len(postings) >= 4096:
-                waiting[0] -= len(few[key]) * len(postings)
-                yield from priced(now[0], few.pop(key))
-            if waiting[0] >= MOST:
-                yield from rest()
-
-        def rest() -> Iterator[pa.RecordBatch]:
-            for (lang, _), terms in few.items():
-                yield from priced(lang, terms)
-            few.clear()
-            waiting[0] = 0
-
-        held, waiting = [], [0]
-        for part in parts:
-            for lang, t, source, p, p0 in zip(*(c.to_pylist() for c in part.columns)):
-                if (lang, t) != now:
-                    yield from term(held)
-                    now, held = (lang, t), []
-                held.append((source, p, p0))
-        yield from term(held)
-        yield from rest()
-        yield from flushed()
+        sums = {}
+        for table in whole_terms(parts):
+            lang, sources = column(table, "lang").dictionary_encode(), column(table, "source").dictionary_encode()
+            p, p0 = (column(table, c).to_numpy(zero_copy_only=False) for c in ("p", "p0"))
+            code, langs, items = sources.indices.to_numpy(zero_copy_only=False).astype(np.int64), lang.dictionary.to_pylist(), sources.dictionary.to_pylist()
+            first = changes(column(table, "lang"), column(table, "term"))
+            sizes, own = np.diff(np.append(first, len(code))), lang.indices.to_numpy(zero_copy_only=False)[first]
+            for k in np.unique(sizes[sizes > 1]).tolist():
+                for of in np.unique(own[sizes == k]).tolist():
+                    starts = first[(sizes == k) & (own == of)]
+                    for a in range(0, len(starts), ROWS):
+                        at = starts[a : a + ROWS, None] + np.arange(k)
+                        for pairs, more in corrections(code[at], p[at], p0[at], len(items)):
+                            for c, x in zip(pairs.tolist(), more.tolist()):
+                                key = (langs[of], items[c // len(items)], items[c % len(items)])
+                                sums[key] = sums.get(key, 0) + x
+                            if len(sums) >= MOST:
+                                yield flushed(sums)
+                                sums = {}
+        if sums:
+            yield flushed(sums)
 
     shards = postings.select("lang", "term", "source", "p", "p0").repartition("lang", "term").sortWithinPartitions("lang", "term", "source")
     return shards.mapInArrow(batches, "lang string, source string, item string, value long")

@@ -49,6 +49,7 @@ def rows_of(rng, n):
 
 @pytest.mark.parametrize("most,block,cells", [(400_000, 1 << 20, 1 << 20), (7, 20, 3)])
 def test_audit_equals_plain_sums(spark, monkeypatch, most, block, cells):
+    monkeypatch.setattr(divergence, "ROWS", cells)
     monkeypatch.setattr(divergence, "MOST", most)
     monkeypatch.setattr(divergence, "BLOCK", block)
     monkeypatch.setattr(divergence, "CELLS", cells)
@@ -85,8 +86,12 @@ def test_runs_are_sorted_and_split_between_terms(monkeypatch):
     text = b"aa bbbbbbbbbbbbbbbbbbbbbbbbbbb c " * 5 + b"\xc3\xa9" * 20
     parts = list(divergence.blocks(text))
     assert b"".join(parts) == text
-    assert [t for p in parts for t in re.findall(divergence.TERM, p)] == re.findall(divergence.TERM, text)
+    assert [t for p in parts for t in divergence.FIND(p)] == divergence.FIND(text)
     block = divergence.Block()
-    assert list(block.add(b"en", b"s", "b a B c")) == []
-    assert block.spilled() == [(b"en", b"a", b"s", 1, 1), (b"en", b"b", b"s", 1, 2), (b"en", b"c", b"s", 1, 1)]
-    assert block.spilled() == []
+    assert list(block.add("en", "s", "b a B c")) == [] and list(block.add("en", "r", "B b")) == [] and list(block.add("de", "s", "")) == []
+    run, = block.spilled()
+    assert run.to_pylist() == [
+        {"lang": "en", "term": "a", "sources": ["s"], "texts": [1], "places": [1]}, {"lang": "en", "term": "b", "sources": ["r", "s"], "texts": [1, 1], "places": [2, 2]},
+        {"lang": "en", "term": "c", "sources": ["s"], "texts": [1], "places": [1]},
+    ]
+    assert list(block.spilled()) == []
