@@ -131,13 +131,13 @@ def chosen_side(t):
 
 @query(
     "cv_chosen_rank",
-    """SELECT doc_id, 'user: ' || source || chr(10) || 'assistant: ' || CASE doc_id % 3 WHEN 0 THEN substr(text, 1, 9) WHEN 1 THEN substr(text, 11, 9) ELSE substr(text, 1, 9) END AS chat FROM documents""",
+    """SELECT doc_id, 'user: ' || source || chr(10) || 'assistant: ' || CASE doc_id % 3 WHEN 1 THEN concat(text, ' ', lang) ELSE text END AS chat FROM documents""",
 )
 def chosen_rank(t):
     df = t.documents.select(
         "doc_id",
         F.concat(F.lit(" Human: "), "source", F.lit(" Assistant: ")).alias("prompt"),
-        F.expr("array(struct(substr(text, 1, 9) AS answer, doc_id % 3 + 1 AS rank), struct(substr(text, 11, 9) AS answer, doc_id % 3 AS rank))").alias("answers"),
+        F.expr("array(struct(text AS answer, doc_id % 3 + 1 AS rank), struct(concat(text, ' ', lang) AS answer, doc_id % 3 AS rank))").alias("answers"),
     )
     return out(df.select("doc_id", C.chosen_by_rank("prompt", "answers").alias("messages")), "doc_id")
 

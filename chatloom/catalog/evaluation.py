@@ -157,14 +157,15 @@ def rolling(t):
 
 
 def arena(t):
-    # battles between brands that share an order; the winner follows the larger quantity
+    # battles between the brands of neighbouring lines of an order; the winner follows the larger quantity
     part = t.part.select(F.col("p_partkey").alias("l_partkey"), F.col("p_brand").alias("brand"))
     lines = t.lineitem.join(broadcast_if_small(part), "l_partkey")
-    a = lines.filter("l_linenumber = 1").groupBy("l_orderkey").agg(F.max_by(F.struct("brand", "l_quantity"), F.struct("l_quantity", "brand")).alias("a"))
-    b = lines.filter("l_linenumber = 2").groupBy("l_orderkey").agg(F.max_by(F.struct("brand", "l_quantity"), F.struct("l_quantity", "brand")).alias("b"))
+    side = F.max_by(F.struct("brand", "l_quantity"), F.struct("l_quantity", "brand"))
+    a = lines.groupBy("l_orderkey", "l_linenumber").agg(side.alias("a"))
+    b = a.select("l_orderkey", (F.col("l_linenumber") - 1).alias("l_linenumber"), F.col("a").alias("b"))
     d = F.col("a.l_quantity") - F.col("b.l_quantity")
-    return a.join(b, "l_orderkey").filter("a.brand <> b.brand").select(
-        F.col("l_orderkey").alias("battle"), F.col("a.brand").alias("model_a"), F.col("b.brand").alias("model_b"),
+    return a.join(b, ["l_orderkey", "l_linenumber"]).filter("a.brand <> b.brand").select(
+        (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("battle"), F.col("a.brand").alias("model_a"), F.col("b.brand").alias("model_b"),
         F.when(F.abs(d) < 3, "tie").when(d > 0, "model_a").otherwise("model_b").alias("winner"),
     )
 
@@ -176,8 +177,9 @@ def ratings(t):
 
 @query("ev_category_ratings")
 def category_ratings(t):
-    judged = arena(t).withColumn("text", (F.col("battle") % 97).cast("string"))
-    meta = t.documents.select(F.col("doc_id").cast("string").alias("text"), (F.col("lang") == "en").alias("is_en")).filter("int(text) < 97")
+    last = t.documents.agg(F.max("doc_id")).first()[0]
+    judged = arena(t).withColumn("text", (F.col("battle") % (last + 1)).cast("string"))
+    meta = t.documents.select(F.col("doc_id").cast("string").alias("text"), (F.col("lang") == "en").alias("is_en"))
     picked = E.category_battles(judged, meta, "is_en", "text").select("battle", "model_a", "model_b", "winner")
     human = E.well_known(arena(t), 5).withColumn("battle", -F.col("battle") - 1)
     return E.bradley_terry(picked.unionByName(human), "Brand#1", at_least=5)

@@ -36,10 +36,10 @@ def vector_rows(t):
 
 @query(
     "jn_known_prompts",
-    "SELECT doc_id FROM documents WHERE trim(split_part(text, '.', 1)) NOT IN (SELECT trim(split_part(text, '.', 1)) FROM documents WHERE source = 'src1') AND source <> 'src1'",
+    "SELECT doc_id FROM documents WHERE trim(text) NOT IN (SELECT trim(text) FROM documents WHERE source = 'src1') AND source <> 'src1'",
 )
 def known_prompts(t):
-    docs = t.documents.select("doc_id", "source", F.trim(F.split_part("text", F.lit("."), F.lit(1))).alias("p"))
+    docs = t.documents.select("doc_id", "source", F.trim("text").alias("p"))
     mine = docs.filter("source <> 'src1'").withColumn("prompt", F.concat(F.lit("Human: "), "p", F.lit(" Assistant: ")))
     return M.drop_known_prompts(mine, docs.filter("source = 'src1'"), "prompt", "p").select("doc_id")
 

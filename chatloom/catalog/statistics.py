@@ -29,12 +29,12 @@ def chat_summary(t):
 
 @query(
     "ag_pair_summary",
-    f"""WITH d AS (SELECT len({toks('substr(text, 1, 200)')})::BIGINT AS p, len({toks('text')})::BIGINT AS c FROM documents),
+    f"""WITH d AS (SELECT len({toks("concat(lang, ' ', source, ': ', text)")})::BIGINT AS p, len({toks('text')})::BIGINT AS c FROM documents),
       v AS (SELECT 'prompt' AS measure, p AS value FROM d UNION ALL SELECT 'completion', c FROM d UNION ALL SELECT 'total', p + c FROM d)
       SELECT measure, {DESCRIBE}, {LIMITS} FROM v GROUP BY measure""",
 )
 def pair_summary(t):
-    d = t.documents.select(T.token_count(F.substring("text", 1, 200)).cast("long").alias("p"), T.token_count("text").cast("long").alias("c"))
+    d = t.documents.select(T.token_count(F.concat("lang", F.lit(" "), "source", F.lit(": "), "text")).cast("long").alias("p"), T.token_count("text").cast("long").alias("c"))
     return S.pair_summary(d, "p", "c")
 
 
@@ -109,7 +109,7 @@ SEGMENTS = "'<|user|>' || chr(10) || source || chr(10) || '<|assistant|>' || chr
 @query(
     "ag_accounting",
     f"""WITH d AS (SELECT source, len({toks(f"{SEGMENTS} || text || '<|endoftext|>'")}) AS n FROM documents),
-      f AS (SELECT source, least(n, 300) AS n, greatest(least(n, 300) - len({toks(SEGMENTS)}), 0) AS t FROM d, (SELECT 1) WHERE n <= 2000),
+      f AS (SELECT source, n, n - len({toks(SEGMENTS)}) AS t FROM d, (SELECT 1) WHERE n <= 2000),
       g AS (SELECT source, count(*) AS final, sum(n)::BIGINT AS tokens, sum(t)::BIGINT AS trainable FROM f GROUP BY source),
       s AS (SELECT source, count(*) AS initial, coalesce(any_value(g.final), 0) AS final, coalesce(any_value(tokens), 0) AS tokens, coalesce(any_value(trainable), 0) AS trainable
             FROM d LEFT JOIN g USING (source) GROUP BY source),
@@ -120,10 +120,9 @@ SEGMENTS = "'<|user|>' || chr(10) || source || chr(10) || '<|assistant|>' || chr
 def accounting(t):
     from chatloom.operators.conversions import user_assistant
 
-    coded = t.documents.select("source", T.masked_chat(user_assistant("source", "text"), TEMPLATES["tagged"], 2001).alias("x"))
-    short = coded.filter(F.size("x.input_ids") <= 2000).select(
-        "source", F.slice("x.input_ids", 1, 300).alias("ids"), F.slice("x.labels", 1, 300).alias("labels")
-    )
+    coded = t.documents.select("source", T.masked_chat(user_assistant("source", "text"), TEMPLATES["tagged"], 1_000_000).alias("x"))
+    # rows beyond 2000 tokens are filtered: they count as initial and not as final
+    short = coded.filter(F.size("x.input_ids") <= 2000).select("source", F.col("x.input_ids").alias("ids"), F.col("x.labels").alias("labels"))
     return S.pipeline_accounting(t.documents, short, "source", "ids", "labels")
 
 

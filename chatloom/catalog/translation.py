@@ -41,11 +41,11 @@ def kept_sql(a, b):
 
 @query(
     "tr_entities",
-    f"SELECT page_id, {kept_sql('a', 'b')} FROM (SELECT page_id, url || ' ' || page_id || ' 3.5 ' || substr(html, 1, 300) AS a, CASE WHEN page_id % 2 = 0 THEN url ELSE '' END || ' ' || page_id || ' 3.5 ' || substr(html, 1, 200 + (page_id % 3) * 50) AS b FROM pages)",
+    f"SELECT page_id, {kept_sql('a', 'b')} FROM (SELECT page_id, url || ' ' || page_id || ' 3.5 ' || html AS a, CASE WHEN page_id % 2 = 0 THEN url ELSE '' END || ' ' || page_id || CASE WHEN page_id % 3 = 0 THEN ' 3.5 ' ELSE ' ' END || replace(html, 'http', CASE WHEN page_id % 5 = 0 THEN 'https' ELSE 'http' END) AS b FROM pages)",
 )
 def entities(t):
-    a = "concat(url, ' ', page_id, ' 3.5 ', substr(html, 1, 300))"
-    b = "concat(CASE WHEN page_id % 2 = 0 THEN url ELSE '' END, ' ', page_id, ' 3.5 ', substr(html, 1, int(200 + (page_id % 3) * 50)))"
+    a = "concat(url, ' ', page_id, ' 3.5 ', html)"
+    b = "concat(CASE WHEN page_id % 2 = 0 THEN url ELSE '' END, ' ', page_id, CASE WHEN page_id % 3 = 0 THEN ' 3.5 ' ELSE ' ' END, replace(html, 'http', CASE WHEN page_id % 5 = 0 THEN 'https' ELSE 'http' END))"
     d = t.pages.select("page_id", F.expr(a).alias("a"), F.expr(b).alias("b"))
     return d.select("page_id", R.numbers_kept("a", "b").alias("numbers"), R.urls_kept("a", "b").alias("urls"))
 

@@ -22,12 +22,12 @@ def normal(c):
 
 # Predictions and labels derived from every document: numbers, tags and phrases around its text.
 PRED = """CASE doc_id % 8
- WHEN 0 THEN concat('so 1,234 and then ', doc_id, ' or ', n_chars, '.5') WHEN 1 THEN concat(substr(text, 1, 60), ' The answer is: The ', source, '!')
- WHEN 2 THEN concat('<think>', substr(text, 1, 30), '</think><answer> ', lang, '</answer>') WHEN 3 THEN concat('<think>x</think>', substr(text, 1, 90))
- WHEN 4 THEN concat('a <finish>', substr(text, 1, 50), '</finish>') WHEN 5 THEN concat('a <FINISH> the ', source, ' </FINISH>')
+ WHEN 0 THEN concat('so 1,234 and then ', doc_id, ' or ', n_chars, '.5') WHEN 1 THEN concat(text, ' The answer is: The ', source, '!')
+ WHEN 2 THEN concat('<think>', text, '</think><answer> ', lang, '</answer>') WHEN 3 THEN concat('<think>x</think>', text)
+ WHEN 4 THEN concat('a <finish>', text, '</finish>') WHEN 5 THEN concat('a <FINISH> the ', source, ' </FINISH>')
  ELSE text END"""
 LABEL = """CASE doc_id % 8 WHEN 0 THEN concat(n_chars, '.', CASE WHEN doc_id % 3 = 0 THEN 4 ELSE 5 END) WHEN 1 THEN source WHEN 2 THEN CASE WHEN doc_id % 3 = 0 THEN 'xx' ELSE upper(lang) END
- WHEN 3 THEN substr(text, 10, 60) WHEN 4 THEN concat('["', lang, '", "', regexp_replace(substr(text, 5, 40), '["\\n\\\\]', 'x'{g}), '"]') WHEN 5 THEN source ELSE concat(doc_id % 300, '') END"""
+ WHEN 3 THEN concat(source, ' ', substr(text, 10)) WHEN 4 THEN concat('["', lang, '", "', regexp_replace(text, '["\\n\\\\]', 'x'{g}), '"]') WHEN 5 THEN source ELSE concat(doc_id % 300, '') END"""
 KIND = "CASE doc_id % 8 WHEN 0 THEN 'gsm8k' WHEN 1 THEN 'flan' WHEN 2 THEN 'string_matcher' WHEN 3 THEN CASE WHEN doc_id % 2 = 1 THEN 'string_f1' END WHEN 4 THEN 're_search_f1' WHEN 5 THEN 're_search' WHEN 6 THEN 'max_length' ELSE 'up_to_max_length' END"
 
 
@@ -42,7 +42,8 @@ F1 = """CASE WHEN same = 0 THEN 0 ELSE 2 * (same / np::DOUBLE) * (same / ng::DOU
 
 
 def overlap(p, g):
-    return f"list_sum([least(len(list_filter({p}, lambda x: x = w)), len(list_filter({g}, lambda x: x = w))) FOR w IN list_distinct({g})])"
+    counted = lambda tokens: f"(SELECT w, count(*) AS n FROM (SELECT unnest({tokens}) AS w) GROUP BY w)"
+    return f"(SELECT sum(least(a.n, b.n)) FROM {counted(p)} a JOIN {counted(g)} b USING (w))"
 
 
 def f1_sql(p, g):
@@ -284,12 +285,12 @@ def keyed_rest(t):
 
 @query(
     "vf_constraint_score",
-    f"SELECT conv_id, turn, round(avg(satisfied::INT), 6) AS score FROM ({checked_sql(KEYED[:4])}) GROUP BY ALL",
+    f"SELECT conv_id, turn, round(avg(satisfied::INT), 6) AS score FROM ({checked_sql(KEYED)}) GROUP BY ALL",
 )
 def constraint_score(t):
     turns = marked_turns(t).filter("role = 'assistant' AND text IS NOT NULL")
     family = K.keyed_constraints()
-    flags = F.array(*[K.check(F.lit(s[0]), "text", arguments(s[1]), {s[0]: family[s[0]]}) for s in KEYED[:4]])
+    flags = F.array(*[K.check(F.lit(s[0]), "text", arguments(s[1]), {s[0]: family[s[0]]}) for s in KEYED])
     return turns.select("conv_id", "turn", F.round(K.constraint_score("text", flags), 6).alias("score"))
 
 

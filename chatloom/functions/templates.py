@@ -125,7 +125,7 @@ def segments(messages, template: ChatTemplate, generate: bool = False) -> Column
         is_last = i == F.size(m) - 1
         head = _by_role(x["role"], before, any_role[0])
         if any("{Role}" in b for b in before.values()):
-            role = F.concat(F.upper(F.substring(x["role"], 1, 1)), F.lower(F.substring(x["role"], 2, 1000)))
+            role = F.concat(F.upper(F.substring(x["role"], 1, 1)), F.lower(F.substr(x["role"], F.lit(2))))
             head = F.replace(head, F.lit("{Role}"), role)
         tail = _by_role(x["role"], after, any_role[1])
         if template.last:

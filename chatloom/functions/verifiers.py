@@ -61,19 +61,22 @@ def thought_answer_match(prediction, label) -> Score:
 # --- token overlap ---------------------------------------------------------------------------
 
 def f1(prediction, label) -> Score:
-    """F1 of the two token multisets. Cost grows with the text times the distinct label tokens; labels are short."""
+    """F1 of the two token multisets: both sides sorted together and read once."""
 
     def score(t: Column) -> Column:
-        return let(F.array_distinct(t["g"]), lambda wanted: let(overlap(t, wanted), lambda n: ratio(t, n)))
+        return let(overlap(t), lambda n: ratio(t, n))
 
-    def overlap(t: Column, wanted: Column) -> Column:
-        def count(hits: Column) -> Column:
-            return F.aggregate(
-                wanted, F.lit(0),
-                lambda acc, w: acc + F.least(F.size(F.filter(hits, lambda x: x == w)), F.size(F.filter(t["g"], lambda x: x == w))),
-            )
+    def overlap(t: Column) -> Column:
+        side = lambda tokens, p, g: F.transform(tokens, lambda x: F.struct(x.alias("t"), F.lit(p).alias("p"), F.lit(g).alias("g")))
+        both = F.array_sort(F.concat(side(t["p"], 1, 0), side(t["g"], 0, 1)))
+        start = F.struct(F.lit("").alias("t"), F.lit(0).alias("p"), F.lit(0).alias("g"), F.lit(0).alias("n"))
 
-        return let(F.filter(t["p"], lambda x: F.array_contains(wanted, x)), count)
+        def step(s: Column, x: Column) -> Column:
+            same = F.struct(s["t"].alias("t"), (s["p"] + x["p"]).alias("p"), (s["g"] + x["g"]).alias("g"), s["n"].alias("n"))
+            other = F.struct(x["t"].alias("t"), x["p"].alias("p"), x["g"].alias("g"), (s["n"] + F.least(s["p"], s["g"])).alias("n"))
+            return F.when(s["t"] == x["t"], same).otherwise(other)
+
+        return F.aggregate(both, start, step, lambda s: s["n"] + F.least(s["p"], s["g"]))
 
     def ratio(t: Column, n: Column) -> Column:
         return F.when(n == 0, 0.0).otherwise(2.0 * n / (F.size(t["p"]) + F.size(t["g"])))

@@ -331,7 +331,7 @@ def as_plain_text(messages) -> Column:
 
     def label(role: Column) -> Column:
         low = F.lower(F.coalesce(role, F.lit("")))
-        named = F.concat(F.upper(F.substring(low, 1, 1)), F.substring(low, 2, 1000))
+        named = F.concat(F.upper(F.substring(low, 1, 1)), F.substr(low, F.lit(2)))
         return F.when(low.isin("user", "human"), "User").when(low.isin("assistant", "ai"), "Assistant").otherwise(named)
 
     full = F.filter(col(messages), lambda m: ~is_empty(m["content"]))

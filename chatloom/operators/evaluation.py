@@ -202,9 +202,10 @@ def bradley_terry(battles: DataFrame, target: str, at_least: int = 100, replicat
     kept = battles.join(names, F.col("model_a") == F.col("m"), "left_semi").join(names, F.col("model_b") == F.col("m"), "left_semi")
     u = lambda r: F.conv(F.substring(hash_key(F.concat_ws(":", "battle", r), seed), 1, 8), 16, 10).cast("double") / F.lit(float(2**32))
     rows = kept.select("battle", "model_a", "model_b", "winner", F.explode(F.sequence(F.lit(0), F.lit(replicates - 1))).alias("rep"))
-    steps, total, prob = [], 0.0, float(np.exp(-1.0))
-    for k in range(1, 12):
-        total += prob
+    # the distribution up to the last step that a number of 32 bits can reach
+    steps, total, prob, k = [], 0.0, float(np.exp(-1.0)), 0
+    while total + prob <= 1 - 2**-32:
+        total, k = total + prob, k + 1
         steps.append(total)
         prob /= k
     weight = sum(((u(F.col("rep")) >= s).cast("int") for s in steps[1:]), (u(F.col("rep")) >= steps[0]).cast("int"))

@@ -197,8 +197,9 @@ def stratified_pick(df: DataFrame, key: str, language: str, categories: str, lab
     """
     h = hash_key(key, seed)
     base = df.select(F.col(key).alias("key"), F.col(language).alias("lang"), F.col(categories).alias("cats"), h.alias("h"))
-    by_label = S.first_k(base.withColumn("label", F.explode("cats")).filter(F.col("label").isin(labels)), ["lang", "label"], ["h"], per_label * len(labels)).drop("label")
-    candidates = by_label.unionByName(S.first_k(base, ["lang"], ["h"], 2 * at_least)).dropDuplicates(["lang", "key"])
+    labelled = base.withColumn("label", F.explode("cats")).filter(F.col("label").isin(labels))
+    by_label = S.first_by_hash(labelled, ["lang", "label"], "h", per_label * len(labels), "key", seed).drop("label")
+    candidates = by_label.unionByName(S.first_by_hash(base, ["lang"], "h", 2 * at_least, "key", seed)).dropDuplicates(["lang", "key"])
 
     def pick(pdf: pd.DataFrame) -> pd.DataFrame:
         pool = pdf.sort_values("h").reset_index(drop=True)

@@ -98,6 +98,14 @@ def first_k(df: DataFrame, groups: list[str], order: list, k: int) -> DataFrame:
     return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= k).drop("_rn")
 
 
+def first_by_hash(df: DataFrame, groups: list[str], h: str, k: int, key: str, seed: int = 42) -> DataFrame:
+    """The first k rows per group in the order of ``h``, the seeded hash of ``key``, for any k."""
+    if k <= 1000:
+        return first_k(df, groups, [h], k)
+    quotas = df.select(*groups).distinct().withColumn("quota", F.lit(k))
+    return take(df, groups, quotas, key, seed).drop("quota").select(df.columns)
+
+
 def shuffled(df: DataFrame, key, seed: int = 42, partitions: int | None = None) -> DataFrame:
     """Global seeded order: a range exchange on the hash and a sort inside each partition."""
     h = hash_key(key, seed)
