@@ -129,6 +129,22 @@ def summary(t):
     return R.summary_metrics(d, "task", "metrics", ["doc_id"])
 
 
+@query(
+    "io_read_results",
+    """SELECT doc_id, n_chars, 'A' || doc_id % 4 || '-75en' AS experiment, CASE WHEN doc_id % 4 = 1 THEN 'rubric' ELSE 'winrate' END AS mode,
+         CASE WHEN doc_id % 4 = 3 THEN 'final' ELSE (doc_id % 4 * 500)::VARCHAR END AS step, CASE WHEN doc_id % 4 <> 3 THEN (doc_id % 4 * 500)::INT END AS step_number
+       FROM documents WHERE doc_id % 5 < 4""",
+)
+def read_results(t):
+    root = work_path(t.spark, "results")
+    rows = t.documents.select("doc_id", "n_chars")
+    for i in range(4):  # one folder per run, as evaluations leave them, and one that is none
+        step, mode = "final" if i == 3 else str(500 * i), "rubric" if i == 1 else "winrate"
+        rows.filter((F.col("doc_id") % 4 == i) & (F.col("doc_id") % 5 < 4)).write.json(f"{root}/multilingual-eu-A{i}-75en-{mode}-step{step}-x/part")
+    rows.filter("doc_id % 5 = 4").write.json(f"{root}/other")
+    return R.read_results(t.spark, root, "doc_id long, n_chars long")
+
+
 @query(
     "io_result_paths",
     """SELECT doc_id, 'A' || doc_id % 9 || '-75en' AS experiment, CASE WHEN doc_id % 2 = 0 THEN 'winrate' ELSE 'rubric' END AS mode,

@@ -1,5 +1,7 @@
 """Queries: verifiers, reward combination, judge texts and constraint checks."""
 
+import json
+
 from pyspark.sql import functions as F
 
 from chatloom.catalog.data import MARKED_TURNS, marked_turns
@@ -66,7 +68,7 @@ def f1_sql(p, g):
 )
 def scores(t):
     c = cases(t).filter("verifier IS NOT NULL")
-    return c.select("doc_id", "verifier", F.round(V.score("verifier", "prediction", "label"), 6).alias("score"))
+    return c.select("doc_id", "verifier", F.round(V.score("verifier", "prediction", "label", V.verifiers(instructions=False)), 6).alias("score"))
 
 
 @query(
@@ -138,13 +140,13 @@ REWARD = f"""WITH c AS (SELECT doc_id, {PRED} AS p, {LABEL.replace('{g}', ", 'g'
     REWARD + "SELECT doc_id, CASE WHEN doc_id % 4 = 0 THEN -10 WHEN doc_id % 5 <> 0 THEN verified + f::INT ELSE f::INT END::DOUBLE AS reward FROM r",
 )
 def rewards(t):
-    out, _ = V.combine_rewards(responses(t), "doc_id", "prediction", "labels", "datasets", {"gsm8k": 2.0}, use_format=True, additive=True, good="good", finish="finish")
+    out, _ = V.combine_rewards(responses(t), "doc_id", "prediction", "labels", "datasets", {"gsm8k": 2.0}, registry=V.verifiers(instructions=False), use_format=True, additive=True, good="good", finish="finish")
     return out.select("doc_id", "reward")
 
 
 @query("vf_rewards_gated", REWARD + "SELECT doc_id, CASE WHEN f THEN verified ELSE 0 END::DOUBLE AS reward FROM r")
 def rewards_gated(t):
-    out, _ = V.combine_rewards(responses(t), "doc_id", "prediction", "labels", "datasets", {"gsm8k": 2.0}, use_format=True)
+    out, _ = V.combine_rewards(responses(t), "doc_id", "prediction", "labels", "datasets", {"gsm8k": 2.0}, registry=V.verifiers(instructions=False), use_format=True)
     return out.select("doc_id", "reward")
 
 
@@ -155,10 +157,20 @@ def rewards_gated(t):
       SELECT verifier, round(avg(x)::DOUBLE, 6) AS reward, round(avg((x > 0)::INT), 6) AS correct_rate FROM w GROUP BY verifier""",
 )
 def reward_report(t):
-    _, report = V.combine_rewards(responses(t), "doc_id", "prediction", "labels", "datasets", {"gsm8k": 2.0})
+    _, report = V.combine_rewards(responses(t), "doc_id", "prediction", "labels", "datasets", {"gsm8k": 2.0}, registry=V.verifiers(instructions=False))
     return report.select("verifier", F.round("reward", 6).alias("reward"), F.round("correct_rate", 6).alias("correct_rate"))
 
 
+@query(
+    "vf_reward_metrics",
+    REWARD + """SELECT round(avg(verified), 6) AS verifiable_reward, round(avg((verified > 0)::INT), 6) AS verifiable_correct_rate, round(avg(f::INT), 6) AS format_score,
+        round(avg(CASE WHEN f THEN verified ELSE 0 END), 6) AS reward FROM r""",
+)
+def reward_metrics(t):
+    out, _ = V.combine_rewards(responses(t), "doc_id", "prediction", "labels", "datasets", {"gsm8k": 2.0}, registry=V.verifiers(instructions=False), use_format=True)
+    return V.reward_metrics(out).select(*[F.round(c, 6).alias(c) for c in ("verifiable_reward", "verifiable_correct_rate", "format_score", "reward")])
+
+
 # --- constraints -----------------------------------------------------------------------------
 
 WORDS = r"regexp_extract_all(lower(t), '[\p{L}\p{N}_]+')"
@@ -294,6 +306,36 @@ def constraint_score(t):
     return turns.select("conv_id", "turn", F.round(K.constraint_score("text", flags), 6).alias("score"))
 
 
+def constraint_labels():
+    """Labels of three constraints each, all keys in turn, written as JSON, with single quotes, or as JSON text inside a list."""
+    out = []
+    for i in range(0, len(KEYED), 3):
+        some = KEYED[i : i + 3]
+        record = {"instruction_id": [s[0] for s in some], "kwargs": [{**s[1], "unused": None} if k else s[1] or None for k, s in enumerate(some)]}
+        out.append([json.dumps([record]), repr([record]), json.dumps([json.dumps(record)])][i // 3 % 3])
+    return out
+
+
+GROUPS = len(KEYED) // 3
+
+
+@query(
+    "vf_instructions",
+    f"""WITH p AS (SELECT conv_id, turn, text, (conv_id * 7 + turn) % {GROUPS + 1} AS g FROM {MARKED_TURNS} WHERE role = 'assistant' AND text IS NOT NULL),
+      a AS (SELECT conv_id, turn, g, trim(replace(replace(list_last(string_split(text, '</think>')), '<answer>', ''), '</answer>', ''), {WS}) AS t FROM p),
+      f AS ({" UNION ALL ".join(f"SELECT conv_id, turn, t, coalesce({s[2]}, false) AS kept FROM a WHERE g = {i // 3}" for i, s in enumerate(KEYED))})
+      SELECT conv_id, turn, 'ifeval' AS verifier, round(avg(CASE WHEN t = '' THEN 0 ELSE kept::INT END), 6) AS score FROM f GROUP BY ALL
+      UNION ALL SELECT conv_id, turn, 'flan', ({normal('t')} = {normal("'thanks'")})::INT FROM (SELECT *, list_last(string_split(text, 'The answer is: ')) AS t FROM p WHERE g = {GROUPS})""",
+)
+def instructions(t):
+    group = F.expr(f"int((conv_id * 7 + turn) % {GROUPS + 1})")
+    rows = marked_turns(t).filter("role = 'assistant' AND text IS NOT NULL").select(
+        "conv_id", "turn", "text", F.when(group < GROUPS, "ifeval").otherwise("flan").alias("verifier"),
+        F.coalesce(F.get(F.array(*[F.lit(x) for x in constraint_labels()]), group), F.lit("thanks")).alias("label"),
+    )
+    return rows.select("conv_id", "turn", "verifier", F.round(V.score("verifier", "text", "label"), 6).alias("score"))
+
+
 @query("vf_language_constraint", f"SELECT doc_id, detected = 'en' AS satisfied FROM ({ORACLES['ag_detect_language']})")
 def language_constraint(t):
     found = detected(t).select("doc_id", "detected")

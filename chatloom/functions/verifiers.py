@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from chatloom.functions.constraints import check, keyed_constraints
 from chatloom.functions.text import PUNCTUATION, any_of, col, find_all, last_of, let, replace_all, split_words, steps, strip
 from chatloom.functions.tokens import token_count
 from chatloom.operators.conversions import last_boxed
@@ -280,12 +281,53 @@ def judged_content(text) -> Column:
     return replace_all(t, [("<answer>", ""), ("</answer>", "")])
 
 
+# --- instruction following -------------------------------------------------------------------
+
+CONSTRAINTS = "array<struct<instruction_id: array<string>, kwargs: array<map<string,string>>>>"
+
+
+def constraint_list(label) -> Column:
+    """array<struct<kind, args map<string,array<string>>>> of a label: a list whose first element is a record of constraint ids and their arguments.
+
+    The list may be JSON or written with single quotes, None and True; the record may be JSON text inside the list. Arguments that are null are absent.
+    """
+    bare = lambda t, old, new: F.regexp_replace(t, rf"(?<=[\[{{,:]\s?){old}(?=\s*[,\]}}])", new)
+    text = steps(strip(label), lambda t: bare(t, "None", "null"), lambda t: bare(t, "True", "true"), lambda t: bare(t, "False", "false"))
+
+    def record(t: Column) -> Column:
+        inner = F.get(F.from_json(t, "array<string>"), F.lit(0))
+        return F.get(F.from_json(F.concat(F.lit("["), F.coalesce(inner, F.lit("")), F.lit("]")), CONSTRAINTS), F.lit(0))
+
+    def one(pair: Column) -> Column:
+        present = F.map_filter(F.coalesce(pair["kwargs"], F.create_map().cast("map<string,string>")), lambda k, v: v.isNotNull())
+        many = F.transform_values(present, lambda k, v: F.when(v.startswith("["), F.from_json(v, "array<string>")).otherwise(F.array(v)))
+        return F.struct(F.lower(pair["instruction_id"]).alias("kind"), many.alias("args"))
+
+    return let(let(text, record), lambda r: F.transform(F.arrays_zip(r["instruction_id"].alias("instruction_id"), r["kwargs"].alias("kwargs")), one))
+
+
+def instruction_following(prediction, label) -> Score:
+    """Share of a label's constraints that the answer, without its reasoning, keeps; 0 for an empty answer, null for a label that names none."""
+    answer = without_thinking(prediction)
+    family = keyed_constraints()
+    keeps = lambda a: F.transform(constraint_list(label), lambda c: check(c["kind"], a, c["args"], family))
+
+    def share(flags: Column) -> Column:
+        return F.when(F.size(flags) > 0, F.size(F.filter(flags, lambda x: x)) / F.size(flags))
+
+    return let(answer, lambda a: F.when((a == "") | (col(prediction) == ""), 0.0).otherwise(let(keeps(a), share)))
+
+
 # --- one pass over mixed tables --------------------------------------------------------------
 
-def verifiers(longest: int = 4096) -> dict:
-    """Name to ``f(prediction, label)``; the registry may be extended by the caller."""
+def verifiers(longest: int = 4096, instructions: bool = True) -> dict:
+    """Name to ``f(prediction, label)``; the registry may be extended by the caller.
+
+    Without ``instructions`` the plan is much smaller, because instruction following holds the rules of every constraint.
+    """
     many = lambda f: lambda p, x: f(p, label_list(x))
-    return {
+    more = {"ifeval": instruction_following} if instructions else {}
+    return more | {
         "gsm8k": number_match, "math": math_match, "strict_math": strict_math_match, "flan": stated_answer_match,
         "string_matcher": tagged_answer_match, "puzzle": thought_answer_match, "string_f1": f1_without_thinking,
         "re_search_f1": many(finish_f1), "re_search": many(finish_exact),
@@ -337,4 +379,12 @@ def combine_rewards(
         value = F.when(F.col(finish) != "stop", penalty).otherwise(value)
     per_response = scored.groupBy("verifier", key).agg(F.sum("r").alias("r"))
     report = per_response.groupBy("verifier").agg(F.avg("r").alias("reward"), F.avg((F.col("r") > 0).cast("int")).alias("correct_rate"))
-    return rows.withColumn("reward", value).drop("_verified"), report
+    return rows.withColumns({"reward": value, "verified": verified, "format": fmt}).drop("_verified"), report
+
+
+def reward_metrics(rewards: DataFrame) -> DataFrame:
+    """(verifiable_reward, verifiable_correct_rate, format_score, reward): means over all responses of ``combine_rewards``."""
+    return rewards.agg(
+        F.avg("verified").alias("verifiable_reward"), F.avg((F.col("verified") > 0).cast("int")).alias("verifiable_correct_rate"),
+        F.avg("format").alias("format_score"), F.avg("reward").alias("reward"),
+    )

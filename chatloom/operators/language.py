@@ -47,25 +47,21 @@ def train(df: DataFrame, language: str, text: str) -> DataFrame:
 def detect(df: DataFrame, key: str, text: str, model: DataFrame) -> DataFrame:
     """(key, detected, reason): the language with the highest log likelihood; empty and short texts are told apart.
 
-    Only grams the model knows are joined: what a language lacks costs its floor, which is added by count.
+    The model has a row per gram with a column per language, what the gram gains over the language's floor; grams are looked up where the texts are read and
+    summed there, so what is shuffled is a row per text.
     """
     clean = df.select(F.col(key), strip(F.coalesce(F.col(text), F.lit(""))).alias("t"))
     long = clean.filter(F.length("t") >= MIN_CHARS)
-    hits = (
-        long.select(key, F.explode(grams("t")).alias("gram"))
-        .groupBy(key, "gram").agg(F.count(F.lit(1)).alias("c"))
-        .join(broadcast_if_small(model), "gram")
-        .groupBy(key, "language").agg(F.sum(F.col("c") * (F.col("weight") - F.col("floor"))).alias("gain"))
-    )
-    per_text = hits.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("language", "gain"))).alias("gains"))
-    floors = model.groupBy("language").agg(F.max("floor").alias("floor")).collect()  # one row per language
-    sums = F.array(
-        *[
-            F.struct((F.coalesce(F.try_element_at("gains", F.lit(r["language"])), F.lit(0.0)) + F.col("size") * r["floor"]).alias("s"), F.lit(r["language"]).alias("l"))
-            for r in floors
-        ]
-    )
-    sizes = long.select(key, F.size(grams("t")).alias("size"))
-    best = sizes.join(per_text, key, "left").select(key, F.array_max(sums)["l"].alias("detected"))
+    floors = {r["language"]: r["floor"] for r in model.groupBy("language").agg(F.max("floor").alias("floor")).collect()}  # one row per language
+    gain = lambda name: F.coalesce(F.sum(F.when(F.col("language") == name, F.col("weight") - F.col("floor"))), F.lit(0.0))
+    gains = model.groupBy("gram").agg(*[gain(name).alias(f"g{i}") for i, name in enumerate(floors)])
+    known = long.select(key, F.explode(grams("t")).alias("gram")).join(broadcast_if_small(gains), "gram", "left")
+    total = lambda i, floor: F.coalesce(F.sum(f"g{i}"), F.lit(0.0)) + F.count(F.lit(1)) * F.lit(floor)
+    sums = known.groupBy(key).agg(*[total(i, floor).alias(f"s{i}") for i, floor in enumerate(floors.values())])
+    if floors:
+        ranked = F.array(*[F.struct(F.col(f"s{i}").alias("s"), F.lit(name).alias("l")) for i, name in enumerate(floors)])
+        best = sums.select(key, F.array_max(ranked)["l"].alias("detected"))
+    else:
+        best = long.select(key, F.lit(None).cast("string").alias("detected")).distinct()
     reason = F.when(F.length("t") == 0, "empty").when(F.length("t") < MIN_CHARS, "short").otherwise("detected")
     return clean.join(best, key, "left").select(key, F.coalesce("detected", F.lit("unknown")).alias("detected"), reason.alias("reason"))

@@ -204,12 +204,22 @@ def ngram_repetitions(df: DataFrame, key: str, text: str, n: int = 3, at_least:
             F.array().cast("array<string>")
         )
 
+    def islands(s: Column) -> Column:
+        # sorted grams: each begins an island where it differs from the one before
+        firsts = F.filter(F.sequence(F.lit(0), F.size(s) - 1), lambda i: (i == 0) | (F.get(s, i)["ngram"] != F.get(s, i - 1)["ngram"]))
+
+        def island(f: Column) -> Column:
+            def one(a: Column, k: Column) -> Column:
+                n = F.coalesce(F.get(f, k + 1), F.size(s)) - a
+                return F.struct(F.get(s, a)["ngram"].alias("ngram"), F.transform(F.slice(s, a + 1, n), lambda x: x["pos"]).alias("positions"))
+
+            return F.filter(F.transform(f, one), lambda g: F.size(g["positions"]) >= at_least)
+
+        return let(firsts, island)
+
     rows = df.select(key, let(split_words(F.lower(col(text))), grams).alias("grams")).filter(
         F.size("grams") - F.size(F.array_distinct("grams")) + 1 >= at_least
     )
-    return (
-        rows.select(key, F.posexplode("grams").alias("pos", "ngram"))
-        .groupBy(key, "ngram")
-        .agg(F.sort_array(F.collect_list("pos")).alias("positions"))
-        .filter(F.size("positions") >= at_least)
-    )
+    placed = F.array_sort(F.transform("grams", lambda g, i: F.struct(g.alias("ngram"), i.alias("pos"))))
+    # all inside the row: nothing is shuffled
+    return rows.filter(F.size("grams") > 0).select(key, F.inline(let(placed, islands)))

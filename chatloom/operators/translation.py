@@ -64,7 +64,7 @@ def verdict_summary(verdicts: DataFrame) -> DataFrame:
 
 
 def protect(text) -> Column:
-    """Struct (text, kept): code, links and addresses replaced by numbered marks, with what they stand for."""
+    """Struct (text, kept): code, links and addresses replaced by numbered marks, with what they stand for. One walk over the text per pattern."""
     patterns = list(PRESERVED)
 
     def mark_all(texts: pd.Series) -> pd.DataFrame:
@@ -73,10 +73,13 @@ def protect(text) -> Column:
             pairs, done = [], text
             if text is not None:
                 for i, pattern in enumerate(patterns):
-                    for j, found in enumerate(re.findall(pattern, done)):
+                    parts, end = [], 0
+                    for j, found in enumerate(re.finditer(pattern, done)):
                         mark = f"__PRESERVE_{i}_{j}__"
-                        done = done.replace(found, mark, 1)
-                        pairs.append({"mark": mark, "original": found})
+                        parts += [done[end : found.start()], mark]
+                        end = found.end()
+                        pairs.append({"mark": mark, "original": found[0]})
+                    done = "".join(parts) + done[end:]
             out.append(done)
             kept.append(pairs)
         return pd.DataFrame({"text": out, "kept": kept})
@@ -85,7 +88,22 @@ def protect(text) -> Column:
 
 
 def restore(text, kept) -> Column:
-    return F.aggregate(col(kept), col(text), lambda acc, k: F.replace(acc, k["mark"], k["original"]))
+    """The text with its marks replaced, the last ones first, because they may stand for text with earlier marks. One walk over the text:
+    a text without marks that are left goes through unchanged."""
+
+    def restored(texts: pd.Series, kept: pd.Series) -> pd.Series:
+        out = []
+        for text, pairs in zip(texts, kept):
+            if text is not None and pairs is not None and len(pairs):
+                whole = {p["mark"]: p["original"] for p in pairs}
+                mark = re.compile("__PRESERVE_[0-9]+_[0-9]+__")
+                for m in whole:  # originals of earlier patterns are whole before they are put into later ones
+                    whole[m] = mark.sub(lambda x: whole.get(x[0], x[0]), whole[m])
+                text = mark.sub(lambda x: whole.get(x[0], x[0]), text)
+            out.append(text)
+        return pd.Series(out, dtype="object")
+
+    return F.pandas_udf(restored, "string")(text, kept)
 
 
 def work_list(
