@@ -170,16 +170,55 @@ def arena(t):
     )
 
 
-@query("ev_ratings")
+def _poisson_steps():
+    steps, total, prob, k = [], 0.0, 0.36787944117144233, 0
+    while total + prob <= 1 - 2**-32:
+        total, k = total + prob, k + 1
+        steps.append(total)
+        prob /= k
+    return steps
+
+
+ARENA = """l AS (SELECT l_orderkey AS o, l_linenumber AS n, p_brand AS brand, l_quantity AS q FROM lineitem JOIN part ON p_partkey = l_partkey
+    QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_quantity DESC, p_brand DESC) = 1),
+  arena AS (SELECT a.o * 8 + a.n AS battle, a.brand AS a, b.brand AS b, CASE WHEN abs(a.q - b.q) < 3 THEN 0.5 WHEN a.q > b.q THEN 1 ELSE 0 END::DOUBLE AS won
+    FROM l a JOIN l b ON a.o = b.o AND b.n = a.n + 1 WHERE a.brand <> b.brand),
+  known AS (SELECT m FROM (SELECT unnest([a, b]) AS m FROM arena) GROUP BY m HAVING count(*) >= 5),
+  human AS (SELECT * FROM arena WHERE a IN (FROM known) AND b IN (FROM known))"""
+# The fit over ``battles`` (battle, a, b, won): every replicate's pairs, and a hundred rounds over them.
+FITTED = f"""seen AS (SELECT m FROM (SELECT unnest([a, b]) AS m FROM battles) GROUP BY m HAVING count(*) >= 5 OR m = 'Brand#1'),
+  kept AS (SELECT * FROM battles WHERE a IN (FROM seen) AND b IN (FROM seen)),
+  drawn AS (SELECT rep, a, b, won, list_sum([(u >= s)::INT FOR s IN {_poisson_steps()}]) AS w
+    FROM (SELECT *, ('0x' || substr(md5('42:' || battle || ':' || rep), 1, 8))::BIGINT / 4294967296::DOUBLE AS u FROM kept, range(10) t(rep))),
+  sides AS (SELECT rep, a AS m, b AS o, w * won AS won, w * (1 - won) AS lost FROM drawn WHERE w > 0 UNION ALL SELECT rep, b, a, w * (1 - won), w * won FROM drawn WHERE w > 0),
+  games AS (SELECT rep, m, o, sum(won + lost) AS n FROM sides GROUP BY ALL), wins AS (SELECT rep, m, sum(won) + 1e-9 AS w FROM sides GROUP BY ALL),
+  fit(k, rep, m, s) AS (SELECT 0, rep, m, 1::DOUBLE FROM wins UNION ALL
+    SELECT k + 1, rep, m, x / exp(avg(ln(x)) OVER (PARTITION BY rep)) FROM (
+      SELECT any_value(f.k) AS k, f.rep, f.m, any_value(wins.w) / greatest(sum(games.n / (f.s + o.s)), 1e-12) AS x
+      FROM fit f JOIN games ON games.rep = f.rep AND games.m = f.m JOIN fit o ON o.rep = f.rep AND o.m = games.o JOIN wins ON wins.rep = f.rep AND wins.m = f.m
+      WHERE f.k < 100 GROUP BY f.rep, f.m))
+  SELECT m AS model, CASE WHEN (SELECT count(*) FROM kept) >= 100 THEN round(avg(1000 + 400 * log10(s)), 3) END AS rating,
+    CASE WHEN (SELECT count(*) FROM kept) >= 100 THEN round(1.96 * stddev_pop(400 * log10(s)), 3) END AS half_width FROM fit WHERE k = 100 GROUP BY m"""
+
+
+def rated(fitted):
+    return fitted.select("model", F.round("rating", 3).alias("rating"), F.round("half_width", 3).alias("half_width"))
+
+
+@query("ev_ratings", f"WITH RECURSIVE {ARENA}, battles AS (FROM human), {FITTED}")
 def ratings(t):
-    return E.bradley_terry(E.well_known(arena(t), 5), "Brand#1", at_least=5)
+    return rated(E.bradley_terry(E.well_known(arena(t), 5), "Brand#1", at_least=5))
 
 
-@query("ev_category_ratings")
+@query(
+    "ev_category_ratings",
+    f"""WITH RECURSIVE {ARENA}, battles AS (SELECT -battle - 1 AS battle, a, b, won FROM human UNION ALL
+      SELECT battle, a, b, won FROM arena JOIN documents ON doc_id = battle % (SELECT max(doc_id) + 1 FROM documents) WHERE lang = 'en'), {FITTED}""",
+)
 def category_ratings(t):
     last = t.documents.agg(F.max("doc_id")).first()[0]
     judged = arena(t).withColumn("text", (F.col("battle") % (last + 1)).cast("string"))
     meta = t.documents.select(F.col("doc_id").cast("string").alias("text"), (F.col("lang") == "en").alias("is_en"))
     picked = E.category_battles(judged, meta, "is_en", "text").select("battle", "model_a", "model_b", "winner")
     human = E.well_known(arena(t), 5).withColumn("battle", -F.col("battle") - 1)
-    return E.bradley_terry(picked.unionByName(human), "Brand#1", at_least=5)
+    return rated(E.bradley_terry(picked.unionByName(human), "Brand#1", at_least=5))
