@@ -1,18 +1,20 @@
 """HTML extraction by equivalence classes of template tokens.
 
-A template token is a container element in its place: the path of container names with their classes and ids. Over the pages of a host,
-tokens that share their occurrence vector (how often each page has them) form a class; classes that most pages have, and that hold
-more than one token or occur the same number of times on every page, are the template, nested by their paths. What a page has between template
-tokens are its slots. The deduced main slots are the article containers of the template or, where no container says so, the template container that
-holds most of the text that is neither link text nor in a menu, header, footer, sidebar, notice, advert, form, script or comment. Extraction
-keeps the text of the main slots, decoded, one line per block.
+A template token is a container element in its place: the path of container names with their classes and ids. The pages of a host with the same outermost
+containers are a layout. Over a layout's different pages (copies count once), tokens that share their occurrence vector (how often each page has them) form a
+class; classes that at least half the pages have, and that hold more than one token or occur the same number of times on every page, are the template, nested
+by their paths. What a page has between template tokens are its slots. A slot whose text is the same on all pages that have it (``REPEATS`` at least) belongs to the
+template itself: a notice, an advert, a footer, whatever it is called. A slot of links is a menu. Of the rest, all text-bearing slots are kept: the article and
+main containers where the template has any, else every slot.
+
+Names and roles of elements say what is a menu, header, footer, sidebar, notice, advert, form, script or comment even on a host with one page. Words in classes
+and ids only ever take away a container with less than half of the page's text, and never html, body, main or article; inside an article only whole class names count.
 
 Occurrence vectors never meet in one place: a token's vector is the exclusive or of one 64-bit hash per (page, count), which is a
-partial aggregate. Per host only tokens of at least half the pages are gathered, so that a host's template is bounded by the size of its
-pages, not their number. Text is never a template token: pages that are copies of each other keep their article.
+partial aggregate. Per layout only tokens of at least half the pages are gathered, so that a template is bounded by the size of its pages, not their number.
 
 Edge cases: a null or empty page gives empty text; a null URL is a host of its own; a host with one page has the page's own containers as
-template; a page without the main container keeps all text outside the named boilerplate; unclosed, misnested and cut-off markup is
+template; a page without the main container keeps all text outside the boilerplate; unclosed, misnested and cut-off markup is
 tolerated; repeated rows are extracted each; an empty table gives an empty result. Only the key, the URL and the results are returned.
 """
 
@@ -27,23 +29,28 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chatloom.llm.frames import cut
+from chatloom.llm.frames import cut, released
 from chatloom.session import is_small
 
 # Elements by role.
-RAW = frozenset("script style noscript template iframe textarea svg math object".split())
-INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd mark q s samp small span strike strong sub sup time tt u var wbr".split())
+RAW = frozenset("script style noscript template iframe textarea svg object annotation".split())
+INLINE = frozenset(
+    "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd mark q s samp small span strike strong sub sup time tt u var wbr "
+    "math mi mo mn ms mtext mspace mrow mfrac msqrt mroot msub msup msubsup munder mover munderover mtable mtr mtd mstyle mpadded semantics".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 CONTAINERS = frozenset(
     "html body head title main article section nav header footer aside div ul ol dl menu table form figure details dialog blockquote button select label fieldset script style noscript".split()
 )
 BOILER = frozenset("head title nav footer aside form menu dialog button select label fieldset input option legend".split()) | RAW
 MAIN = frozenset(("article", "main"))
+WHOLE = MAIN | {"html", "body"}
 BOILER_WORDS = frozenset(
     "ad ads advert adverts advertisement advertising banner sponsor sponsored promo promotion sidebar menu nav navbar navigation breadcrumb breadcrumbs footer masthead "
     "comment comments respond reply replies discussion notice cookie cookies consent gdpr popup modal newsletter subscribe signup login search share sharing social "
     "related recommended recommendations widget pagination pager toolbar copyright disclaimer".split()
 )
+# Words that say so inside an article too, as a part of a name like comment-list.
+STRONG_WORDS = frozenset("ad ads advert adverts advertisement advertising comment comments cookie cookies newsletter sidebar share sharing sponsored subscribe".split())
 BOILER_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
 
 TOKEN = re.compile(
@@ -56,17 +63,22 @@ NAMED = re.compile(r"""(?:^|\s)(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\
 
 
 def element(name: str, attributes: str, inside_main: bool) -> tuple[str, int]:
-    """How a container is named in a path, and its role: 0 none, 1 boilerplate, 2 main."""
-    words, label, role = [], name, int(name in BOILER or (name == "header" and not inside_main))
+    """How a container is named in a path, and its role: 0 none, 1 boilerplate, 2 main, 3 boilerplate by its words unless it holds most of the text."""
+    label, role, worded = name, int(name in BOILER or (name == "header" and not inside_main)), False
     for key, a, b, c in NAMED.findall(attributes) if attributes else ():
         value = (a or b or c).lower()
         label += f".{value}"
-        if key.lower() == "role" and value in BOILER_ROLES:
-            role = 1
-        words += re.split(r"[^a-z]+", value)
-    if role == 0 and not BOILER_WORDS.isdisjoint(words):
-        role = 1
-    return re.sub(r"\d+", "", label), role or 2 * (name in MAIN)
+        if key.lower() == "role":
+            role = role or int(value in BOILER_ROLES)
+        for whole in value.split():
+            parts = re.split(r"[^a-z]+", whole)
+            if inside_main:
+                worded |= whole in BOILER_WORDS or parts[0] in STRONG_WORDS or parts[-1] in STRONG_WORDS
+            else:
+                worded |= not BOILER_WORDS.isdisjoint(parts)
+    if name in WHOLE:
+        role, worded = 0, False
+    return re.sub(r"\d+", "", label), role or 3 * worded or 2 * (name in MAIN)
 
 
 def pieces(html: str) -> Iterator[tuple[str, object]]:
@@ -119,103 +131,157 @@ def token(parent: int, label: str) -> int:
     return ((zlib.crc32(raw) << 32) | zlib.crc32(raw[::-1] + b"/")) - (1 << 63)
 
 
-def containers(html: str) -> dict[int, list]:
-    """Per token of the page: [count, text characters, link characters, role, first place, depth]; text under boilerplate counts nowhere."""
-    found: dict[int, list] = {0: [1, 0, 0, 0, 0, 0]}
-    path, roles, links, place = [0], [0], 0, 0
-    for kind, value in pieces(html):
-        if kind == "open":
-            label, role = value
-            path.append(token(path[-1], label))
-            roles.append(1 if roles[-1] == 1 else role)
-            place += 1
-            entry = found.setdefault(path[-1], [0, 0, 0, role, place, len(path) - 1])
+class Page:
+    """A page's events, and of each container its token, depth, text and link characters, whether it is boilerplate, and a hash of its text."""
+
+    def __init__(self, html: str):
+        self.events = list(pieces(html))
+        self.tokens, self.roles, self.depths, self.chars, self.links, self.content, self.names, self.inner = [], [], [], [], [], [], [], []
+        path, open_, hidden, linked, self.total = [0], [], 0, 0, 0
+        outer = []
+        for kind, value in self.events:
+            if kind == "open":
+                label, role = value
+                path.append(token(path[-1], label))
+                for column, x in zip((self.tokens, self.roles, self.depths, self.chars, self.links, self.content), (path[-1], role, len(path) - 1, 0, 0, 0)):
+                    column.append(x)
+                if all(self.names[i] in ("html", "body") for i in open_) and label.split(".")[0] not in ("html", "body", "head"):
+                    outer.append(label)
+                self.inner.append(any(self.roles[i] == 2 for i in open_))
+                open_.append(len(self.tokens) - 1)
+                self.names.append(label.split(".")[0])
+                hidden += role == 1
+            elif kind == "close":
+                hidden -= sum(self.roles[i] == 1 for i in open_[-value:])
+                del path[-value:], open_[-value:]
+            elif kind == "link":
+                linked = max(0, linked + value)
+            elif kind == "text" and not hidden and (text := value.strip()):
+                self.total += len(text)
+                for i in open_:
+                    self.chars[i] += len(text)
+                    self.links[i] += len(text) if linked else 0
+                    self.content[i] = zlib.crc32(text.encode("utf-8", "replace"), self.content[i])
+        self.layout = zlib.crc32("\n".join(sorted(set(outer))).encode("utf-8", "replace"))
+        self.boiler = [r == 1 or (r == 3 and 2 * n <= self.total) for r, n in zip(self.roles, self.chars)]
+
+    def slots(self) -> dict[int, list]:
+        """Per token outside boilerplate: [count, text characters, link characters, role, depth, hash of the text]; text inside boilerplate counts nowhere."""
+        found: dict[int, list] = {}
+        for i in self.opened():
+            t = self.tokens[i]
+            entry = found.setdefault(t, [0, 0, 0, INNER if self.inner[i] and self.roles[i] != 2 else self.roles[i], self.depths[i], 0])
             entry[0] += 1
-        elif kind == "close":
-            del path[-value:], roles[-value:]
-        elif kind == "link":
-            links = max(0, links + value)
-        elif kind == "text" and roles[-1] != 1 and (n := len(value.strip())):
-            for t in set(path):
-                found[t][1] += n
-                found[t][2] += n if links else 0
-    return found
-
-
-def main_text(html: str, mains: frozenset[int]) -> str:
-    """The blocks of the main slots; of all text outside boilerplate where the page has none of ``mains``."""
-
-    def walk(inside: bool) -> list[str]:
-        blocks, now = [], []
-        path, kept = [0], [not inside]
-        boiler = [False]
-
-        def end():
-            if now:
-                block = re.sub(r"\s+", " ", unescape("".join(now))).strip()
-                if block:
-                    blocks.append(block)
-                now.clear()
-
-        for kind, value in pieces(html):
+            entry[1] += self.chars[i]
+            entry[2] += self.links[i]
+            entry[5] = zlib.crc32(self.content[i].to_bytes(4, "little"), entry[5])
+        return found
+
+    def opened(self) -> Iterator[int]:
+        """Numbers of the containers outside boilerplate."""
+        i, open_, hidden = -1, [], 0
+        for kind, value in self.events:
+            if kind == "open":
+                i += 1
+                open_.append(i)
+                hidden += self.boiler[i]
+                if not hidden:
+                    yield i
+            elif kind == "close":
+                hidden -= sum(self.boiler[j] for j in open_[-value:])
+                del open_[-value:]
+
+    def text(self, mains: frozenset[int], drops: frozenset[int]) -> str:
+        """The blocks of the main slots; where the page has none, of its own article or main; else all text outside boilerplate and template."""
+        dropped = [b or (t in drops and r != 2 and 2 * n <= self.total) for b, t, r, n in zip(self.boiler, self.tokens, self.roles, self.chars)]
+        kept = list(self.opened())
+        for chosen in ({i for i in kept if self.tokens[i] in mains}, {i for i in kept if self.roles[i] == 2}, None):
+            if chosen is None or chosen:
+                blocks = self.blocks(chosen, dropped)
+                if blocks:
+                    return "\n".join(blocks)
+        return ""
+
+    def blocks(self, chosen: set[int] | None, dropped: list[bool]) -> list[str]:
+        blocks, now, open_ = [], [], []
+        i, hidden, inside = -1, 0, int(chosen is None)
+
+        def end() -> None:
+            block = re.sub(r"\s+", " ", unescape("".join(now))).strip()
+            now.clear()
+            if block:
+                blocks.append(block)
+
+        for kind, value in self.events:
             if kind == "text":
-                if kept[-1] and not boiler[-1]:
+                if inside and not hidden:
                     now.append(value)
-            elif kind == "open":
-                end()
-                path.append(token(path[-1], value[0]))
-                boiler.append(boiler[-1] or value[1] == 1)
-                kept.append(kept[-1] or path[-1] in mains)
+                continue
+            if kind == "link":
+                continue
+            end()
+            if kind == "open":
+                i += 1
+                open_.append(i)
+                hidden += dropped[i]
+                inside += chosen is not None and i in chosen
             elif kind == "close":
-                end()
-                del path[-value:], boiler[-value:], kept[-value:]
-            elif kind == "break":
-                end()
+                hidden -= sum(dropped[j] for j in open_[-value:])
+                inside -= sum(j in chosen for j in open_[-value:]) if chosen is not None else 0
+                del open_[-value:]
         end()
         return blocks
 
-    return "\n".join((walk(True) if mains else []) or walk(False))
-
 
-def deduce(tokens: pd.DataFrame) -> list[int]:
-    """The main slots of one host, from its frequent tokens: (token, vec, pages, least, most, chars, links, role, place, depth)."""
+def deduce(tokens: pd.DataFrame) -> tuple[list[int], list[int]]:
+    """The main slots of a layout, and the slots that are template or menus, from its frequent tokens:
+    (token, vec, pages, least, most, chars, links, role, same)."""
     total = int(tokens["pages"].max())
     sizes = tokens.groupby("vec")["token"].transform("size")
-    valid = tokens[(sizes > 1) | (tokens["least"] == tokens["most"]) & (tokens["pages"] == total) | (tokens["role"] == 2)]
-    mains = valid[(valid["role"] == 2) & (valid["chars"] > 0)]
-    if len(mains):
-        return sorted(int(t) for t in mains["token"])
-    slots = valid[(valid["role"] == 0) & (valid["depth"] > 0)].assign(own=lambda t: t["chars"] - t["links"])
-    if not len(slots) or slots["own"].max() <= 0:
-        return []
-    # the innermost container that still holds most of it
-    deep = slots[slots["own"] >= 0.8 * slots["own"].max()].sort_values(["depth", "place", "token"], ascending=[False, True, True])
-    return [int(deep["token"].iloc[0])]
+    valid = tokens[(sizes > 1) | (tokens["least"] == tokens["most"]) & (tokens["pages"] == total) | (tokens["pages"] == 1)]
+    bearing = valid[valid["chars"] > 0]
+    mains = bearing[bearing["role"] == 2]
+    others = bearing[bearing["role"] != 2]
+    drops = others[(others["same"] & (others["pages"] >= REPEATS)) | ((others["role"] != INNER) & (10 * others["links"] >= 8 * others["chars"]))]
+    return sorted(int(t) for t in mains["token"]), sorted(int(t) for t in drops["token"])
+
+
+INNER = 4  # the role of containers inside an article
+REPEATS = 5  # different pages with the same text in a slot that make it template
+TEMPLATES = "_host string, layout long, mains array<bigint>, drops array<bigint>"
 
 
 def templates(pages: DataFrame) -> DataFrame:
-    """(_host, mains array<bigint>): one row per host. ``pages`` has _host, _key and _html."""
+    """(_host, layouts array<struct<layout, mains, drops>>): one row per host. ``pages`` has _host and _html."""
 
     def counted(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        names = ["_host", "token", "sig", "count", "chars", "links", "role", "place", "depth"]
+        names = ["_host", "layout", "page", "token", "sig", "count", "chars", "links", "role", "content"]
         for part in parts:
             rows = []
-            for host, key, html in zip(part["_host"], part["_key"], part["_html"], strict=True):
-                for t, (n, chars, links, role, place, depth) in containers(html or "").items():
-                    rows.append((host, t, token(t, f"{key}:{n}"), n, chars, links, role, place, depth))
+            for host, own, html in zip(part["_host"], part["_own"], part["_html"], strict=True):
+                page = Page(html or "")
+                rows.append((host, page.layout, own, 0, token(0, f"{own}:1"), 1, 0, 0, 0, 0))
+                for t, (n, chars, links, role, _, content) in page.slots().items():
+                    rows.append((host, page.layout, own, t, token(t, f"{own}:{n}"), n, chars, links, role, content))
             yield pd.DataFrame(rows, columns=names)
 
-    schema = "_host string, token long, sig long, count long, chars long, links long, role int, place long, depth int"
-    seen = pages.mapInPandas(counted, schema)
-    by_token = seen.groupBy("_host", "token").agg(
+    schema = "_host string, layout long, page long, token long, sig long, count long, chars long, links long, role int, content long"
+    seen = pages.withColumn("_own", F.xxhash64("_html")).mapInPandas(released(counted), schema)
+    once = seen.groupBy("_host", "layout", "token", "page").agg(*[F.first(c).alias(c) for c in ("sig", "count", "chars", "links", "role", "content")])
+    by_token = once.groupBy("_host", "layout", "token").agg(
         F.bit_xor("sig").alias("vec"), F.count(F.lit(1)).alias("pages"), F.min("count").alias("least"), F.max("count").alias("most"),
-        F.sum("chars").alias("chars"), F.sum("links").alias("links"), F.max("role").alias("role"), F.min("place").alias("place"), F.max("depth").alias("depth"),
-    )
-    by_token = by_token.transform(lambda t: t.join(t.filter("token = 0").select("_host", F.col("pages").alias("_of")), "_host")).filter("2 * pages >= _of").drop("_of")
-    schema = "_host string, mains array<bigint>"
-    return by_token.groupBy("_host").applyInPandas(
-        lambda pdf: pd.DataFrame({"_host": [pdf["_host"].iloc[0]], "mains": [deduce(pdf)]}), schema
+        F.sum("chars").alias("chars"), F.sum("links").alias("links"), F.max("role").alias("role"), (F.min("content") == F.max("content")).alias("same"),
     )
+    by_token = cut(by_token)
+    whole = by_token.filter("token = 0").select("_host", "layout", F.col("pages").alias("_of"))
+    frequent = by_token.join(whole, ["_host", "layout"]).filter("2 * pages >= _of AND token <> 0").drop("_of")
+
+    def deduced(pdf: pd.DataFrame) -> pd.DataFrame:
+        mains, drops = deduce(pdf)
+        return pd.DataFrame({"_host": [pdf["_host"].iloc[0]], "layout": [pdf["layout"].iloc[0]], "mains": [mains], "drops": [drops]})
+
+    found = frequent.groupBy("_host", "layout").applyInPandas(deduced, TEMPLATES)
+    return found.groupBy("_host").agg(F.collect_list(F.struct("layout", "mains", "drops")).alias("layouts"))
 
 
 def extract(pages: DataFrame, html: str = "html", url: str = "url", key: str = "page_id", salts: int = 64) -> DataFrame:
@@ -235,9 +301,13 @@ def extract(pages: DataFrame, html: str = "html", url: str = "url", key: str = "
 
     def texts(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
-            out = [main_text(h or "", frozenset(m if m is not None else ())) for h, m in zip(part["_html"], part["mains"], strict=True)]
+            out = []
+            for html, layouts in zip(part["_html"], part["layouts"], strict=True):
+                page = Page(html or "")
+                own = next((x for x in (layouts if layouts is not None else ()) if x["layout"] == page.layout), None)
+                out.append(page.text(*(frozenset(map(int, own[c])) if own else frozenset() for c in ("mains", "drops"))))
             yield pd.DataFrame({"_key": part["_key"], "_url": part["_url"], "_text": out, "_n": [len(t) for t in out]})
 
     schema = f"_key {pages.schema[key].dataType.simpleString()}, _url string, _text string, _n long"
-    done = joined.select("_key", "_url", "_html", "mains").mapInPandas(texts, schema)
+    done = joined.select("_key", "_url", "_html", "layouts").mapInPandas(released(texts), schema)
     return done.select(F.col("_key").alias(key), F.col("_url").alias(url), F.col("_text").alias("text"), F.col("_n").alias("n_chars"))

@@ -183,6 +183,36 @@ def test_extraction_of_copies_keeps_the_article(spark):
     assert template.extract(spark.createDataFrame([], "page_id long, url string, html string")).collect() == []
 
 
+def extracted(spark, pages):
+    rows = [(i, f"http://one.org/{i}", p) for i, p in enumerate(pages)]
+    return {r.page_id: r.text for r in template.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        '<body class="has-sidebar"><article>{}</article><div class="sidebar">s</div>', '<main class="content with-sidebar">{}</main>', '<article class="post comments-open">{}<div class="comment-list">c</div></article>',
+        '<article><div id="notice-period">{}</div></article>', '<article>{}</article><div class=related>r</div>', '<div class="sidebar-layout"><nav>n</nav><article>{}</article></div>',
+    ],
+)
+def test_words_do_not_reject_the_page(spark, page):
+    body = "<p>The text of the page is here.</p><section class='related-work'>Earlier work.</section><p>x <math><mi>y</mi></math> z"
+    for html_ in (page.format(body), "<html>" + page.format(body)):
+        assert extracted(spark, [html_]) == {0: "The text of the page is here.\nEarlier work.\nx y z"}
+
+
+def test_template_slots_go_and_others_stay(spark):
+    page = '<nav>n</nav><article><p>Story {0} is told at some length here.</p><div class="zq1">Buy our soap now!</div><p>And ends so {0}.</p></article><div class=k{0}>x</div>'
+    assert extracted(spark, [page.format(i) for i in range(6)]) == {i: f"Story {i} is told at some length here.\nAnd ends so {i}." for i in range(6)}
+    page = '<div class=content><div class=lead>Lead {0} in short.</div><div class=body>Body {0} which is a good deal longer than its lead, and goes on and on.</div></div><div class=q><a href=1>one</a> <a href=2>two</a></div><div class=z>The same everywhere.</div>'
+    want = {i: f"Lead {i} in short.\nBody {i} which is a good deal longer than its lead, and goes on and on." for i in range(6)}
+    assert extracted(spark, [page.format(i) for i in range(6)]) == want
+    # the same line in two pages of six is no template, nor is what pages repeat that are copies
+    some = [page.format(i) for i in range(6)]
+    some[1] = some[0]
+    assert extracted(spark, some) == {**want, 1: want[0]}
+
+
 def test_records(spark, tmp_path):
     page = "<html><head><title>T</title></head><body><p>a &lt;b&gt; &#233;&#x1F600;</p><!-- c --><script>1</script><p>two</p></body></html>"
     pages = spark.createDataFrame([(1, "http://a/", page), (2, None, None), (2, None, None)], "page_id long, url string, html string")
