@@ -44,13 +44,18 @@ def fingerprint(t):
     return one.select("rows", F.lit(a["hash"] == b["hash"]).alias("order_free"), F.lit(a["hash"] != c["hash"]).alias("sees_change"))
 
 
-@query("io_write_if_changed", "SELECT 'first' AS step, true AS wrote UNION ALL SELECT 'same', false UNION ALL SELECT 'changed', true")
+@query(
+    "io_write_if_changed",
+    """SELECT 'first' AS step, true AS wrote, count(*) AS rows FROM documents UNION ALL SELECT 'same', false, count(*) FROM documents
+       UNION ALL SELECT 'changed', true, count(*) FROM documents WHERE doc_id > 5""",
+)
 def write_if_changed(t):
     path = work_path(t.spark, "mixture")
-    first = W.write_if_changed(t.documents, path, ["docs"])
-    same = W.write_if_changed(t.documents, path, ["docs"])
-    changed = W.write_if_changed(t.documents.filter("doc_id > 5"), path, ["docs"])
-    return t.spark.createDataFrame([("first", first), ("same", same), ("changed", changed)], "step string, wrote boolean")
+    steps = []
+    for step, rows in (("first", t.documents), ("same", t.documents), ("changed", t.documents.filter("doc_id > 5"))):
+        wrote = W.write_if_changed(rows, path, ["docs"])
+        steps.append(W.read_written(t.spark, path).agg(F.lit(step).alias("step"), F.lit(wrote).alias("wrote"), F.count(F.lit(1)).alias("rows")))
+    return steps[0].unionByName(steps[1]).unionByName(steps[2])
 
 
 @query(

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from chatloom.functions.text import is_blank
@@ -12,13 +15,17 @@ from chatloom.session import broadcast_if_small, cut_lineage
 def write_by_language(df: DataFrame, path: str, language: str, dataset: str, min_samples: int = 1, rows_per_file: int = 1_000_000) -> DataFrame:
     """One folder per language, blanks and rare languages left out; returns the counts of what was written.
 
-    Rows stay where they are: every task writes into the folders of its languages, so a dominant language is
-    written by all tasks at once.
+    Rows are dealt by (language, part), a part for every ``rows_per_file`` rows of a language; so there are as many files as the rows need, not
+    tasks times languages, and a dominant language is written by many tasks.
     """
     named = df.filter(~is_blank(language))
     counts = cut_lineage(named.groupBy(language).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_samples))
-    kept = named.join(broadcast_if_small(counts.select(language)), language, "left_semi")
-    kept.withColumn("dataset", F.lit(dataset)).write.mode("overwrite").option("maxRecordsPerFile", rows_per_file).partitionBy(
+    parts = counts.select(language, F.ceil(F.col("n") / rows_per_file).alias("_parts"))
+    files = parts.agg(F.coalesce(F.sum("_parts"), F.lit(1))).first()[0]
+    kept = named.join(broadcast_if_small(parts), language)
+    # equal rows do not meet: the place of a row is part of what it is dealt by
+    dealt = kept.withColumn("_part", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.col("_parts"))).repartition(files, language, "_part")
+    dealt.drop("_part", "_parts").withColumn("dataset", F.lit(dataset)).write.mode("overwrite").option("maxRecordsPerFile", rows_per_file).partitionBy(
         "dataset", language
     ).parquet(path)
     return counts
@@ -32,22 +39,44 @@ def fingerprint(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("rows"), F.sha2(F.concat_ws(":", F.sum(a), F.sum(b), F.count(F.lit(1))), 256).alias("hash"))
 
 
+MANIFEST = "rows long, hash string, sources array<string>, folder string"
+
+
+def manifest(spark: SparkSession, path: str) -> Row | None:
+    """The newest entry of a table's manifest: rows, hash, sources, and the folder of its data."""
+    try:
+        entries = spark.read.schema(MANIFEST + ", entry int").json(path.rstrip("/") + "_manifest")
+        return entries.orderBy(F.desc("entry")).first()
+    except AnalysisException:  # no entry yet
+        return None
+
+
+def read_written(spark: SparkSession, path: str) -> DataFrame:
+    """The table as its manifest has it; what a write that did not end has left is not seen."""
+    entry = manifest(spark, path)
+    if entry is None:
+        raise FileNotFoundError(f"nothing has been written to {path}")
+    return spark.read.parquet(entry["folder"])
+
+
 def write_if_changed(df: DataFrame, path: str, sources: list[str], force: bool = False) -> bool:
-    """Write table and manifest unless the manifest already has this content; returns whether it wrote."""
+    """Write a table unless its manifest already has this content; returns whether it wrote.
+
+    The input is computed once, into a folder of its own below ``path``; its content is fingerprinted there. Only then a new entry, a folder of its own
+    too, is added to the manifest, and readers (``read_written``) see the new table; a write that is killed before leaves them the old one.
+    """
     spark = df.sparkSession
-    new = fingerprint(df).first()
-    manifest = path.rstrip("/") + "_manifest"
-    if not force:
-        try:
-            old = spark.read.schema("rows long, hash string, sources array<string>").json(manifest).first()
-        except Exception:  # noqa: BLE001 - no manifest yet
-            old = None
-        if old is not None and old["hash"] == new["hash"]:
-            return False
-    df.write.mode("overwrite").parquet(path)
-    spark.createDataFrame([(new["rows"], new["hash"], sources)], "rows long, hash string, sources array<string>").coalesce(1).write.mode(
-        "overwrite"
-    ).json(manifest)
+    old = manifest(spark, path)
+    folder = f"{path.rstrip('/')}/{uuid.uuid4().hex}"
+    df.write.parquet(folder)
+    new = fingerprint(spark.read.schema(df.schema).parquet(folder)).first()
+    if old is not None and not force and old["hash"] == new["hash"]:
+        where = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+        return False
+    entry = 1 + (old["entry"] if old is not None else 0)
+    row = spark.createDataFrame([(new["rows"], new["hash"], sources, folder)], MANIFEST)
+    row.coalesce(1).write.json(f"{path.rstrip('/')}_manifest/entry={entry}")
     return True
 
 
