@@ -70,6 +70,27 @@ def render_others(t):
     return chat_rows(t.conversations).select("conv_id", *[render("messages", TEMPLATES[n]).alias(n) for n in names])
 
 
+IM = "<|im_start|>"
+OFFER = "CASE WHEN conv_id % 3 = 0 AND turn = 0 THEN concat('f', conv_id, '(x)') END"
+CALL = "CASE WHEN conv_id % 4 = 0 THEN concat('f', turn, '(1)') END"
+
+
+@query(
+    "tk_render_tools",
+    f"""WITH t AS (SELECT *, {OFFER} AS functions, {CALL} AS calls, lead(turn) OVER (PARTITION BY conv_id ORDER BY turn) IS NULL AS last FROM conversations),
+      s AS (SELECT conv_id, turn, role, '{IM}' || role || chr(10) || text || CASE role
+        WHEN 'system' THEN CASE WHEN functions IS NULL THEN ' You do not currently have access to any functions. <functions></functions>' ELSE ' <functions>' || functions || '</functions>' END
+        WHEN 'user' THEN CASE WHEN functions IS NULL THEN '' ELSE chr(10) || '<functions>' || functions || '</functions>' END
+        ELSE coalesce('<function_calls>' || calls || '</function_calls>', '') END || CASE WHEN last AND role = 'assistant' THEN '{EOS}' ELSE '<|im_end|>' || chr(10) END AS seg FROM t)
+      SELECT conv_id, CASE WHEN bool_or(role = 'system') THEN '' ELSE '{IM}system' || chr(10) || 'You are a helpful AI assistant. Your date cutoff is December 2024.<|im_end|>' || chr(10) END
+        || string_agg(seg, '' ORDER BY turn) AS text FROM s GROUP BY conv_id""",
+)
+def render_tools(t):
+    turn = F.struct("turn", "role", F.col("text").alias("content"), F.expr(OFFER).alias("functions"), F.expr(CALL).alias("function_calls"))
+    chats = t.conversations.groupBy("conv_id").agg(F.array_sort(F.collect_list(turn)).alias("messages"))
+    return chats.select("conv_id", render("messages", TEMPLATES["im_dated"], tools=True).alias("text"))
+
+
 @query("tk_render_all")
 def render_all(t):
     chats = marked_chats(t)

@@ -17,7 +17,7 @@ class ChatTemplate:
     ``turns`` maps a role (or "*" for any role) to the text before and after its content, ``{Role}`` being the
     capitalised role; roles without an entry are left out. ``last`` replaces the text after the final turn, ``eos``
     is appended at the very end when no answer is to be generated, ``thinking`` says what remains of reasoning
-    ("all", "cut" everywhere, or "cut_earlier" in all but the final turn).
+    ("all", "cut" everywhere, or "cut_earlier" in all but the final turn). With ``tools`` a turn may offer functions or call them.
     """
 
     turns: dict[str, tuple[str, str]]
@@ -28,6 +28,7 @@ class ChatTemplate:
     eos: str = ""
     system: str | None = None
     thinking: str = "all"
+    tools: bool = False
 
 
 # The texts of the named templates. EOS is the end-of-sequence token.
@@ -50,6 +51,19 @@ BOXED_REQUEST = (
     "You must put your answer inside <answer> </answer> tags, i.e., <answer> answer here </answer>. And your final "
     "answer will be extracted automatically by the \\boxed{} tag. This is the problem: "
 )
+TOOL_PREAMBLE = (
+    "A conversation between User and Assistant. The User asks a question, and the Assistant solves it. The Assistant first thinks "
+    "about the reasoning process in the mind and then provides the User with the answer. \n\n"
+    "When given a question, the Assistant must conduct reasoning inside the <think> and </think> tags. During reasoning, the Assistant "
+    "may write and execute python code using the <code> </code> tag, in order to solve the problem or verify the answer. Then the "
+    "Assistant will get the stdout and stderr in the <output> and </output> tags. For example, the code could be\n"
+    "<code>\nx, y = 1, 2\nresult = x + y\nprint(result)\n</code>\nor\n"
+    "<code>\nimport sympy as sp\nfrom sympy import Symbol\nx = Symbol('x')\ny = Symbol('y')\n"
+    "solution = sp.solve(x**2 + y**2 - 1, (x, y))\nprint(solution)\n</code>\n"
+    "The Assistant will always `print` the result of the code execution in order to see it in the <output> tag. The Assistant may use "
+    "the <code> </code> tag multiple times. When the Assistant is done reasoning, it should provide the answer inside the <answer> and "
+    "</answer> tag.\n\n"
+)
 TAGGED = {"system": ("<|system|>\n", "\n"), "user": ("<|user|>\n", "\n"), "assistant": ("<|assistant|>\n", EOS + "\n")}
 IM_NO_TOOLS = " You do not currently have access to any functions. <functions></functions><|im_end|>\n"
 IM_TAGGED = {
@@ -57,6 +71,7 @@ IM_TAGGED = {
     "assistant": ("<|im_start|>assistant\n", "<|im_end|>\n"), "environment": ("<|im_start|>environment\n", "<|im_end|>\n"),
 }
 IM_SYSTEM = "<|im_start|>system\nYou are a helpful AI assistant.<|im_end|>\n"
+IM_DATED_SYSTEM = "<|im_start|>system\nYou are a helpful AI assistant. Your date cutoff is December 2024.<|im_end|>\n"
 IM_TOOL_SYSTEM = "<|im_start|>system\nYou are a helpful function-calling AI assistant." + IM_NO_TOOLS
 
 TEMPLATES = {
@@ -72,11 +87,13 @@ TEMPLATES = {
     "tagged_thinker_cut": ChatTemplate(
         TAGGED, generation="<|assistant|>\n<think>", last={"assistant": EOS}, preamble=REASONING_PREAMBLE, thinking="cut"
     ),
-    "im_tools": ChatTemplate(IM_TAGGED, generation="<|im_start|>assistant\n", last={"assistant": EOS}, system=IM_TOOL_SYSTEM),
-    "im": ChatTemplate(IM_TAGGED, generation="<|im_start|>assistant\n", last={"assistant": EOS}, system=IM_SYSTEM),
-    "im_thinker": ChatTemplate(IM_TAGGED, generation="<|im_start|>assistant\n<think>", last={"assistant": EOS}, system=IM_SYSTEM),
+    "im_tools": ChatTemplate(IM_TAGGED, generation="<|im_start|>assistant\n", last={"assistant": EOS}, system=IM_TOOL_SYSTEM, tools=True),
+    "im": ChatTemplate(IM_TAGGED, generation="<|im_start|>assistant\n", last={"assistant": EOS}, system=IM_SYSTEM, tools=True),
+    "im_sft": ChatTemplate(IM_TAGGED, generation="<|im_start|>assistant\n", last={"assistant": EOS}, system=IM_SYSTEM, tools=True),
+    "im_dated": ChatTemplate(IM_TAGGED, generation="<|im_start|>assistant\n", last={"assistant": EOS}, system=IM_DATED_SYSTEM, tools=True),
+    "im_thinker": ChatTemplate(IM_TAGGED, generation="<|im_start|>assistant\n<think>", last={"assistant": EOS}, system=IM_SYSTEM, tools=True),
     "im_thinker_cut_earlier": ChatTemplate(
-        IM_TAGGED, generation="<|im_start|>assistant\n<think>", last={"assistant": EOS}, system=IM_SYSTEM, thinking="cut_earlier"
+        IM_TAGGED, generation="<|im_start|>assistant\n<think>", last={"assistant": EOS}, system=IM_SYSTEM, thinking="cut_earlier", tools=True
     ),
     "math_zero": ChatTemplate(
         {"*": ("", "\n")}, between="\n\n", preamble=MATH_PREAMBLE,
@@ -90,6 +107,9 @@ TEMPLATES = {
     "reasoning_chat_think": ChatTemplate(
         {"*": ("{Role}: ", "\n")}, between="\n\n", preamble=REASONING_PREAMBLE, generation="Assistant: <think>"
     ),
+    "reasoning_chat_tools": ChatTemplate(
+        {"*": ("{Role}: " + BOXED_REQUEST, "\n")}, between="\n\n", preamble=TOOL_PREAMBLE, generation="Assistant: <think>"
+    ),
     "reasoning_chat_boxed": ChatTemplate(
         {"*": ("{Role}: " + BOXED_REQUEST, "\n")}, between="\n\n", preamble=REASONING_PREAMBLE, generation="Assistant: <think>"
     ),
@@ -104,8 +124,11 @@ def _by_role(role: Column, values: dict[str, str], default: str | None) -> Colum
     return out
 
 
-def segments(messages, template: ChatTemplate, generate: bool = False) -> Column:
-    """The written form of each turn; null contents are empty. Joined, they are the conversation."""
+def segments(messages, template: ChatTemplate, generate: bool = False, tools: bool = False) -> Column:
+    """The written form of each turn; null contents are empty. Joined, they are the conversation.
+
+    Set ``tools`` for messages that have the fields functions and function_calls; only templates with tools write them.
+    """
     m = col(messages)
     any_role = template.turns.get("*", (None, None))
     before = {r: b for r, (b, _) in template.turns.items()}
@@ -130,7 +153,14 @@ def segments(messages, template: ChatTemplate, generate: bool = False) -> Column
         tail = _by_role(x["role"], after, any_role[1])
         if template.last:
             tail = F.when(is_last, F.coalesce(_by_role(x["role"], template.last, None), tail)).otherwise(tail)
-        body = F.coalesce(F.concat(head, content(x, is_last), tail), F.lit(""))
+        text = content(x, is_last)
+        if tools and template.tools:
+            offered = F.concat(F.lit("<functions>"), x["functions"], F.lit("</functions><|im_end|>\n"))
+            given = x["functions"].isNotNull()
+            tail = F.when((x["role"] == "system") & given, F.concat(F.lit(" "), offered)).when((x["role"] == "user") & given, F.concat(F.lit("\n"), offered)).otherwise(tail)
+            called = F.concat(F.lit("<function_calls>"), x["function_calls"], F.lit("</function_calls>"))
+            text = F.concat(text, F.when(x["role"] == "assistant", F.coalesce(called, F.lit(""))).otherwise(F.lit("")))
+        body = F.coalesce(F.concat(head, text, tail), F.lit(""))
         parts = [F.when((i > 0) & F.lit(bool(template.between)), F.lit(template.between)).otherwise(""), body]
         if template.eos and not generate:
             parts.append(F.when(is_last, F.lit(template.eos)).otherwise(""))
@@ -147,6 +177,6 @@ def opening(messages, template: ChatTemplate) -> Column:
     return F.when(has, F.lit(template.preamble)).otherwise(F.lit(template.preamble + template.system))
 
 
-def render(messages, template: ChatTemplate, generate: bool = False) -> Column:
-    text = F.concat(opening(messages, template), F.array_join(segments(messages, template, generate), ""))
+def render(messages, template: ChatTemplate, generate: bool = False, tools: bool = False) -> Column:
+    text = F.concat(opening(messages, template), F.array_join(segments(messages, template, generate, tools), ""))
     return F.concat(text, F.lit(template.generation)) if generate else text
