@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chatloom.llm.frames import n_words, null_safe, ranked
+from chatloom.llm.frames import keeps_underscored, n_words, null_safe, ranked
 
 MAX_SOURCES = 100_000  # a mixture lists its sources; more than this is refused, never cut
 WINDOW = 4096  # the last words of a budget are closed exactly by the dynamic program
@@ -89,6 +89,7 @@ def fit(lengths: list[int], counts: list[int], budget: int) -> list[int]:
     return take
 
 
+@keeps_underscored
 def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), max_copies: int = 3, seed: int = 42, source: str = "source", key: str = "doc_id", size: str = "size") -> DataFrame:
     """``docs`` with ``source_size``, ``target`` (of the document's source) and ``copies`` (0 to ``max_copies``).
 
@@ -128,6 +129,7 @@ def with_sizes(docs: DataFrame, text: str = "text", size: str = "size") -> DataF
     return docs.withColumn(size, n_words(F.col(text)))
 
 
+@keeps_underscored
 def repeated(mixed: DataFrame) -> DataFrame:
     """One row per copy; documents that the mix leaves out go."""
     return mixed.withColumn("_copy", F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int")))).drop("_copy")

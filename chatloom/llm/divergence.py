@@ -28,8 +28,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from chatloom.llm.frames import cut
-from chatloom.session import broadcast_if_small
+from chatloom.llm.frames import cut, small
 
 UNIT = 10**9
 MOST = 1_000_000  # postings, or pairs, that a task holds
@@ -204,11 +203,6 @@ def price(n: Column, total: Column, terms: Column) -> Column:
     return F.when(total + terms > 0, F.lit(1).cast("long") + whole_quotient(over, wide(total + terms))).otherwise(F.lit(0).cast("long"))
 
 
-def small(df: DataFrame) -> DataFrame:
-    """Broadcast within a bound that leaves a small driver room; sizes of groups are few rows, but nothing promises it."""
-    return broadcast_if_small(df, max_rows=200_000, max_bytes=16 * 1024 * 1024)
-
-
 def whole_quotient(a: Column, b: Column) -> Column:
     return F.call_function("div", a, b).cast("long")
 

@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
+from functools import wraps
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from chatloom.session import shared_dir, work_path
+from chatloom.session import broadcast_if_small, shared_dir, work_path
 
 # The white space of the contracts, space and U+0009 to U+000D.
 SPACE = " \t\n\x0b\x0c\r"
 WORD = r"[^\x20\x09-\x0D]+"
+BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def saved(df: DataFrame, name: str) -> DataFrame:
@@ -19,12 +24,69 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def small(df: DataFrame) -> DataFrame:
+    """Broadcast within a measured bound that leaves a small driver room; beyond it the join shuffles."""
+    return broadcast_if_small(df, max_rows=200_000, max_bytes=16 * 1024 * 1024)
+
+
+def released(batches: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """A kernel whose worker gives its free memory back when a task ends; workers live on from stage to stage."""
+
+    def kernel(parts: Iterator) -> Iterator:
+        import ctypes
+        import gc
+
+        import pyarrow
+
+        try:
+            yield from batches(parts)
+        finally:
+            gc.collect()
+            pyarrow.default_memory_pool().release_unused()
+            try:
+                ctypes.CDLL(None).malloc_trim(0)
+            except (AttributeError, OSError):  # another C library has no such call
+                pass
+
+    return kernel
+
+
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 2000) -> Iterator[None]:
+    """Hand texts to Python in batches of at most ``rows``, for the jobs that run inside; the session's own setting comes back after them."""
+    before = spark.conf.get(BATCH)
+    spark.conf.set(BATCH, str(min(int(before), rows) if int(before) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(BATCH, before)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Reliable checkpoint of a narrow table in the shared folder."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
+def set_aside(df: DataFrame, names: Iterable[str]) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """``df`` with those of ``names`` that it has as columns called otherwise, and the way back."""
+    wanted = {n.lower() for n in names}
+    moved = {c: f"{c} of the input" for c in df.columns if c.lower() in wanted}
+    return df.withColumnsRenamed(moved), lambda out: out.withColumnsRenamed({new: old for old, new in moved.items()})
+
+
+def keeps_underscored(operator: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """An operator whose own columns begin with an underscore, made safe for input columns that do; those it is told to read stay as they are."""
+
+    @wraps(operator)
+    def run(df: DataFrame, *args, **kwargs) -> DataFrame:
+        read = {a for a in (*args, *kwargs.values()) if isinstance(a, str)}
+        df, back = set_aside(df, [c for c in df.columns if c.startswith("_") and c not in read])
+        return back(operator(df, *args, **kwargs))
+
+    return run
+
+
 def text_of(c) -> Column:
     return F.coalesce(F.col(c) if isinstance(c, str) else c, F.lit(""))
 

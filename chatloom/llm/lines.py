@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chatloom.functions.text import let
-from chatloom.llm.frames import cut, n_words, text_of
+from chatloom.llm.frames import cut, keeps_underscored, n_words, text_of
 
 WINDOW = 3
 UNIT_WORDS = 20
@@ -82,10 +82,11 @@ def repeated_lines(docs: DataFrame, text: str, key: str, window: int, unit_words
     )
 
 
+@keeps_underscored
 def dedup_lines(docs: DataFrame, text: str = "text", key: str = "doc_id", window: int = WINDOW, unit_words: int = UNIT_WORDS) -> DataFrame:
     """``docs`` with the repeated lines deleted from ``text``, and ``n_lines`` and ``n_removed``.
 
-    ``docs`` is read twice; its rows are shuffled once, by (id, hash of the text). ``docs`` must not have columns that begin with an underscore.
+    ``docs`` is read twice; its rows are shuffled once, by (id, hash of the text).
     """
     dropped = repeated_lines(docs, text, key, window, unit_words)
     body = text_of(text)

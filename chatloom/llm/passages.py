@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chatloom.functions.text import let, steps
-from chatloom.llm.frames import WORD, cut, text_of
+from chatloom.llm.frames import WORD, cut, keeps_underscored, text_of
 from chatloom.session import broadcast_if_small
 
 LEAST = 51
@@ -139,10 +139,11 @@ def without(body: Column, starts: Column, least: int) -> Column:
     return let(words_of(body), lambda w: let(F.struct(w.alias("words"), F.split(body, WORD, -1).alias("gaps"), kept(w).alias("kept")), joined))
 
 
+@keeps_underscored
 def dedup_passages(docs: DataFrame, text: str = "text", key: str = "doc_id", least: int = LEAST, shingle: int = SHINGLE) -> DataFrame:
     """``docs`` with the later ones of repeated passages deleted from ``text``, and ``cut_words``, whether any were.
 
-    ``docs`` is read four times. It must not have columns that begin with an underscore.
+    ``docs`` is read four times.
     """
     body = text_of(text)
     rows = docs.drop("cut_words").withColumns({"_id": F.coalesce(F.col(key), F.lit(-(2**63))), "_null": F.col(key).isNull(), "_text": F.xxhash64(body)})

@@ -22,8 +22,8 @@ def odd_documents(spark):
         (5, "one two three", None, None, 13), (6, "one two three", "en", "a", 13), (None, "one two three", "en", "b", 13), (None, None, None, None, None),
         (7, "é 😀 中文 token='abcdef1234' " * 20, "en", "c", None), (8, "same words again " * 60, "de", "c", 1020),
     ]
-    schema = "doc_id long, text string, lang string, source string, n_chars long, score double, size long, rank int, h string, lines int"
-    return spark.createDataFrame([(*r, 0.5, 3, 1, "x", 2) for r in rows], schema)
+    schema = "doc_id long, text string, lang string, source string, n_chars long, score double, size long, rank int, h string, lines int, _id string, _size string, _text int, n_lines string, target string, copies string"
+    return spark.createDataFrame([(*r, 0.5, 3, 1, "x", 2, "own", "own", 7, "own", "own", "own") for r in rows], schema)
 
 
 @pytest.fixture(scope="session")

@@ -6,6 +6,7 @@ import random
 import re
 import zlib
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -95,6 +96,27 @@ def test_judge(documents, labels, odd_documents, no_documents):
     assert rules.judge(no_documents, labels).collect() == []
 
 
+def test_folded_weights_are_averaged_vectors_and_softmax():
+    texts = [("good words here and there", 1), ("bad $$$ text", 0), ("more good words", 1), ("$$$ *** bad", 0), ("words and words", 1)]
+    rows = []
+    for t, y in texts:
+        ids, counts = np.unique(quality.buckets(t.encode()), return_counts=True)
+        rows.append((ids, counts.astype(np.float32), y))
+    vectors, out, bias = quality.learned(rows, 7)
+    model = quality.train(rows, 7)
+    for t in [t for t, _ in texts] + ["", "something else", None]:
+        logits = vectors[quality.buckets((t or "").encode())].mean(axis=0) @ out + bias
+        p = np.exp(logits - logits.max())
+        assert abs(model.score(t) - p[1] / p.sum()) < 1e-4
+
+
+def test_junk_is_rejected_by_the_rules(spark):
+    docs, marks = (spark.read.parquet(f"/root/testdata/sf0.01/{n}.parquet") for n in ("documents", "labels"))
+    rows = rules.judge(docs, marks).join(marks, "doc_id").filter("NOT base_failed").collect()
+    junk, good = [r for r in rows if r.quality == 0], [r for r in rows if r.quality == 1]
+    assert len(junk) > 10 and sum(not r.kept for r in junk) >= 0.9 * len(junk) and sum(r.kept for r in good) >= 0.97 * len(good)
+
+
 def test_rules_are_learned_in_order():
     # bins of two features: label 0 where the first is high, or the second is low
     counts = [((a, b), half, int(not (a == 2 or b == 0)), 20) for a in range(3) for b in range(3) for half in (False, True)]
