@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from chatloom.llm import budget, jaccard, lines, passages, quality
-from chatloom.llm.frames import WORD, cut, saved
+from chatloom.llm.frames import WORD, cut, saved, set_aside
 from chatloom.llm.queries import packed, table
 from chatloom.session import broadcast_if_small
 
@@ -22,10 +22,11 @@ def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Later repeated runs of lines go, then later repeated passages that begin or end inside a line; documents that lose their last word with them go too."""
+    docs, back = set_aside(docs, ("n_lines", "n_removed", "cut_words"))
     out = saved(lines.dedup_lines(docs).filter((F.col("n_removed") == 0) | F.col("text").rlike(WORD)), "lines")
     out = passages.dedup_passages(out).filter(~F.col("cut_words") | F.col("text").rlike(WORD))
     changed = (F.col("n_removed") > 0) | F.col("cut_words")
-    return out.withColumn("n_chars", F.when(changed, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(docs.columns)
+    return back(out.withColumn("n_chars", F.when(changed, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(docs.columns))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,8 +46,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sources near their target weights; documents that the mix takes more than once repeat."""
+    docs, back = set_aside(docs, ("source_size", "target", "copies", "_words"))
     sized = budget.with_sizes(docs, size="_words")
-    return budget.repeated(budget.mix(sized, weights=(5, 2, 1), max_copies=3, size="_words")).select(docs.columns)
+    return back(budget.repeated(budget.mix(sized, weights=(5, 2, 1), max_copies=3, size="_words")).select(docs.columns))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
