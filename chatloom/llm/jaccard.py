@@ -32,10 +32,10 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from chatloom.functions.grams import GramFilter
 from chatloom.llm import shingles as S
 from chatloom.llm.components import components, forest
-from chatloom.llm.frames import cut
-from chatloom.session import broadcast_if_small
+from chatloom.llm.frames import cut, released, small, small_batches
 
 FREQUENT = 48  # repeats in the scan that make a shingle frequent
 MOST_FREQUENT = 1 << 20  # frequent shingles that reach the driver; beyond it the limit above is doubled
@@ -46,6 +46,8 @@ PIVOTS = 4
 NEAR = 0.6
 DEPTH = 4  # recursions before a region that is still large is decided in blocks
 BLOCK, BLOCK_SHINGLES = 1024, 150_000  # members and shingles of a block
+HUB = 32  # pairs of a class that make it a hub, as pivots are
+SALTS = 16  # parts that the pairs of a hub are dealt over
 
 
 def need(a, b, percent: int):
@@ -73,7 +75,7 @@ def scan(docs: DataFrame, words: int, seed: int, text: str, key: str) -> DataFra
             yield pd.DataFrame({"kind": 1, "_key": None, "n": times[more], "a": found[more].view(np.int64), "b": 0, "h": 0}).astype({"_key": "object"})
 
     rows = docs.select(F.col(key).cast("long").alias("_key"), F.col(text).alias("_text"), F.xxhash64(text).alias("_hash"))
-    return cut(rows.mapInPandas(scanned, "kind int, _key long, n long, a long, b long, h long"))
+    return cut(rows.mapInPandas(released(scanned), "kind int, _key long, n long, a long, b long, h long"))
 
 
 def frequent(spark: SparkSession, found: DataFrame):
@@ -120,7 +122,7 @@ def first_regions(docs: DataFrame, bits, buckets: int, words: int, seed: int, pe
                 at = np.flatnonzero(np.diff(to, prepend=-1))
                 yield pd.DataFrame({"kind": 0, "bucket": to[at], "cls": 0, "n": np.diff(np.append(at, len(to))), "raw": [x.tobytes() for x in np.split(rows, at[1:])]})
 
-    return docs.select(F.col(text).alias("_text")).mapInPandas(entered, "kind int, bucket long, cls long, n long, raw binary")
+    return docs.select(F.col(text).alias("_text")).mapInPandas(released(entered), "kind int, bucket long, cls long, n long, raw binary")
 
 
 def paired(cls: np.ndarray, size: np.ndarray, place: np.ndarray | None, percent: int) -> tuple[np.ndarray, np.ndarray]:
@@ -165,7 +167,7 @@ def join_first(entries: DataFrame, buckets: int, percent: int) -> DataFrame:
             yield from large
 
     dealt = entries.filter("kind = 0").select("bucket", "raw").repartition(buckets, "bucket")
-    return cut(dealt.mapInPandas(met, "region long, x long, y long"))
+    return cut(dealt.mapInPandas(released(met), "region long, x long, y long"))
 
 
 def bounded(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
@@ -181,16 +183,50 @@ def bounded(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
 
     named = lambda c: sketches.select(F.col("cls").alias(c), F.col("n").alias(f"n{c}"), F.col("raw").alias(f"r{c}"))
     both = pairs.select("x", "y").distinct().join(named("x"), "x").join(named("y"), "y")
-    return both.mapInPandas(limits, "x long, y long, nx long, ny long, most long")
+    return both.mapInPandas(released(limits), "x long, y long, nx long, ny long, most long")
 
 
 def decided(pairs: DataFrame, docs: DataFrame, classes: DataFrame, percent: int, words: int, seed: int, text: str) -> DataFrame:
     """(x, y, nx, ny, most, common): the exact intersection where the bound allows a link, else null."""
     limits = cut(pairs)
     close = limits.filter(100 * F.col("most") >= percent * (F.col("nx") + F.col("ny") - F.col("most")))
-    used = cut(close.select(F.explode(F.array("x", "y")).alias("cls")).distinct().join(classes.select("cls", "h"), "cls"))
-    texts = texts_of(used, docs, text)
-    both = close.join(texts.select(F.col("cls").alias("x"), F.col("_text").alias("tx")), "x").join(texts.select(F.col("cls").alias("y"), F.col("_text").alias("ty")), "y")
+    degree = cut(close.select(F.explode(F.array("x", "y")).alias("cls")).groupBy("cls").agg(F.count(F.lit(1)).alias("pairs")).join(classes.select("cls", "h"), "cls"))
+    texts = lambda of: texts_of(degree.join(of, "cls", "left_semi").select("cls", "h"), docs, text)
+
+    # the sets of hubs go to where the texts of their partners are read: no pair row carries a hub's text, no key holds a hub's pairs
+    hubs = degree.filter(F.col("pairs") >= HUB)
+    of = lambda c: hubs.select(F.col("cls").alias(c), F.col("pairs").alias(f"p{c}"))
+    ranked = cut(close.join(small(of("x")), "x", "left").join(small(of("y")), "y", "left"))
+    pair = "x long, y long, nx long, ny long, most long, common long"
+
+    def at_hubs() -> DataFrame:
+        to_hub = ranked.filter("px IS NOT NULL OR py IS NOT NULL")
+        first = F.coalesce("px", F.lit(0)) >= F.coalesce("py", F.lit(0))
+        to_hub = to_hub.withColumns({"hub": F.when(first, F.col("x")).otherwise(F.col("y")), "other": F.when(first, F.col("y")).otherwise(F.col("x"))})
+        to_hub = to_hub.withColumn("salt", F.pmod(F.xxhash64("other"), F.lit(SALTS)).cast("int")).drop("px", "py")
+
+        def hashed(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for part in parts:
+                yield pd.DataFrame({"hub": part["cls"], "raw": [s.tobytes() for s in S.sets(part["_text"].tolist(), words, seed)]})
+
+        sets = cut(texts(hubs.select("cls")).mapInPandas(released(hashed), "hub long, raw binary"))
+        sets = small(sets.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))))
+
+        def counted_at_hubs(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for part in parts:
+                own, last, common = None, None, []
+                for other, t, raw in zip(part["other"], part["_text"], part["raw"], strict=True):
+                    if other != last:
+                        own, last = next(S.sets([t], words, seed)), other
+                    common.append(len(np.intersect1d(own, np.frombuffer(raw, np.uint64), assume_unique=True)))
+                yield part[["x", "y", "nx", "ny", "most"]].assign(common=common)
+
+        partners = texts(to_hub.select(F.col("other").alias("cls")).distinct()).withColumnRenamed("cls", "other")
+        return to_hub.join(partners, "other").join(sets, ["hub", "salt"]).mapInPandas(released(counted_at_hubs), pair)
+
+    rest = ranked.filter("px IS NULL AND py IS NULL").drop("px", "py")
+    side = lambda c: texts(rest.select(F.col(c).alias("cls")).distinct()).select(F.col("cls").alias(c), F.col("_text").alias(f"t{c}"))
+    both = rest.join(side("x"), "x").join(side("y"), "y")
 
     def counted(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: dict[int, np.ndarray] = {}
@@ -208,7 +244,8 @@ def decided(pairs: DataFrame, docs: DataFrame, classes: DataFrame, percent: int,
                 common.append(len(np.intersect1d(made(x, tx), made(y, ty), assume_unique=True)))
             yield part[["x", "y", "nx", "ny", "most"]].assign(common=common)
 
-    exact = both.mapInPandas(counted, "x long, y long, nx long, ny long, most long, common long")
+    exact = both.mapInPandas(released(counted), pair)
+    exact = exact.unionByName(at_hubs()) if hubs.limit(1).count() else exact
     far = limits.filter(100 * F.col("most") < percent * (F.col("nx") + F.col("ny") - F.col("most"))).withColumn("common", F.lit(None).cast("long"))
     return cut(exact.unionByName(far))
 
@@ -269,23 +306,40 @@ def open_regions(members: DataFrame, links: DataFrame) -> DataFrame:
 
 
 def texts_of(classes: DataFrame, docs: DataFrame, text: str) -> DataFrame:
-    """(cls, _text) of ``classes`` (cls, h: hash of the text of one of its documents)."""
-    texts = docs.select(F.xxhash64(text).alias("h"), F.col(text).alias("_text")).join(broadcast_if_small(classes), "h")
+    """(cls, _text) of ``classes`` (cls, h: hash of the text of one of its documents).
+
+    Texts that a filter of the hashes rules out go where they are read, so that a join that has to shuffle shuffles the others only.
+    """
+    known = GramFilter(classes.select("h"))
+    texts = docs.select(F.xxhash64(text).alias("h"), F.col(text).alias("_text"))
+    texts = known.attach(texts).filter(known.may_hold(F.col("h"))).select("h", "_text").join(small(classes), "h")
     return texts.groupBy("cls").agg(F.first("_text").alias("_text"))
 
 
 def block_links(members: DataFrame, docs: DataFrame, classes: DataFrame, percent: int, words: int, seed: int, text: str) -> DataFrame:
-    """(u, v): a spanning forest per group of the links between components, from groups of two blocks of the region's sets."""
+    """(u, v): a spanning forest per group of the links between components, from groups of two blocks of the region's sets.
+
+    Blocks of the region's largest component need not meet each other, so its members go to the blocks of the others only.
+    """
     used = cut(members.select(F.col("x").alias("cls")).distinct().join(classes.select("cls", "h"), "cls"))
 
     def hashed(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
             yield pd.DataFrame({"x": part["cls"], "raw": [s.tobytes() for s in S.sets(part["_text"].tolist(), words, seed)]})
 
-    held = texts_of(used, docs, text).mapInPandas(hashed, "x long, raw binary")
-    sizes = members.groupBy("region").agg(F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum("y") / BLOCK_SHINGLES)).cast("int").alias("n"))
-    rows = members.join(sizes, "region").withColumn("b", F.pmod(F.xxhash64(F.lit(9), "x"), F.col("n")).cast("int"))
-    rows = rows.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("n") - 1))).join(held, "x")
+    held = texts_of(used, docs, text).mapInPandas(released(hashed), "x long, raw binary")
+    blocks = lambda k, s: F.greatest(F.ceil(k / BLOCK), F.ceil(s / BLOCK_SHINGLES), F.lit(1)).cast("int")
+    by_component = members.groupBy("region", "c").agg(F.count(F.lit(1)).alias("k"), F.sum("y").alias("s"))
+    sizes = by_component.groupBy("region").agg(F.max_by(F.struct("c", "k", "s"), F.struct("k", "c")).alias("g"), F.sum("k").alias("k"), F.sum("s").alias("s"))
+    sizes = sizes.select(
+        "region", F.col("g.c").alias("main"), (blocks(F.col("k"), F.col("s")) > 1).alias("split"), blocks(F.col("g.k"), F.col("g.s")).alias("mains"),
+        blocks(F.col("k") - F.col("g.k"), F.col("s") - F.col("g.s")).alias("others"),
+    )
+    # a region of one block meets itself
+    sizes = sizes.withColumns({"mains": F.when(F.col("split"), F.col("mains")).otherwise(F.lit(0)), "others": F.when(F.col("split"), F.col("others")).otherwise(F.lit(1))})
+    draw, main = F.xxhash64(F.lit(9), "x"), F.col("split") & (F.col("c") == F.col("main"))
+    rows = members.join(sizes, "region").withColumn("b", F.when(main, F.pmod(draw, F.col("mains"))).otherwise(F.col("mains") + F.pmod(draw, F.col("others"))).cast("int"))
+    rows = rows.withColumn("with", F.explode(F.sequence(F.when(main, F.col("mains")).otherwise(F.lit(0)), F.col("mains") + F.col("others") - 1))).join(held, "x")
     rows = rows.withColumns({"lo": F.least("b", "with"), "hi": F.greatest("b", "with")}).select("region", "lo", "hi", "b", "x", "y", "c", "home", "raw")
 
     def met(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -322,6 +376,11 @@ def block_links(members: DataFrame, docs: DataFrame, classes: DataFrame, percent
 
 def join(docs: DataFrame, percent: int = 80, words: int = 5, text: str = "text", key: str = "doc_id", seed: int = 0) -> DataFrame:
     """(key, n_shingles, component_id) of every row. The texts are read twice, and once more for those that have a close candidate."""
+    with small_batches(docs.sparkSession):
+        return joined_rows(docs, percent, words, text, key, seed)
+
+
+def joined_rows(docs: DataFrame, percent: int, words: int, text: str, key: str, seed: int) -> DataFrame:
     spark, limit = docs.sparkSession, 1 - percent / 100
     found = scan(docs, words, seed, text, key)
     rows = found.filter("kind = 0").select("_key", "n", F.when(F.col("n") > 0, F.col("a")).alias("cls"), "b", "h")
@@ -329,7 +388,7 @@ def join(docs: DataFrame, percent: int = 80, words: int = 5, text: str = "text",
         F.min("_key").alias("least"), F.min("h").alias("h"), F.max("n").alias("n"), F.min("b").alias("b0"), F.max("b").alias("b1")))
     totals = classes.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("c"), F.count_if(F.col("b0") != F.col("b1")).alias("bad")).first()
     if totals["bad"]:
-        return join(docs, percent, words, text, key, seed + 1)
+        return joined_rows(docs, percent, words, text, key, seed + 1)
     if totals["c"]:
         buckets = max(211, (totals["n"] * (100 - percent) // 100 + totals["c"]) // BUCKET)
         entries = cut(first_regions(docs, frequent(spark, found), buckets, words, seed, percent, text))

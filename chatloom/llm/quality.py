@@ -22,6 +22,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from chatloom.llm.frames import released
+
 BUCKETS, DIM = 1 << 16, 16
 GRAMS = (3, 4, 5)
 MAX_ROWS = 3000
@@ -83,10 +85,16 @@ class Model:
 
 
 def train(rows: list[tuple[np.ndarray, np.ndarray, int]], seed: int = 7) -> Model:
-    """``rows``: (buckets, counts, label) per document. Stochastic gradient descent over shuffled mini-batches, with a falling rate."""
+    """``rows``: (buckets, counts, label) per document. The vectors that are learned, folded with the output layer."""
     share = np.mean([y for *_, y in rows]) if rows else 0.5
     if len({y for *_, y in rows}) < 2:
         return Model(np.zeros(BUCKETS, np.float32), float(np.log(np.clip(share, 1e-3, 0.999) / np.clip(1 - share, 1e-3, 0.999))))
+    vectors, out, bias = learned(rows, seed)
+    return Model((vectors @ (out[:, 1] - out[:, 0])).astype(np.float32), float(bias[1] - bias[0]))
+
+
+def learned(rows: list[tuple[np.ndarray, np.ndarray, int]], seed: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Vectors, output layer and bias, by stochastic gradient descent over shuffled mini-batches, with a falling rate."""
     rng = np.random.default_rng(seed)
     vectors = rng.uniform(-1 / DIM, 1 / DIM, (BUCKETS, DIM)).astype(np.float32)
     out = rng.normal(0, 0.1, (DIM, 2)).astype(np.float32)
@@ -110,7 +118,7 @@ def train(rows: list[tuple[np.ndarray, np.ndarray, int]], seed: int = 7) -> Mode
                 out -= rate * np.outer(mean, p)
                 bias -= rate * p
                 vectors[ids] -= (rate * np.sqrt(len(ids), dtype=np.float32) * weight)[:, None] * back
-    return Model((vectors @ (out[:, 1] - out[:, 0])).astype(np.float32), float(bias[1] - bias[0]))
+    return vectors, out, bias
 
 
 def fit(labelled: DataFrame, text: str = "text", label: str = "quality", key: str = "doc_id", max_rows: int = MAX_ROWS) -> Model:
@@ -129,7 +137,7 @@ def fit(labelled: DataFrame, text: str = "text", label: str = "quality", key: st
 
     rows = labelled.select(F.col(key).cast("long").alias("_key"), F.col(text).alias("_text"), F.col(label).cast("int").alias("_label"))
     chosen = rows.filter("_label IN (0, 1)").orderBy(F.xxhash64(F.lit(3), "_key"), "_key", "_label", F.xxhash64("_text")).limit(max_rows)
-    made = chosen.coalesce(1).mapInPandas(fitted, "weights binary, bias double").collect()
+    made = chosen.coalesce(1).mapInPandas(released(fitted), "weights binary, bias double").collect()
     return Model(np.frombuffer(made[0]["weights"], np.float32), made[0]["bias"]) if made else train([])
 
 
@@ -143,7 +151,7 @@ def score(docs: DataFrame, model: Model, text: str = "text", key: str = "doc_id"
 
     rows = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text"))
     schema = f"_key {docs.schema[key].dataType.simpleString()}, score double, predicted int"
-    return rows.mapInPandas(scored, schema).withColumnRenamed("_key", key)
+    return rows.mapInPandas(released(scored), schema).withColumnRenamed("_key", key)
 
 
 def kept(docs: DataFrame, model: Model, text: str = "text", threshold: float = 0.7) -> DataFrame:

@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chatloom.llm.frames import ranked, saved
+from chatloom.llm.frames import ranked, saved, small_batches
 from chatloom.llm.tokenize import token_rows
 
 
@@ -111,7 +111,8 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int | No
     The texts are encoded once, into a table in the shared folder; that table is shuffled once, by (length, salt). The driver gets the
     counts per length, at most ``capacity`` of them.
     """
-    encoded = saved(token_rows(docs, tokenizer, end_id, text, key), "tokens")
+    with small_batches(docs.sparkSession):
+        encoded = saved(token_rows(docs, tokenizer, end_id, text, key), "tokens")
     rows = encoded.withColumns({
         "_rem": (F.col("_n") % capacity).cast("int"), "_full": F.floor(F.col("_n") / capacity).cast("long"), "_hash": F.xxhash64("_ids"),
     })

@@ -15,6 +15,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from chatloom.llm.frames import released
+
 REMEMBERED = 100_000  # words, and pieces of words, in each of the two generations of a worker's memory
 LONG = 64  # longer words are not remembered
 CHUNK = 256  # texts that are encoded together
@@ -128,4 +130,4 @@ def token_rows(docs: DataFrame, tokenizer: str, end_id: int | None = 1, text: st
                 yield pd.DataFrame({"_key": few["_key"], "_n": [len(x) // words.kind.itemsize for x in ids], "_ids": ids})
 
     rows = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text"))
-    return rows.mapInPandas(encoded, f"_key {docs.schema[key].dataType.simpleString()}, _n long, _ids binary")
+    return rows.mapInPandas(released(encoded), f"_key {docs.schema[key].dataType.simpleString()}, _n long, _ids binary")
