@@ -35,7 +35,8 @@ from pyspark.sql import functions as F
 from chatloom.functions.grams import GramFilter
 from chatloom.llm import shingles as S
 from chatloom.llm.components import components, forest
-from chatloom.llm.frames import cut, released, small, small_batches
+from chatloom.llm.frames import cut, released, small
+from chatloom.session import broadcast_if_small
 
 FREQUENT = 48  # repeats in the scan that make a shingle frequent
 MOST_FREQUENT = 1 << 20  # frequent shingles that reach the driver; beyond it the limit above is doubled
@@ -46,6 +47,7 @@ PIVOTS = 4
 NEAR = 0.6
 DEPTH = 4  # recursions before a region that is still large is decided in blocks
 BLOCK, BLOCK_SHINGLES = 1024, 150_000  # members and shingles of a block
+NAMES = 64 << 20  # bytes of the names of classes, two numbers each, that are broadcast
 HUB = 32  # pairs of a class that make it a hub, as pivots are
 SALTS = 16  # parts that the pairs of a hub are dealt over
 
@@ -312,7 +314,7 @@ def texts_of(classes: DataFrame, docs: DataFrame, text: str) -> DataFrame:
     """
     known = GramFilter(classes.select("h"))
     texts = docs.select(F.xxhash64(text).alias("h"), F.col(text).alias("_text"))
-    texts = known.attach(texts).filter(known.may_hold(F.col("h"))).select("h", "_text").join(small(classes), "h")
+    texts = known.attach(texts).filter(known.may_hold(F.col("h"))).select("h", "_text").join(broadcast_if_small(classes, max_rows=1_000_000, max_bytes=NAMES), "h")
     return texts.groupBy("cls").agg(F.first("_text").alias("_text"))
 
 
@@ -376,11 +378,6 @@ def block_links(members: DataFrame, docs: DataFrame, classes: DataFrame, percent
 
 def join(docs: DataFrame, percent: int = 80, words: int = 5, text: str = "text", key: str = "doc_id", seed: int = 0) -> DataFrame:
     """(key, n_shingles, component_id) of every row. The texts are read twice, and once more for those that have a close candidate."""
-    with small_batches(docs.sparkSession):
-        return joined_rows(docs, percent, words, text, key, seed)
-
-
-def joined_rows(docs: DataFrame, percent: int, words: int, text: str, key: str, seed: int) -> DataFrame:
     spark, limit = docs.sparkSession, 1 - percent / 100
     found = scan(docs, words, seed, text, key)
     rows = found.filter("kind = 0").select("_key", "n", F.when(F.col("n") > 0, F.col("a")).alias("cls"), "b", "h")
@@ -388,7 +385,7 @@ def joined_rows(docs: DataFrame, percent: int, words: int, text: str, key: str,
         F.min("_key").alias("least"), F.min("h").alias("h"), F.max("n").alias("n"), F.min("b").alias("b0"), F.max("b").alias("b1")))
     totals = classes.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("c"), F.count_if(F.col("b0") != F.col("b1")).alias("bad")).first()
     if totals["bad"]:
-        return joined_rows(docs, percent, words, text, key, seed + 1)
+        return join(docs, percent, words, text, key, seed + 1)
     if totals["c"]:
         buckets = max(211, (totals["n"] * (100 - percent) // 100 + totals["c"]) // BUCKET)
         entries = cut(first_regions(docs, frequent(spark, found), buckets, words, seed, percent, text))
