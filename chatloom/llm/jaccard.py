@@ -58,11 +58,13 @@ def need(a, b, percent: int):
 
 
 def scan(docs: DataFrame, words: int, seed: int, text: str, key: str) -> DataFrame:
-    """One pass over the texts: their sets' sizes and names (kind 0), and the shingles that repeat within a chunk of texts (kind 1)."""
+    """One pass over the texts: their sets' sizes and names (kind 0), the shingles that repeat within a chunk of texts (kind 1), and a sketch per task and
+    class (kind 2)."""
 
     def scanned(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        met = set()
         for part in parts:
-            sizes, a, b, held, seen = [], [], [], [], set()
+            sizes, a, b, held, seen, sketches = [], [], [], [], set(), {}
             for s in S.sets(part["_text"].tolist(), words, seed):
                 x, y = S.name(s) if len(s) else (0, 0)
                 sizes.append(len(s))
@@ -71,13 +73,18 @@ def scan(docs: DataFrame, words: int, seed: int, text: str, key: str) -> DataFra
                 if x not in seen and len(s):
                     seen.add(x)
                     held.append(s)
-            yield pd.DataFrame({"kind": 0, "_key": part["_key"], "n": sizes, "a": a, "b": b, "h": part["_hash"]})
+                    if x not in met:
+                        met.add(x)
+                        sketches[x] = len(s), S.sketch(s)
+            yield pd.DataFrame({"kind": 0, "_key": part["_key"], "n": sizes, "a": a, "b": b, "h": part["_hash"], "raw": None})
             found, times = np.unique(np.concatenate(held), return_counts=True) if held else (np.zeros(0, np.uint64), np.zeros(0, int))
             more = times > 1
-            yield pd.DataFrame({"kind": 1, "_key": None, "n": times[more], "a": found[more].view(np.int64), "b": 0, "h": 0}).astype({"_key": "object"})
+            yield pd.DataFrame({"kind": 1, "_key": None, "n": times[more], "a": found[more].view(np.int64), "b": 0, "h": 0, "raw": None}).astype({"_key": "object"})
+            of = pd.DataFrame({"kind": 2, "_key": None, "n": [n for n, _ in sketches.values()], "a": list(sketches), "b": 0, "h": 0, "raw": [r for _, r in sketches.values()]})
+            yield of.astype({"_key": "object"})
 
     rows = docs.select(F.col(key).cast("long").alias("_key"), F.col(text).alias("_text"), F.xxhash64(text).alias("_hash"))
-    return cut(rows.mapInPandas(released(scanned), "kind int, _key long, n long, a long, b long, h long"))
+    return cut(rows.mapInPandas(released(scanned), "kind int, _key long, n long, a long, b long, h long, raw binary"))
 
 
 def frequent(spark: SparkSession, found: DataFrame):
@@ -94,37 +101,33 @@ def frequent(spark: SparkSession, found: DataFrame):
 
 
 def first_regions(docs: DataFrame, bits, buckets: int, words: int, seed: int, percent: int, text: str) -> DataFrame:
-    """Second pass: per task and bucket, the packed entries (shingle, class, size and place) of the sets' first shingles (kind 0), and a
-    sketch per class (kind 1)."""
+    """Second pass: per task and bucket, the packed entries (shingle, class, size and place) of the sets' first shingles. They are much of the input, so
+    they are not kept beside what the shuffle to their buckets writes."""
 
     def entered(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hot_bits, seen = np.unpackbits(bits.value).astype(bool), set()
         for part in parts:
-            entries, names, sizes, sketches = [], [], [], []
+            entries = []
             for s in S.sets(part["_text"].tolist(), words, seed):
                 n = len(s)
                 if not n or (cls := S.name(s)[0]) in seen:
                     continue
                 seen.add(cls)
-                names.append(cls)
-                sizes.append(n)
-                sketches.append(S.sketch(s))
                 hot = hot_bits[(s >> np.uint64(64 - BITS)).astype(np.int64)]
                 first = n - -(-percent * n // 100) + 1
                 chosen = np.concatenate([s[~hot][:first], s[hot][: max(0, first - int((~hot).sum()))]])
                 rows = np.empty((first, 3), np.int64)
                 rows[:, 0], rows[:, 1], rows[:, 2] = chosen.view(np.int64), cls, (n << 32) | np.arange(first)
                 entries.append(rows)
-            yield pd.DataFrame({"kind": 1, "bucket": 0, "cls": names, "n": sizes, "raw": sketches})
             if entries:
                 rows = np.concatenate(entries)
                 to = (S.mixed(rows[:, 0].view(np.uint64)) % np.uint64(buckets)).astype(np.int64)
                 order = np.argsort(to, kind="stable")
                 rows, to = rows[order], to[order]
                 at = np.flatnonzero(np.diff(to, prepend=-1))
-                yield pd.DataFrame({"kind": 0, "bucket": to[at], "cls": 0, "n": np.diff(np.append(at, len(to))), "raw": [x.tobytes() for x in np.split(rows, at[1:])]})
+                yield pd.DataFrame({"bucket": to[at], "raw": [x.tobytes() for x in np.split(rows, at[1:])]})
 
-    return docs.select(F.col(text).alias("_text")).mapInPandas(released(entered), "kind int, bucket long, cls long, n long, raw binary")
+    return docs.select(F.col(text).alias("_text")).mapInPandas(released(entered), "bucket long, raw binary")
 
 
 def paired(cls: np.ndarray, size: np.ndarray, place: np.ndarray | None, percent: int) -> tuple[np.ndarray, np.ndarray]:
@@ -168,7 +171,7 @@ def join_first(entries: DataFrame, buckets: int, percent: int) -> DataFrame:
                 yield pd.DataFrame({"region": None, "x": both[:, 0], "y": both[:, 1]}).astype({"region": "object"})
             yield from large
 
-    dealt = entries.filter("kind = 0").select("bucket", "raw").repartition(buckets, "bucket")
+    dealt = entries.repartition(buckets, "bucket")
     return cut(dealt.mapInPandas(released(met), "region long, x long, y long"))
 
 
@@ -388,8 +391,8 @@ def join(docs: DataFrame, percent: int = 80, words: int = 5, text: str = "text",
         return join(docs, percent, words, text, key, seed + 1)
     if totals["c"]:
         buckets = max(211, (totals["n"] * (100 - percent) // 100 + totals["c"]) // BUCKET)
-        entries = cut(first_regions(docs, frequent(spark, found), buckets, words, seed, percent, text))
-        sketches = cut(entries.filter("kind = 1").groupBy("cls").agg(F.first("n").alias("n"), F.first("raw").alias("raw")))
+        entries = first_regions(docs, frequent(spark, found), buckets, words, seed, percent, text)
+        sketches = cut(found.filter("kind = 2").groupBy(F.col("a").alias("cls")).agg(F.first("n").alias("n"), F.first("raw").alias("raw")))
         regions = join_first(entries, buckets, percent)
         pairs, members = regions.filter("region IS NULL").select("x", "y"), regions.filter("region IS NOT NULL")
         if members.limit(1).count():

@@ -170,3 +170,11 @@ def test_stages_of_odd_rows(spark, odd_documents, no_documents):
             if name == "jaccard_join" and have:
                 texts = collections.Counter(r.text for r in out.collect())
                 assert texts["same words again " * 60] == 1 and got[5] + got[6] == 1 and got[4] == 1
+
+
+def test_entries_of_first_regions_are_only_shuffled(spark, monkeypatch):
+    kept, real = [], jaccard.cut
+    monkeypatch.setattr(jaccard, "cut", lambda df: kept.append(df.columns) or real(df))
+    rows = corpus(5)
+    assert joined(spark, rows) == brute(rows)
+    assert kept and not any("bucket" in columns for columns in kept)
