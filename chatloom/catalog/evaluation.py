@@ -1,10 +1,11 @@
 """Queries: win rates, annotators, ratings and series."""
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from chatloom.catalog.registry import query
 from chatloom.operators import evaluation as E
-from chatloom.session import broadcast_if_small
+from chatloom.session import broadcast_if_small, stored
 
 # A battle per event: the verdict follows the event type, a dataset is a tenth of the users.
 PREF = "CASE event_type WHEN 'click' THEN 0.2 WHEN 'view' THEN 0.5 WHEN 'purchase' THEN 0.9 WHEN 'signup' THEN 0.4 END"
@@ -159,15 +160,18 @@ def rolling(t):
 def arena(t):
     # battles between the brands of neighbouring lines of an order; the winner follows the larger quantity
     part = t.part.select(F.col("p_partkey").alias("l_partkey"), F.col("p_brand").alias("brand"))
-    lines = t.lineitem.join(broadcast_if_small(part), "l_partkey")
+    lines = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity").join(broadcast_if_small(part), "l_partkey")
     side = F.max_by(F.struct("brand", "l_quantity"), F.struct("l_quantity", "brand"))
-    a = lines.groupBy("l_orderkey", "l_linenumber").agg(side.alias("a"))
-    b = a.select("l_orderkey", (F.col("l_linenumber") - 1).alias("l_linenumber"), F.col("a").alias("b"))
+    a = lines.groupBy("l_orderkey", "l_linenumber").agg(side.alias("a")).filter("l_orderkey IS NOT NULL AND l_linenumber IS NOT NULL")
+    # the line after: an order has few numbers, and no row is shuffled for the other side of a join
+    follows = F.lead(F.struct("l_linenumber", "a")).over(Window.partitionBy("l_orderkey").orderBy("l_linenumber"))
+    both = a.withColumn("next", follows).filter("next.l_linenumber = l_linenumber + 1").withColumn("b", F.col("next.a"))
     d = F.col("a.l_quantity") - F.col("b.l_quantity")
-    return a.join(b, ["l_orderkey", "l_linenumber"]).filter("a.brand <> b.brand").select(
+    rows = both.filter("a.brand <> b.brand").select(
         (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("battle"), F.col("a.brand").alias("model_a"), F.col("b.brand").alias("model_b"),
         F.when(F.abs(d) < 3, "tie").when(d > 0, "model_a").otherwise("model_b").alias("winner"),
     )
+    return stored(rows, "battles")
 
 
 def _poisson_steps():

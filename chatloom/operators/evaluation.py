@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -178,10 +180,15 @@ def rolling_band(series: DataFrame, run: str, step: str, value: str, at_least: f
 
 # --- ratings ---------------------------------------------------------------------------------
 
+def battles_of(battles: DataFrame) -> DataFrame:
+    """(m, n): battles of each model. Battles are counted per pair before they become two rows."""
+    pairs = battles.groupBy("model_a", "model_b").agg(F.count(F.lit(1)).alias("n"))
+    return pairs.select(F.explode(F.array("model_a", "model_b")).alias("m"), "n").groupBy("m").agg(F.sum("n").alias("n"))
+
+
 def well_known(human: DataFrame, at_least: int = 500) -> DataFrame:
     """Human battles between models that have at least ``at_least`` of them."""
-    seen = human.select(F.explode(F.array("model_a", "model_b")).alias("m")).groupBy("m").agg(F.count(F.lit(1)).alias("n"))
-    names = broadcast_if_small(cut_lineage(seen.filter(F.col("n") >= at_least).select("m")))  # one row per model
+    names = broadcast_if_small(cut_lineage(battles_of(human).filter(F.col("n") >= at_least).select("m")))  # one row per model
     return human.join(names, F.col("model_a") == F.col("m"), "left_semi").join(names, F.col("model_b") == F.col("m"), "left_semi")
 
 
@@ -196,23 +203,30 @@ def bradley_terry(battles: DataFrame, target: str, at_least: int = 100, replicat
 
     The battles are reduced to wins per ordered pair and bootstrap replicate in one aggregate, each battle weighing
     a Poisson(1) count drawn from its hash. What is fitted is only models × models numbers per replicate.
+    They are read twice, so what is costly to compute should be stored first.
     """
-    seen = battles.select(F.explode(F.array("model_a", "model_b")).alias("m")).groupBy("m").agg(F.count(F.lit(1)).alias("n"))
-    names = broadcast_if_small(cut_lineage(seen.filter((F.col("n") >= at_least) | (F.col("m") == target)).select("m")))
+    names = broadcast_if_small(cut_lineage(battles_of(battles).filter((F.col("n") >= at_least) | (F.col("m") == target)).select("m")))
     kept = battles.join(names, F.col("model_a") == F.col("m"), "left_semi").join(names, F.col("model_b") == F.col("m"), "left_semi")
-    u = lambda r: F.conv(F.substring(hash_key(F.concat_ws(":", "battle", r), seed), 1, 8), 16, 10).cast("double") / F.lit(float(2**32))
-    rows = kept.select("battle", "model_a", "model_b", "winner", F.explode(F.sequence(F.lit(0), F.lit(replicates - 1))).alias("rep"))
+    # the drawn number of each replicate leaves the explosion as a column, so that a hash is computed once
+    draws = [F.substring(hash_key(F.concat_ws(":", "battle", F.lit(r)), seed), 1, 8) for r in range(replicates)]
+    rows = kept.select("model_a", "model_b", "winner", F.posexplode(F.array(*draws)).alias("rep", "u"))
     # the distribution up to the last step that a number of 32 bits can reach
     steps, total, prob, k = [], 0.0, float(np.exp(-1.0)), 0
     while total + prob <= 1 - 2**-32:
         total, k = total + prob, k + 1
         steps.append(total)
         prob /= k
-    weight = sum(((u(F.col("rep")) >= s).cast("int") for s in steps[1:]), (u(F.col("rep")) >= steps[0]).cast("int"))
+    # eight hexadecimal digits compare as the number of 32 bits that they write
+    weight = F.lit(len(steps))
+    for k, s in reversed(list(enumerate(steps))):
+        weight = F.when(F.col("u") < f"{math.ceil(s * 2**32):08x}", k).otherwise(weight)
     win_a = F.when(F.col("winner") == "model_a", 1.0).when(F.col("winner") == "model_b", 0.0).otherwise(0.5)
-    pairs = rows.withColumn("w", weight).filter("w > 0").groupBy("rep", "model_a", "model_b").agg(
-        F.sum(F.col("w") * win_a).alias("wins"), F.sum(F.col("w") * (1 - win_a)).alias("losses")
+    pairs = rows.withColumn("w", weight).groupBy("rep", "model_a", "model_b").agg(
+        F.sum(F.col("w") * win_a).alias("wins"), F.sum(F.col("w") * (1 - win_a)).alias("losses"), F.sum("w").alias("w"), F.count(F.lit(1)).alias("n")
     )
+    pairs = cut_lineage(pairs)
+    enough = (pairs.filter("rep = 0").agg(F.sum("n")).first()[0] or 0) >= 100
+    pairs = pairs.filter("w > 0").select("rep", "model_a", "model_b", "wins", "losses")
 
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
         models = sorted(set(pdf["model_a"]) | set(pdf["model_b"]))
@@ -229,6 +243,5 @@ def bradley_terry(battles: DataFrame, target: str, at_least: int = 100, replicat
         return pd.DataFrame({"rep": pdf["rep"].iloc[0], "model": models, "rating": 1000 + 400 * np.log10(strength)})
 
     fitted = pairs.groupBy("rep").applyInPandas(fit, "rep int, model string, rating double")
-    enough = kept.agg((F.count(F.lit(1)) >= 100).alias("ok")).first()["ok"]
     value = lambda c: c if enough else F.lit(None).cast("double")
     return fitted.groupBy("model").agg(value(F.avg("rating")).alias("rating"), value(1.96 * F.stddev_pop("rating")).alias("half_width"))

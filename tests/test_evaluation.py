@@ -76,3 +76,67 @@ def test_kernels_run_where_the_package_cannot_be_imported(tmp_path):
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     done = subprocess.run([sys.executable, str(script)], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
     assert done.returncode == 0, done.stderr[-2000:]
+
+
+def sales(spark):
+    from types import SimpleNamespace
+
+    part = spark.createDataFrame([(i, f"Brand#{i % 3}") for i in range(7)] + [(7, None), (None, "Brand#1")], "p_partkey long, p_brand string")
+    lines = [(i // 5, (i * 3) % 8, i % 5, float(i * 7 % 11)) for i in range(400)] + [(3, 2, 1, None), (None, 1, 1, 5.0), (None, 2, 2, 9.0), (4, 1, None, 5.0)]
+    docs = spark.createDataFrame([(i, "en" if i % 2 else "de") for i in range(9)], "doc_id long, lang string")
+    return SimpleNamespace(part=part, lineitem=spark.createDataFrame(lines, "l_orderkey long, l_partkey long, l_linenumber int, l_quantity double"), documents=docs)
+
+
+def test_battles_are_stored_and_made_once(spark):
+    from chatloom.catalog import evaluation as C
+
+    t = sales(spark)
+    fought = C.arena(t)
+    plan = fought._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate" not in plan and "Join" not in plan
+    brand = {r.p_partkey: r.p_brand for r in t.part.collect() if r.p_partkey is not None}
+    best = {}
+    for r in t.lineitem.collect():
+        if r.l_partkey in brand and r.l_orderkey is not None and r.l_linenumber is not None:
+            side = ((r.l_quantity is not None, r.l_quantity or 0), (brand[r.l_partkey] is not None, brand[r.l_partkey] or ""), brand[r.l_partkey], r.l_quantity)
+            best[r.l_orderkey, r.l_linenumber] = max(best.get((r.l_orderkey, r.l_linenumber), side), side)
+    expected = []
+    for (o, n), a in best.items():
+        b = best.get((o, n + 1))
+        if b and a[2] is not None and b[2] is not None and a[2] != b[2]:
+            d = None if a[3] is None or b[3] is None else a[3] - b[3]
+            winner = "tie" if d is not None and abs(d) < 3 else "model_a" if d is not None and d > 0 else "model_b"
+            expected.append((o * 8 + n, a[2], b[2], winner))
+    assert sorted(map(tuple, fought.collect())) == sorted(expected)
+
+
+def test_bootstrap_weights_are_those_of_the_distribution(spark):
+    from hashlib import md5
+    from math import exp
+
+    from chatloom.operators import evaluation as E
+
+    rows = [(i, "a" if i % 3 else "b", "c", "model_a") for i in range(300)]
+    rated = E.bradley_terry(spark.createDataFrame(rows, "battle long, model_a string, model_b string, winner string"), "a", at_least=1, replicates=2, rounds=1)
+    plan = rated._jdf.queryExecution().optimizedPlan().toString()
+    assert "md5" not in plan  # the pairs are kept, no battle is drawn again
+    # one round from strength 1: wins over half the games, divided by the geometric mean
+
+    def weight(i, rep):
+        u, total, prob, k = int(md5(f"42:{i}:{rep}".encode()).hexdigest()[:8], 16) / 2**32, 0.0, exp(-1.0), 0
+        while total + prob <= u:
+            total, k = total + prob, k + 1
+            prob /= k
+        return k
+
+    from math import log10
+
+    got = {r.model: r.rating for r in rated.collect()}
+    mean = {m: 0.0 for m in "abc"}
+    for rep in range(2):
+        n = {m: sum(weight(i, rep) for i, a, _, _ in rows if a == m) for m in "ab"}
+        raw = {"a": (n["a"] + 1e-9) / (n["a"] / 2), "b": (n["b"] + 1e-9) / (n["b"] / 2), "c": 1e-9 / ((n["a"] + n["b"]) / 2)}
+        centre = sum(map(log10, raw.values())) / 3
+        for m in mean:
+            mean[m] += (1000 + 400 * (log10(raw[m]) - centre)) / 2
+    assert all(abs(got[m] - mean[m]) < 1e-6 for m in mean)
