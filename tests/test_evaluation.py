@@ -87,7 +87,7 @@ def sales(spark):
     return SimpleNamespace(part=part, lineitem=spark.createDataFrame(lines, "l_orderkey long, l_partkey long, l_linenumber int, l_quantity double"), documents=docs)
 
 
-def test_battles_are_stored_and_made_once(spark):
+def test_battles_are_stored_and_made_once(spark, monkeypatch):
     from chatloom.catalog import evaluation as C
 
     t = sales(spark)
@@ -108,6 +108,10 @@ def test_battles_are_stored_and_made_once(spark):
             winner = "tie" if d is not None and abs(d) < 3 else "model_a" if d is not None and d > 0 else "model_b"
             expected.append((o * 8 + n, a[2], b[2], winner))
     assert sorted(map(tuple, fought.collect())) == sorted(expected)
+    calls = []
+    monkeypatch.setattr(C, "arena", lambda t: calls.append(1) or fought)
+    C.category_ratings(t).collect()
+    assert len(calls) == 1
 
 
 def test_bootstrap_weights_are_those_of_the_distribution(spark):
