@@ -12,15 +12,20 @@ from chatloom.functions.text import is_blank
 from chatloom.session import broadcast_if_small, cut_lineage
 
 
-def write_by_language(df: DataFrame, path: str, language: str, dataset: str, min_samples: int = 1, rows_per_file: int = 1_000_000) -> DataFrame:
+def write_by_language(
+    df: DataFrame, path: str, language: str, dataset: str, min_samples: int = 1, rows_per_file: int = 1_000_000, bytes_per_file: int = 64 << 20
+) -> DataFrame:
     """One folder per language, blanks and rare languages left out; returns the counts of what was written.
 
-    Rows are dealt by (language, part), a part for every ``rows_per_file`` rows of a language; so there are as many files as the rows need, not
-    tasks times languages, and a dominant language is written by many tasks.
+    Rows are dealt by (language, part), a part for every ``rows_per_file`` rows or ``bytes_per_file`` of texts of a language; so there are as many files as
+    the rows need, not tasks times languages, and a dominant language is written by many tasks, each of a bounded number of bytes.
     """
     named = df.filter(~is_blank(language))
-    counts = cut_lineage(named.groupBy(language).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_samples))
-    parts = counts.select(language, F.ceil(F.col("n") / rows_per_file).alias("_parts"))
+    width = sum((F.coalesce(F.octet_length(c), F.lit(0)).cast("long") for c, kind in df.dtypes if kind in ("string", "binary")), F.lit(0).cast("long"))
+    held = cut_lineage(named.groupBy(language).agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("_bytes")).filter(F.col("n") >= min_samples))
+    counts = held.drop("_bytes")
+    needed = F.greatest(F.ceil(F.col("n") / rows_per_file), F.ceil(F.col("_bytes") / bytes_per_file), F.lit(1))
+    parts = held.select(language, needed.alias("_parts"))
     files = parts.agg(F.coalesce(F.sum("_parts"), F.lit(1))).first()[0]
     kept = named.join(broadcast_if_small(parts), language)
     # equal rows do not meet: the place of a row is part of what it is dealt by

@@ -56,3 +56,14 @@ def test_labels_of_constraints(spark):
     got = {r.i: None if r.c is None else [(c.kind, c.args) for c in r.c] for r in df.collect()}
     assert got[0] == [("a:b", {}), ("c:d", {"n": ["3"], "words": ["x", "y"]})]
     assert got[1] == [("a:b", {"k": ["it's"], "yes": ["true"]})] and got[2] == [("a:b", {"k": ["v"]})] and got[3] is None and got[4] is None
+
+
+def test_files_are_bounded_in_bytes(spark, tmp_path):
+    from chatloom.sources.sinks import write_by_language
+
+    rows = spark.createDataFrame([(i, "de" if i % 4 else "en", "x" * 1000) for i in range(400)] + [(400, "fr", None)], "id long, lang string, text string")
+    counts = write_by_language(rows, str(tmp_path / "out"), "lang", "d", bytes_per_file=30_000)
+    assert {r.lang: r.n for r in counts.collect()} == {"de": 300, "en": 100, "fr": 1} and counts.columns == ["lang", "n"]
+    files = {lang: len(list((tmp_path / "out" / "dataset=d" / f"lang={lang}").glob("*.parquet"))) for lang in ("de", "en", "fr")}
+    assert files["de"] > files["en"] > 1 == files["fr"]
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 401
