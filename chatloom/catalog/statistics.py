@@ -120,7 +120,8 @@ SEGMENTS = "'<|user|>' || chr(10) || source || chr(10) || '<|assistant|>' || chr
 def accounting(t):
     from chatloom.operators.conversions import user_assistant
 
-    coded = t.documents.select("source", T.masked_chat(user_assistant("source", "text"), TEMPLATES["tagged"], 1_000_000).alias("x"))
+    # made by a generator, which no filter is pushed below: a chat is encoded once, in the tasks that the documents are spread over
+    coded = t.documents.select("source", F.explode(F.array(T.masked_chat(user_assistant("source", "text"), TEMPLATES["tagged"], 1_000_000))).alias("x"))
     # rows beyond 2000 tokens are filtered: they count as initial and not as final
     short = coded.filter(F.size("x.input_ids") <= 2000).select("source", F.col("x.input_ids").alias("ids"), F.col("x.labels").alias("labels"))
     return S.pipeline_accounting(t.documents, short, "source", "ids", "labels")

@@ -90,7 +90,8 @@ def masked_chat(
             shared = F.when(i > 1, header).otherwise(0) if mask == "last" else header
         keep = F.coalesce(open_turn, F.lit(False))
         hidden = F.when(keep, F.least(shared, F.size(ids))).otherwise(F.size(ids))
-        return F.transform(ids, lambda t, j: F.when(j < hidden, F.lit(MASKED)).otherwise(t))
+        # bound, or every token would look up its turn again
+        return let(hidden, lambda h: F.transform(ids, lambda t, j: F.when(j < h, F.lit(MASKED)).otherwise(t)))
 
     def build(bound: Column) -> Column:
         parts, header = bound["parts"], bound["header"]

@@ -83,3 +83,16 @@ def test_equal_hits_are_one_class(spark):
     assert scores == {**{(i, 1): 1.0 for i in range(50)}, **{(i, 2): 0.75 for i in range(50)}, **{(i, 1): 0.6 for i in range(50, 60)}}
     above = C.ngram_matches(train, test, "id", "text", "item", ["q"], 3, 0.7)
     assert {r.id for r in C.contaminated(above, "id").collect()} == set(range(50))
+
+
+def test_chats_are_encoded_once_for_the_accounts(spark):
+    from types import SimpleNamespace
+
+    from chatloom.catalog.statistics import accounting
+
+    docs = spark.createDataFrame([("a", "one two."), ("a", "word " * 2100), ("b", None), (None, "x")], "source string, text string")
+    out = accounting(SimpleNamespace(documents=docs))
+    plan = out._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    assert not any("Filter" in line and "regexp_extract_all" in line for line in plan)
+    got = {r.source: (r.initial, r.final) for r in out.collect()}
+    assert got["a"] == (2, 1) and got["b"] == (1, 1) and got["overall"][0] == 4
