@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from chatloom.operators.ordering import hash_block
 from chatloom.session import broadcast_if_small, cut_lineage
 
+TABLES = 1024  # blocks whose tables a worker holds as Python numbers
 ENTRY = "_b string, used long, held long, pack long, first long, offset long"
 
 
@@ -39,7 +40,8 @@ def block_entries(sizes: DataFrame, capacity: int) -> DataFrame:
         return ends, np.maximum(np.arange(len(n)) + 1, np.searchsorted(ends, ends - n + capacity, side="right"))
 
     def summaries(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in parts:
+        # the tables of some blocks at a time
+        for part in (p.slice(a, TABLES) for p in parts for a in range(0, p.num_rows, TABLES)):
             out = {"rows": [], "total": [], "ends": [], "used": [], "held": [], "packs": []}
             for n in part.column("sizes"):
                 n = n.values.to_numpy(zero_copy_only=False)
@@ -64,7 +66,7 @@ def block_entries(sizes: DataFrame, capacity: int) -> DataFrame:
     def applied(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         used, held, pack, first, offset = capacity + 1, 0, -1, 0, 0
         names = ["_b", "rows", "total", "ends", "used", "held", "packs"]
-        for part in parts:
+        for part in (p.slice(a, TABLES) for p in parts for a in range(0, p.num_rows, TABLES)):
             states = []
             for b, rows, total, ends, after, held_after, packs in zip(*(part.column(n).to_pylist() for n in names)):
                 states.append((b, used, held, pack, first, offset))

@@ -47,6 +47,7 @@ PACK_SCHEMA = (
     "pack long, ids array<int>, attention array<int>, response_mask array<long>, dones array<long>, "
     "positions array<int>, num_actions array<int>, lengths array<int>, logprobs array<float>"
 )
+WEIGHT = 1 << 15  # tokens of the packs that a task hands back at once
 PACK_ARRAYS = ["ids", "attention", "response_mask", "dones", "positions", "num_actions", "lengths", "logprobs"]
 
 
@@ -58,11 +59,13 @@ def pack(df: DataFrame, pack_length: int, pad: int, order: Column, use_mask: boo
     have no log probability (null). A task holds one pack at a time; a pack that goes on in the next block of rows is put together from its pieces.
     """
     size = F.size(F.filter("query", lambda x: x != pad)) + F.size(F.filter("response", lambda x: x != pad))
+    state = ["used", "held", "pack", "first"]
     rows = in_blocks(df.select("query", "response", "mask", "logprobs", order.alias("_order")), F.col("_order"), size, pack_length, block)
+    rows = rows.select("_b", "query", "response", "mask", "logprobs", *state)
 
     def arrays(pack: int, held: int, first: int, whole: bool, rows: list[tuple]) -> dict:
         """The piece of a pack; ``held`` rows of it stand in earlier blocks, and ``first`` is the number of its first row here."""
-        join = lambda parts: np.concatenate(parts).tolist() if parts else []
+        join = lambda parts: np.concatenate(parts) if parts else np.zeros(0, "int32")
         sizes = [len(q) + len(a) for q, a, _, _ in rows]
         marks = [np.where(m != 0, i, 0) if use_mask else np.full(len(a), i) for i, (_, a, m, _) in enumerate(rows, first + 1)]
         return {
@@ -73,7 +76,8 @@ def pack(df: DataFrame, pack_length: int, pad: int, order: Column, use_mask: boo
             "dones": join([np.concatenate([np.zeros(n - 1, "int64"), [i]]) for i, n in enumerate(sizes, first + 1) if n]),
             "positions": join([np.arange(n) for n in sizes]),
             "num_actions": [len(a) for _, a, _, _ in rows], "lengths": sizes,
-            "logprobs": join([np.concatenate([np.full(len(q), np.nan, "float32"), x]) for q, _, _, x in rows]),
+            # only numbers of a list that are missing become null
+            "logprobs": join([np.concatenate([np.full(len(q), np.nan, "float32"), x]) for q, _, _, x in rows]).tolist(),
         }
 
     def build(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -98,7 +102,7 @@ def pack(df: DataFrame, pack_length: int, pad: int, order: Column, use_mask: boo
                 open_.append(row)
                 used += n
                 weight += n
-                if weight > 1 << 18 and out:
+                if weight > WEIGHT and out:
                     yield pd.DataFrame(out)
                     out, weight = [], 0
             if out:

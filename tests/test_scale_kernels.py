@@ -96,3 +96,16 @@ def test_chats_are_encoded_once_for_the_accounts(spark):
     assert not any("Filter" in line and "regexp_extract_all" in line for line in plan)
     got = {r.source: (r.initial, r.final) for r in out.collect()}
     assert got["a"] == (2, 1) and got["b"] == (1, 1) and got["overall"][0] == 4
+
+
+def test_packs_do_not_depend_on_what_is_handed_back_at_once(spark, monkeypatch):
+    from chatloom.operators import nextfit, packing
+
+    rows = [([i + 1] * (i % 5), [i + 2] * (1 + i % 7), [1] * (1 + i % 7), [-0.5] * (1 + i % 7), f"{i * 7919 % 65536:04x}{i}") for i in range(120)]
+    df = spark.createDataFrame(rows, "query array<int>, response array<int>, mask array<int>, logprobs array<float>, h string")
+    packs = lambda: sorted((tuple(map(str, r)) for r in packing.pack(df, 12, -1, F.col("h")).collect()))
+    first = packs()
+    assert any("None" in r[-1] for r in first) and not any("nan" in r[-1] for r in first)
+    monkeypatch.setattr(packing, "WEIGHT", 1)
+    monkeypatch.setattr(nextfit, "TABLES", 1)
+    assert packs() == first
