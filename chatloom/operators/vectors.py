@@ -10,6 +10,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -18,7 +19,7 @@ from chatloom.session import cut_lineage
 
 QUERY_BLOCK = 1024  # queries in a block
 BROADCAST_BYTES = 64 << 20  # of all query blocks together
-CELLS = 1 << 22  # products that are held at once
+CELLS = 1 << 18  # products that are held at once
 
 
 def top_matches(corpus: DataFrame, queries: DataFrame, key: str, vector: str, k: int = 5, block: int = QUERY_BLOCK) -> DataFrame:
@@ -34,11 +35,13 @@ def top_matches(corpus: DataFrame, queries: DataFrame, key: str, vector: str, k:
             if len(pdf):
                 yield pd.DataFrame({"ids": [pdf["id"].tolist()], "rows": [unit(np.stack(pdf["v"].to_numpy()).astype("float64")).tobytes()]})
 
-    def best(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in parts:
-            for q_ids, q, c_ids, c in zip(pdf["q_ids"], pdf["q_rows"], pdf["ids"], pdf["rows"]):
-                q, c = (np.frombuffer(raw).reshape(len(i), -1) for raw, i in ((q, q_ids), (c, c_ids)))
-                rank = np.unique(np.asarray(c_ids), return_inverse=True)[1]
+    def best(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            # matrices are read where the batch holds them: a worker has one batch and ``CELLS`` products, however many pairs of blocks there are
+            for q_ids, q, c_ids, c in zip(*(part.column(x) for x in ("q_ids", "q_rows", "ids", "rows"))):
+                q_ids, c_ids = q_ids.values, c_ids.values
+                q, c = (np.frombuffer(raw.as_buffer()).reshape(len(i), -1) for raw, i in ((q, q_ids), (c, c_ids)))
+                rank = np.unique(c_ids.to_numpy(zero_copy_only=False), return_inverse=True)[1]
                 step = max(1, CELLS // len(c))
                 for a in range(0, len(q), step):
                     scores = np.round(q[a : a + step] @ c.T, 9)
@@ -48,7 +51,7 @@ def top_matches(corpus: DataFrame, queries: DataFrame, key: str, vector: str, k:
                     row, at = row[order], at[order]
                     place = np.arange(len(row)) - np.searchsorted(row, row)
                     row, at = row[place < k], at[place < k]
-                    yield pd.DataFrame({"query": [q_ids[a + i] for i in row], "key": [c_ids[i] for i in at], "score": scores[row, at]})
+                    yield pa.RecordBatch.from_arrays([q_ids.take(pa.array(a + row)), c_ids.take(pa.array(at)), pa.array(scores[row, at])], ["query", "key", "score"])
 
     kind = corpus.schema[key].dataType.simpleString()
     asked = cut_lineage(queries.select(F.col(key).alias("q"), F.col(vector).cast("array<double>").alias("v")))
@@ -67,7 +70,7 @@ def top_matches(corpus: DataFrame, queries: DataFrame, key: str, vector: str, k:
         asked = F.broadcast(asked)
     rows = corpus.select(F.col(key).alias("id"), F.col(vector).cast("array<double>").alias("v"))
     rows = rows.mapInPandas(packed, f"ids array<{kind}>, rows binary").withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    found = rows.join(asked, "block").mapInPandas(best, f"query {queries.schema[key].dataType.simpleString()}, key {kind}, score double")
+    found = rows.join(asked, "block").select("q_ids", "q_rows", "ids", "rows").mapInArrow(best, f"query {queries.schema[key].dataType.simpleString()}, key {kind}, score double")
     return first_k(found, ["query"], [F.desc("score"), "key"], k)
 
 

@@ -109,3 +109,22 @@ def test_packs_do_not_depend_on_what_is_handed_back_at_once(spark, monkeypatch):
     monkeypatch.setattr(packing, "WEIGHT", 1)
     monkeypatch.setattr(nextfit, "TABLES", 1)
     assert packs() == first
+
+
+def test_matches_read_matrices_where_they_lie(spark):
+    import numpy as np
+
+    from chatloom.operators import vectors
+
+    rng = np.random.default_rng(1)
+    v = rng.normal(size=(60, 4))
+    df = spark.createDataFrame([(f"k{i}", x.tolist()) for i, x in enumerate(v)], "id string, v array<float>")
+    found = vectors.top_matches(df.filter("id NOT LIKE '%0'"), df.filter("id LIKE '%0'"), "id", "v", k=3, block=2)
+    assert "MapInArrow" in found._jdf.queryExecution().optimizedPlan().toString()
+    unit = v.astype("float32").astype(float)
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    score = unit @ unit.T
+    keys = [i for i in range(60) if i % 10]
+    expected = {(f"k{q}", f"k{c}") for q in range(0, 60, 10) for c in sorted(keys, key=lambda c: -score[q, c])[:3]}
+    assert {(r["query"], r["key"]) for r in found.collect()} == expected
+    assert 8 * vectors.CELLS <= 4 << 20
