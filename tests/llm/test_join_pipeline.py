@@ -178,3 +178,15 @@ def test_entries_of_first_regions_are_only_shuffled(spark, monkeypatch):
     rows = corpus(5)
     assert joined(spark, rows) == brute(rows)
     assert kept and not any("bucket" in columns for columns in kept)
+
+
+def test_kept_texts_go_to_python_in_small_batches(spark):
+    from chatloom.llm import quality
+
+    rng = np.random.default_rng(3)
+    model = quality.Model(rng.normal(size=quality.BUCKETS).astype(np.float32), 0.8)
+    rows = [(i, t) for i, t in enumerate([None, "", "a", "good words here", "bad", "x" * 5000, "été à la"] * 3)]
+    kept = quality.kept(spark.createDataFrame(rows, "doc_id long, text string"), model, threshold=0.5)
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "BatchEvalPython" in plan and "ArrowEvalPython" not in plan
+    assert sorted(r.doc_id for r in kept.collect()) == [i for i, t in rows if model.score(t) >= 0.5]
