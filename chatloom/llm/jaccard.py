@@ -3,19 +3,25 @@
 The Jaccard distance is a metric, and two documents link at a distance of at most ``1 - similarity``. Equal sets are one class. The result is
 each document's component, so the join has to decide every pair of classes in different components that may link, not to list the pairs inside one.
 
-1. First regions. A one-shingle set is a pivot too, and most documents are at distance 1 from most pivots. In a fixed order of the shingles, two sets that
+1. Leaders. Near copies mostly share the smallest or the largest of their shingles. The sets that share one are a group, each is compared exactly with the
+   group's leader, and the links found give components. A set in its leader's component carries the group's shingle as a label: sets of one label are
+   known to be in one component, so that a text with many near copies does not pair all of them in every region.
+2. First regions. A one-shingle set is a pivot too, and most documents are at distance 1 from most pivots. In a fixed order of the shingles, two sets that
    link share a shingle among the first ``n - ceil(similarity * n) + 1`` of each; a class enters the region of each of these shingles. Shingles that a
    scan finds frequent come last in the order, which any fixed order allows; so boilerplate makes no region unless a text is little else.
-2. Small regions are joined directly: sizes, places and the counts of shingles by leading bits bound each pair from above, what is left is counted exactly.
-3. Large regions that overlap in most of their members are merged into one. Their members take documents as pivots. Every member's exact distance to the
+3. Small regions are joined directly: sizes, places and the counts of shingles by leading bits bound each pair from above, what is left is counted exactly.
+   A pair that has a label in common is not made; so a large region that leaves few pairs is joined directly too.
+4. Large regions that overlap in most of their members are merged into one. Their members take documents as pivots. Every member's exact distance to the
    pivots gives links (members near a pivot need no pairs among them: they are in its component) and a region: the nearest pivot within ``NEAR``, or the
    outer region. By the triangle inequality a member can only link into a pivot's region if it is within the region's radius plus the linking
    distance of it, and into the outer region if it is farther than ``NEAR`` less that distance from every pivot; boundary members are replicated by these
    windows. Regions in one component are done; regions that the windows divide recurse with new pivots; small ones, and those whose members are all about as
    far from each other, are decided in blocks: the sets of two blocks meet in one group, which counts all intersections and gives back a spanning forest.
 
-No pair is left out: every window follows from the metric or from counts. Sets are held as 64-bit hashes; a class's name has 128 bits and a collision of
-its first half is looked for and answered with another seed. Nothing but frequent shingles (a bounded number of them, which only move in the order) and
+No pair of two components is left out: every window follows from the metric or from counts, and a label from links. Which sets carry one is asked of a
+Bloom filter of those that do not, which errs to a label less. Sets are held as 64-bit hashes; a class's name has 128 bits and a collision of
+its first half is looked for and answered with another seed. A text goes once to the pairs it is in, by the hash of the text, and from there, once a
+pair, to the side that has more pairs. Nothing but frequent shingles (a bounded number of them, which only move in the order) and
 counts reaches the driver.
 
 Edge cases: a null, empty or blank text has no shingles and is a component of its own; a null id links but never names a component,
@@ -35,8 +41,7 @@ from pyspark.sql import functions as F
 from chatloom.functions.grams import GramFilter
 from chatloom.llm import shingles as S
 from chatloom.llm.components import components, forest
-from chatloom.llm.frames import cut, released, small
-from chatloom.session import broadcast_if_small
+from chatloom.llm.frames import cut, released, shuffles_dropped
 
 FREQUENT = 48  # repeats in the scan that make a shingle frequent
 MOST_FREQUENT = 1 << 20  # frequent shingles that reach the driver; beyond it the limit above is doubled
@@ -47,9 +52,9 @@ PIVOTS = 4
 NEAR = 0.6
 DEPTH = 4  # recursions before a region that is still large is decided in blocks
 BLOCK, BLOCK_SHINGLES = 1024, 150_000  # members and shingles of a block
-NAMES = 64 << 20  # bytes of the names of classes, two numbers each, that are broadcast
-HUB = 32  # pairs of a class that make it a hub, as pivots are
-SALTS = 16  # parts that the pairs of a hub are dealt over
+FEW = 2  # pairs to a member of a large region that is paired directly
+FACTOR = 0x1E3779B97F4A7C15  # of a label in a number for two
+TOGETHER = 256  # pairs of a class that are counted in one group
 
 
 def need(a, b, percent: int):
@@ -59,7 +64,7 @@ def need(a, b, percent: int):
 
 def scan(docs: DataFrame, words: int, seed: int, text: str, key: str) -> DataFrame:
     """One pass over the texts: their sets' sizes and names (kind 0), the shingles that repeat within a chunk of texts (kind 1), and a sketch per task and
-    class (kind 2)."""
+    class (kind 2), with the set's smallest and largest shingle."""
 
     def scanned(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         met = set()
@@ -75,13 +80,13 @@ def scan(docs: DataFrame, words: int, seed: int, text: str, key: str) -> DataFra
                     held.append(s)
                     if x not in met:
                         met.add(x)
-                        sketches[x] = len(s), S.sketch(s)
+                        sketches[x] = len(s), S.sketch(s), *s[[0, -1]].view(np.int64).tolist()
             yield pd.DataFrame({"kind": 0, "_key": part["_key"], "n": sizes, "a": a, "b": b, "h": part["_hash"], "raw": None})
             found, times = np.unique(np.concatenate(held), return_counts=True) if held else (np.zeros(0, np.uint64), np.zeros(0, int))
             more = times > 1
             yield pd.DataFrame({"kind": 1, "_key": None, "n": times[more], "a": found[more].view(np.int64), "b": 0, "h": 0, "raw": None}).astype({"_key": "object"})
-            of = pd.DataFrame({"kind": 2, "_key": None, "n": [n for n, _ in sketches.values()], "a": list(sketches), "b": 0, "h": 0, "raw": [r for _, r in sketches.values()]})
-            yield of.astype({"_key": "object"})
+            of = pd.DataFrame([*sketches.values()], columns=["n", "raw", "b", "h"]).astype({"n": int, "b": int, "h": int})
+            yield of.assign(kind=2, _key=None, a=list(sketches)).astype({"_key": "object", "a": int})[["kind", "_key", "n", "a", "b", "h", "raw"]]
 
     rows = docs.select(F.col(key).cast("long").alias("_key"), F.col(text).alias("_text"), F.xxhash64(text).alias("_hash"))
     return cut(rows.mapInPandas(released(scanned), "kind int, _key long, n long, a long, b long, h long, raw binary"))
@@ -100,15 +105,37 @@ def frequent(spark: SparkSession, found: DataFrame):
     return spark.sparkContext.broadcast(np.packbits(bits))
 
 
-def first_regions(docs: DataFrame, bits, buckets: int, words: int, seed: int, percent: int, text: str) -> DataFrame:
-    """Second pass: per task and bucket, the packed entries (shingle, class, size and place) of the sets' first shingles. They are much of the input, so
-    they are not kept beside what the shuffle to their buckets writes."""
+def alike(sketches: DataFrame, rows: DataFrame, docs: DataFrame, classes: DataFrame, percent: int, words: int, seed: int, text: str):
+    """Links (u, v) of classes with the leaders of their groups; the components (u, v) that they give; and a filter of hashes of texts, with a number:
+    0 for texts of a class in one of the components, 1 or 2 for texts that are not in the component of the leader by their smallest or largest shingle.
+    The filter is None where there are no links."""
+    key = lambda of, c: F.struct(F.lit(of).alias("of"), F.col(c).alias("key"))
+    members = sketches.select("cls", "n", F.inline(F.array(key(1, "first"), key(2, "last"))))
+    groups = members.groupBy("of", "key").agg(F.min(F.struct("cls", "n")).alias("lead"), F.count(F.lit(1)).alias("m")).filter("m > 1")
+    groups = groups.select("of", "key", F.col("lead.cls").alias("lead"), F.col("lead.n").alias("size"))
+    led = cut(members.join(groups, ["of", "key"]).filter("cls <> lead").select("of", "cls", "lead", "n", "size"))
+    pairs = led.filter(100 * F.least("n", "size") >= percent * F.greatest("n", "size")).select(F.col("lead").alias("x"), F.col("cls").alias("y"))
+    links = linked(decided(bounded(pairs, sketches, percent), docs, classes, percent, words, seed, text), percent)
+    of = components(links)
+    if of.limit(1).count() == 0:
+        return links, of, None
+    of = of.select("u", F.col("v").alias("c"))
+    named = lambda c: of.select(F.col("u").alias(c), F.col("c").alias(f"c_{c}"))
+    other = led.join(named("cls"), "cls", "left").join(named("lead"), "lead", "left").filter(F.coalesce("c_cls", "cls") != F.coalesce("c_lead", "lead"))
+    flagged = of.select(F.explode(F.array("u", "c")).alias("cls"), F.lit(0).alias("of")).union(other.select("cls", "of")).distinct()
+    texts = rows.filter("cls IS NOT NULL").select("cls", "h").distinct()
+    return links, of.withColumnRenamed("c", "v"), GramFilter(cut(flagged.join(texts, "cls").select(F.xxhash64("h", "of").alias("h"))))
+
+
+def first_regions(docs: DataFrame, bits, buckets: int, words: int, seed: int, percent: int, text: str, sure: GramFilter | None = None) -> DataFrame:
+    """Second pass: per task and bucket, the packed entries (shingle, class, size and place) of the sets' first shingles, with two labels if ``sure`` (of
+    ``alike``) may hold them. They are much of the input, so they are not kept beside what the shuffle to their buckets writes."""
 
     def entered(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hot_bits, seen = np.unpackbits(bits.value).astype(bool), set()
         for part in parts:
-            entries = []
-            for s in S.sets(part["_text"].tolist(), words, seed):
+            made: dict[int, list] = {3: [], 5: []}
+            for s, has in zip(S.sets(part["_text"].tolist(), words, seed), part["_labels"].tolist(), strict=True):
                 n = len(s)
                 if not n or (cls := S.name(s)[0]) in seen:
                     continue
@@ -116,40 +143,72 @@ def first_regions(docs: DataFrame, bits, buckets: int, words: int, seed: int, pe
                 hot = hot_bits[(s >> np.uint64(64 - BITS)).astype(np.int64)]
                 first = n - -(-percent * n // 100) + 1
                 chosen = np.concatenate([s[~hot][:first], s[hot][: max(0, first - int((~hot).sum()))]])
-                rows = np.empty((first, 3), np.int64)
+                rows = np.empty((first, 5 if has else 3), np.int64)
                 rows[:, 0], rows[:, 1], rows[:, 2] = chosen.view(np.int64), cls, (n << 32) | np.arange(first)
-                entries.append(rows)
-            if entries:
-                rows = np.concatenate(entries)
-                to = (S.mixed(rows[:, 0].view(np.uint64)) % np.uint64(buckets)).astype(np.int64)
-                order = np.argsort(to, kind="stable")
-                rows, to = rows[order], to[order]
-                at = np.flatnonzero(np.diff(to, prepend=-1))
-                yield pd.DataFrame({"bucket": to[at], "raw": [x.tobytes() for x in np.split(rows, at[1:])]})
-
-    return docs.select(F.col(text).alias("_text")).mapInPandas(released(entered), "bucket long, raw binary")
+                if has:  # the class stands for a label that it does not carry
+                    ends = s[[0, -1]].view(np.int64)
+                    rows[:, 3], rows[:, 4] = ends[0] if has & 1 else cls, ends[1] if has & 2 else cls
+                made[rows.shape[1]].append(rows)
+            for width, entries in made.items():
+                if entries:
+                    rows = np.concatenate(entries)
+                    to = (S.mixed(rows[:, 0].view(np.uint64)) % np.uint64(buckets)).astype(np.int64)
+                    order = np.argsort(to, kind="stable")
+                    rows, to = rows[order], to[order]
+                    at = np.flatnonzero(np.diff(to, prepend=-1))
+                    yield pd.DataFrame({"bucket": to[at], "width": width, "raw": [x.tobytes() for x in np.split(rows, at[1:])]})
+
+    texts = docs.select(F.col(text).alias("_text"), F.xxhash64(text).alias("_hash"))
+    if sure is None:
+        texts = texts.select("_text", F.lit(0).alias("_labels"))
+    else:
+        held = lambda of: sure.may_hold(F.xxhash64("_hash", F.lit(of)))
+        labels = F.when(held(1), 0).otherwise(1) + F.when(held(2), 0).otherwise(2)
+        texts = sure.attach(texts).select("_text", F.when(held(0), labels).otherwise(0).alias("_labels"))
+    return texts.mapInPandas(released(entered), "bucket long, width int, raw binary")
 
 
-def paired(cls: np.ndarray, size: np.ndarray, place: np.ndarray | None, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs (i, j) of members of one region whose sizes and places allow a link."""
-    i, j = np.triu_indices(len(cls), 1)
+def paired(i: np.ndarray, j: np.ndarray, cls: np.ndarray, size: np.ndarray, place: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Those of the pairs (i, j) of members of one region whose sizes and places allow a link."""
     a, b = size[i], size[j]
     ok = (100 * np.minimum(a, b) >= percent * np.maximum(a, b)) & (cls[i] != cls[j])
-    if place is not None:
-        ok &= 1 + np.minimum(a - place[i], b - place[j]) - 1 >= need(a, b, percent)
+    ok &= 1 + np.minimum(a - place[i], b - place[j]) - 1 >= need(a, b, percent)
     return i[ok], j[ok]
 
 
+def apart(labels: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray] | None:
+    """The pairs (i, j) of members that have neither label in common, or None where they are too many."""
+    k, outside = len(labels), []
+    same = []
+    for c in (labels[:, 0], labels[:, 1], labels[:, 0] * np.int64(FACTOR) + labels[:, 1]):
+        names, times = np.unique(c, return_counts=True)
+        same.append(int((times * (times - 1) // 2).sum()))
+        outside.append(np.flatnonzero(c != names[times.argmax()]))
+    if k * (k - 1) // 2 - same[0] - same[1] + same[2] > most:
+        return None
+    # one of the two is outside the largest group by the first label, and one by the second
+    one, two = outside[:2]
+    both = np.intersect1d(one, two, assume_unique=True)
+    if len(one) * len(two) + len(both) * k > 16 * most:
+        return None
+    i = np.concatenate([np.repeat(one, len(two)), np.repeat(both, k)])
+    j = np.concatenate([np.tile(two, len(one)), np.tile(np.arange(k), len(both))])
+    ok = (labels[i] != labels[j]).all(1)
+    pairs = np.unique(np.sort(np.stack([i[ok], j[ok]], 1), axis=1), axis=0)
+    return pairs[:, 0], pairs[:, 1]
+
+
 def join_first(entries: DataFrame, buckets: int, percent: int) -> DataFrame:
     """(region, x, y): pairs of small regions (region null, x < y), and members of large ones (x class, y size)."""
 
     def met(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: dict[int, list[bytes]] = {}
+        held: dict[int, list[np.ndarray]] = {}
         for part in parts:
-            for bucket, raw in zip(part["bucket"], part["raw"], strict=True):
-                held.setdefault(bucket, []).append(raw)
-        for raws in held.values():
-            rows = np.frombuffer(b"".join(raws), np.int64).reshape(-1, 3)
+            for bucket, width, raw in zip(part["bucket"], part["width"], part["raw"], strict=True):
+                rows = np.frombuffer(raw, np.int64).reshape(-1, width)
+                held.setdefault(bucket, []).append(rows if width == 5 else rows[:, [0, 1, 2, 1, 1]])
+        while held:
+            rows = np.concatenate(held.popitem()[1])
             rows = rows[np.lexsort((rows[:, 1], rows[:, 0]))]
             again = np.append(False, (rows[1:, 0] == rows[:-1, 0]) & (rows[1:, 1] == rows[:-1, 1]))
             rows = rows[~again]  # a set that several tasks met
@@ -158,9 +217,17 @@ def join_first(entries: DataFrame, buckets: int, percent: int) -> DataFrame:
             many = end - at > 1
             pairs, large, done = [], [], set()
             for a, b in zip(at[many].tolist(), end[many].tolist(), strict=True):
-                key, cls, size, place = rows[a, 0], rows[a:b, 1], rows[a:b, 2] >> 32, rows[a:b, 2] & 0xFFFFFFFF
+                key, cls, size, place, labels = rows[a, 0], rows[a:b, 1], rows[a:b, 2] >> 32, rows[a:b, 2] & 0xFFFFFFFF, rows[a:b, 3:]
                 if b - a <= SMALL:
-                    i, j = paired(cls, size, place, percent)
+                    i, j = np.triu_indices(b - a, 1)
+                    if (labels != cls[:, None]).any():
+                        new = (labels[i] != labels[j]).all(1)
+                        i, j = i[new], j[new]
+                    found = i, j
+                else:
+                    found = apart(labels, FEW * (b - a))
+                if found is not None:
+                    i, j = paired(*found, cls, size, place, percent)
                     if len(i):
                         pairs.append(np.stack([cls[i], cls[j]], 1))
                 elif (same := cls.tobytes()) not in done:  # shingles of the same classes are one region
@@ -191,66 +258,37 @@ def bounded(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
     return both.mapInPandas(released(limits), "x long, y long, nx long, ny long, most long")
 
 
+def linked(known: DataFrame, percent: int) -> DataFrame:
+    """(u, v): the links among decided pairs."""
+    return known.filter(100 * F.col("common") >= percent * (F.col("nx") + F.col("ny") - F.col("common"))).select(F.col("x").alias("u"), F.col("y").alias("v"))
+
+
 def decided(pairs: DataFrame, docs: DataFrame, classes: DataFrame, percent: int, words: int, seed: int, text: str) -> DataFrame:
     """(x, y, nx, ny, most, common): the exact intersection where the bound allows a link, else null."""
     limits = cut(pairs)
     close = limits.filter(100 * F.col("most") >= percent * (F.col("nx") + F.col("ny") - F.col("most")))
     degree = cut(close.select(F.explode(F.array("x", "y")).alias("cls")).groupBy("cls").agg(F.count(F.lit(1)).alias("pairs")).join(classes.select("cls", "h"), "cls"))
-    texts = lambda of: texts_of(degree.join(of, "cls", "left_semi").select("cls", "h"), docs, text)
-
-    # the sets of hubs go to where the texts of their partners are read: no pair row carries a hub's text, no key holds a hub's pairs
-    hubs = degree.filter(F.col("pairs") >= HUB)
-    of = lambda c: hubs.select(F.col("cls").alias(c), F.col("pairs").alias(f"p{c}"))
-    ranked = cut(close.join(small(of("x")), "x", "left").join(small(of("y")), "y", "left"))
-    pair = "x long, y long, nx long, ny long, most long, common long"
-
-    def at_hubs() -> DataFrame:
-        to_hub = ranked.filter("px IS NOT NULL OR py IS NOT NULL")
-        first = F.coalesce("px", F.lit(0)) >= F.coalesce("py", F.lit(0))
-        to_hub = to_hub.withColumns({"hub": F.when(first, F.col("x")).otherwise(F.col("y")), "other": F.when(first, F.col("y")).otherwise(F.col("x"))})
-        to_hub = to_hub.withColumn("salt", F.pmod(F.xxhash64("other"), F.lit(SALTS)).cast("int")).drop("px", "py")
-
-        def hashed(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for part in parts:
-                yield pd.DataFrame({"hub": part["cls"], "raw": [s.tobytes() for s in S.sets(part["_text"].tolist(), words, seed)]})
-
-        sets = cut(texts(hubs.select("cls")).mapInPandas(released(hashed), "hub long, raw binary"))
-        sets = small(sets.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))))
-
-        def counted_at_hubs(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for part in parts:
-                own, last, common = None, None, []
-                for other, t, raw in zip(part["other"], part["_text"], part["raw"], strict=True):
-                    if other != last:
-                        own, last = next(S.sets([t], words, seed)), other
-                    common.append(len(np.intersect1d(own, np.frombuffer(raw, np.uint64), assume_unique=True)))
-                yield part[["x", "y", "nx", "ny", "most"]].assign(common=common)
-
-        partners = texts(to_hub.select(F.col("other").alias("cls")).distinct()).withColumnRenamed("cls", "other")
-        return to_hub.join(partners, "other").join(sets, ["hub", "salt"]).mapInPandas(released(counted_at_hubs), pair)
-
-    rest = ranked.filter("px IS NULL AND py IS NULL").drop("px", "py")
-    side = lambda c: texts(rest.select(F.col(c).alias("cls")).distinct()).select(F.col("cls").alias(c), F.col("_text").alias(f"t{c}"))
-    both = rest.join(side("x"), "x").join(side("y"), "y")
-
-    def counted(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: dict[int, np.ndarray] = {}
 
-        def made(cls: int, t: str) -> np.ndarray:
-            if cls not in held:
-                if len(held) >= 64:
-                    held.pop(next(iter(held)))
-                held[cls] = next(S.sets([t], words, seed))
-            return held[cls]
+    # a pair goes with the text of one side to the side of more pairs, whose own text is there once for so many of them
+    of = lambda c: degree.select(F.col("cls").alias(c), F.struct("pairs", F.col("cls").alias("c"), "h").alias(f"of_{c}"))
+    met = close.join(of("x"), "x").join(of("y"), "y").withColumns({"center": F.greatest("of_x", "of_y"), "other": F.least("of_x", "of_y")})
+    salt = F.pmod(F.xxhash64("other.c"), F.ceil(F.col("center.pairs") / TOGETHER)).cast("int").alias("salt")
+    met = cut(met.select("x", "y", "nx", "ny", "most", F.col("center.c").alias("center"), salt, F.col("center.h").alias("of"), F.col("other.h").alias("h")))
+    texts = texts_by_hash(degree.select("h"), docs, text)
+    own = met.select("center", "salt", F.col("of").alias("h")).distinct().join(texts, "h").select("center", "salt", F.col("_text").alias("_own"))
+    both = met.drop("of").join(texts, "h").join(own.hint("merge"), ["center", "salt"])
 
+    def counted(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held, last = None, None
         for part in parts:
             common = []
-            for x, y, tx, ty in zip(part["x"], part["y"], part["tx"], part["ty"], strict=True):
-                common.append(len(np.intersect1d(made(x, tx), made(y, ty), assume_unique=True)))
+            for center, t, raw in zip(part["center"], part["_own"], S.sets(part["_text"].tolist(), words, seed), strict=True):
+                if center != last:
+                    held, last = next(S.sets([t], words, seed)), center
+                common.append(len(np.intersect1d(held, raw, assume_unique=True)))
             yield part[["x", "y", "nx", "ny", "most"]].assign(common=common)
 
-    exact = both.mapInPandas(released(counted), pair)
-    exact = exact.unionByName(at_hubs()) if hubs.limit(1).count() else exact
+    exact = both.mapInPandas(released(counted), "x long, y long, nx long, ny long, most long, common long")
     far = limits.filter(100 * F.col("most") < percent * (F.col("nx") + F.col("ny") - F.col("most"))).withColumn("common", F.lit(None).cast("long"))
     return cut(exact.unionByName(far))
 
@@ -310,15 +348,16 @@ def open_regions(members: DataFrame, links: DataFrame) -> DataFrame:
     return cut(named.join(mixed.filter("lo <> hi AND any"), "region").drop("lo", "hi", "any"))
 
 
-def texts_of(classes: DataFrame, docs: DataFrame, text: str) -> DataFrame:
-    """(cls, _text) of ``classes`` (cls, h: hash of the text of one of its documents).
-
-    Texts that a filter of the hashes rules out go where they are read, so that a join that has to shuffle shuffles the others only.
-    """
-    known = GramFilter(classes.select("h"))
+def texts_by_hash(hashes: DataFrame, docs: DataFrame, text: str) -> DataFrame:
+    """(h, _text): texts by their hashes. Those that a filter of the hashes rules out go where they are read; the others are shuffled once."""
+    known = GramFilter(hashes.select("h"))
     texts = docs.select(F.xxhash64(text).alias("h"), F.col(text).alias("_text"))
-    texts = known.attach(texts).filter(known.may_hold(F.col("h"))).select("h", "_text").join(broadcast_if_small(classes, max_rows=1_000_000, max_bytes=NAMES), "h")
-    return texts.groupBy("cls").agg(F.first("_text").alias("_text"))
+    return known.attach(texts).filter(known.may_hold(F.col("h"))).groupBy("h").agg(F.first("_text").alias("_text"))
+
+
+def texts_of(classes: DataFrame, docs: DataFrame, text: str) -> DataFrame:
+    """(cls, _text) of ``classes`` (cls, h: hash of the text of one of its documents)."""
+    return classes.select("cls", "h").join(texts_by_hash(classes, docs, text), "h").select("cls", "_text")
 
 
 def block_links(members: DataFrame, docs: DataFrame, classes: DataFrame, percent: int, words: int, seed: int, text: str) -> DataFrame:
@@ -381,6 +420,23 @@ def block_links(members: DataFrame, docs: DataFrame, classes: DataFrame, percent
 
 def join(docs: DataFrame, percent: int = 80, words: int = 5, text: str = "text", key: str = "doc_id", seed: int = 0) -> DataFrame:
     """(key, n_shingles, component_id) of every row. The texts are read twice, and once more for those that have a close candidate."""
+    spark = docs.sparkSession
+    with shuffles_dropped(spark):
+        rows, classes, links = linked_classes(docs, percent, words, text, key, seed)
+        if rows is None:
+            return join(docs, percent, words, text, key, seed + 1)
+        joined = spark.createDataFrame([], "u long, v long") if links is None else components(links)
+    named = classes.select("cls", "least").join(joined.select(F.col("u").alias("cls"), "v"), "cls", "left").withColumn("root", F.coalesce("v", "cls"))
+    least = named.groupBy("root").agg(F.min("least").alias("component"))
+    named = named.join(least, "root").select("cls", "component")
+    out = rows.join(named, "cls", "left")
+    return out.select(
+        F.col("_key").alias(key), F.col("n").alias("n_shingles"), F.when(F.col("cls").isNull(), F.col("_key")).otherwise(F.col("component")).alias("component_id"))
+
+
+def linked_classes(docs: DataFrame, percent: int, words: int, text: str, key: str, seed: int):
+    """The rows with their classes, the classes, and links (u, v) that join the classes of each component. No rows where two classes have one name, no links
+    where there is no class."""
     spark, limit = docs.sparkSession, 1 - percent / 100
     found = scan(docs, words, seed, text, key)
     rows = found.filter("kind = 0").select("_key", "n", F.when(F.col("n") > 0, F.col("a")).alias("cls"), "b", "h")
@@ -388,41 +444,36 @@ def join(docs: DataFrame, percent: int = 80, words: int = 5, text: str = "text",
         F.min("_key").alias("least"), F.min("h").alias("h"), F.max("n").alias("n"), F.min("b").alias("b0"), F.max("b").alias("b1")))
     totals = classes.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("c"), F.count_if(F.col("b0") != F.col("b1")).alias("bad")).first()
     if totals["bad"]:
-        return join(docs, percent, words, text, key, seed + 1)
-    if totals["c"]:
-        buckets = max(211, (totals["n"] * (100 - percent) // 100 + totals["c"]) // BUCKET)
-        entries = first_regions(docs, frequent(spark, found), buckets, words, seed, percent, text)
-        sketches = cut(found.filter("kind = 2").groupBy(F.col("a").alias("cls")).agg(F.first("n").alias("n"), F.first("raw").alias("raw")))
-        regions = join_first(entries, buckets, percent)
-        pairs, members = regions.filter("region IS NULL").select("x", "y"), regions.filter("region IS NOT NULL")
-        if members.limit(1).count():
-            members = merged(members).withColumn("home", F.lit(True))
-        links, depth = None, 0
-        while True:
-            left = members.limit(1).count() > 0
-            if left:
-                pivots, to_pivots = stars(members)
-                pairs = pairs.union(to_pivots)
-            known = decided(bounded(pairs, sketches, percent), docs, classes, percent, words, seed, text)
-            linked = known.filter(100 * F.col("common") >= percent * (F.col("nx") + F.col("ny") - F.col("common"))).select(F.col("x").alias("u"), F.col("y").alias("v"))
-            links = linked if links is None else links.union(linked)
-            if not left:
-                break
-            members = open_regions(members, links)
-            parts = open_regions(split_regions(members, pivots, known, limit), links)
-            work = parts.groupBy("parent", "region").agg(F.max("m").alias("m")).groupBy("parent").agg(F.sum(F.col("m") * F.col("m")).alias("work"))
-            work = members.groupBy("region").agg(F.max("m").alias("m")).join(work.withColumnRenamed("parent", "region"), "region", "left")
-            stuck = cut(work.filter((2 * F.coalesce("work", F.lit(0)) > F.col("m") * F.col("m")) | F.lit(depth >= DEPTH)).select("region"))
-            parts = parts.join(stuck.withColumnRenamed("region", "parent"), "parent", "left_anti").drop("parent")
-            ready = members.join(stuck, "region", "left_semi").unionByName(parts.filter(F.col("m") <= SMALL))
-            links = links.union(block_links(ready, docs, classes, percent, words, seed, text))
-            members, pairs, depth = cut(parts.filter(F.col("m") > SMALL).select("region", "x", "y", "home")), pairs.limit(0), depth + 1
-        joined = components(links)
-    else:
-        joined = spark.createDataFrame([], "u long, v long")
-    named = classes.select("cls", "least").join(joined.select(F.col("u").alias("cls"), "v"), "cls", "left").withColumn("root", F.coalesce("v", "cls"))
-    least = named.groupBy("root").agg(F.min("least").alias("component"))
-    named = named.join(least, "root").select("cls", "component")
-    out = rows.join(named, "cls", "left")
-    return out.select(
-        F.col("_key").alias(key), F.col("n").alias("n_shingles"), F.when(F.col("cls").isNull(), F.col("_key")).otherwise(F.col("component")).alias("component_id"))
+        return None, None, None
+    if not totals["c"]:
+        return rows, classes, None
+    sketches = found.filter("kind = 2").groupBy(F.col("a").alias("cls"))
+    sketches = cut(sketches.agg(F.first("n").alias("n"), F.first("raw").alias("raw"), F.first("b").alias("first"), F.first("h").alias("last")))
+    links, of, sure = alike(sketches, rows, docs, classes, percent, words, seed, text)
+    buckets = max(211, (totals["n"] * (100 - percent) // 100 + totals["c"]) // BUCKET)
+    regions = join_first(first_regions(docs, frequent(spark, found), buckets, words, seed, percent, text, sure), buckets, percent)
+    pairs, members = regions.filter("region IS NULL").select("x", "y"), regions.filter("region IS NOT NULL")
+    if sure is not None:
+        named = lambda c: of.select(F.col("u").alias(c), F.col("v").alias(f"c{c}"))
+        pairs = pairs.distinct().join(named("x"), "x", "left").join(named("y"), "y", "left").filter(F.coalesce("cx", "x") != F.coalesce("cy", "y")).select("x", "y")
+    if members.limit(1).count():
+        members = merged(members).withColumn("home", F.lit(True))
+    depth = 0
+    while True:
+        left = members.limit(1).count() > 0
+        if left:
+            pivots, to_pivots = stars(members)
+            pairs = pairs.union(to_pivots)
+        known = decided(bounded(pairs, sketches, percent), docs, classes, percent, words, seed, text)
+        links = links.union(linked(known, percent))
+        if not left:
+            return rows, classes, links
+        members = open_regions(members, links)
+        parts = open_regions(split_regions(members, pivots, known, limit), links)
+        work = parts.groupBy("parent", "region").agg(F.max("m").alias("m")).groupBy("parent").agg(F.sum(F.col("m") * F.col("m")).alias("work"))
+        work = members.groupBy("region").agg(F.max("m").alias("m")).join(work.withColumnRenamed("parent", "region"), "region", "left")
+        stuck = cut(work.filter((2 * F.coalesce("work", F.lit(0)) > F.col("m") * F.col("m")) | F.lit(depth >= DEPTH)).select("region"))
+        parts = parts.join(stuck.withColumnRenamed("region", "parent"), "parent", "left_anti").drop("parent")
+        ready = members.join(stuck, "region", "left_semi").unionByName(parts.filter(F.col("m") <= SMALL))
+        links = links.union(block_links(ready, docs, classes, percent, words, seed, text))
+        members, pairs, depth = cut(parts.filter(F.col("m") > SMALL).select("region", "x", "y", "home")), pairs.limit(0), depth + 1

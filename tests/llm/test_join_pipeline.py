@@ -180,6 +180,58 @@ def test_entries_of_first_regions_are_only_shuffled(spark, monkeypatch):
     assert kept and not any("bucket" in columns for columns in kept)
 
 
+def near_copies(rng, n, words=300):
+    base = [f"w{rng.randrange(10**6)}" for _ in range(words)]
+    return [family(rng, base, rng.choice([1, 2])) for _ in range(n)]
+
+
+def test_near_copies_are_not_paired_with_each_other(spark, monkeypatch):
+    """60 near copies are 1770 pairs, which every shingle they share made before."""
+    made, real = [], jaccard.join_first
+    monkeypatch.setattr(jaccard, "join_first", lambda *args: made.append(real(*args)) or made[-1])
+    rng = random.Random(6)
+    texts = near_copies(rng, 60) + near_copies(rng, 60) + ["one text alone of its kind", "w1 w2"]
+    rows = list(enumerate(texts))
+    assert joined(spark, rows) == brute(rows)
+    assert made[0].filter("region IS NULL").distinct().count() < 2 * len(rows)
+    assert made[0].filter("region IS NOT NULL").count() == 0
+
+
+def test_labels_join_nothing_that_links_do_not(spark):
+    """Texts that share their smallest or largest shingle with near copies of something else, and large regions with few pairs to make."""
+    rng = random.Random(7)
+    copies = near_copies(rng, 90)
+    ends = [next(shingles.sets([copies[0]]))[i] for i in (0, -1)]
+    words = copies[0].split()
+    parts = [w for i in range(len(words) - 4) if next(shingles.sets([" ".join(w := words[i : i + 5])]))[0] in ends]
+    assert len(parts) == 2
+    others = [" ".join([*rng.choice(parts), *(f"v{rng.randrange(10**6)}" for _ in range(rng.choice([0, 3, 200])))]) for _ in range(60)]
+    rows = list(enumerate(copies + others + near_copies(rng, 3, 12) + [copies[1].upper(), others[0].upper()]))
+    rng.shuffle(rows)
+    assert joined(spark, rows) == brute(rows)
+
+
+def test_pairs_without_a_label_in_common():
+    rng = np.random.default_rng(8)
+    for k, names in ((2, 1), (9, 2), (70, 3), (70, 40), (300, 2)):
+        labels = rng.integers(0, names, (k, 2)) * (rng.random((k, 2)) < 0.1)
+        want = {(i, j) for i in range(k) for j in range(i + 1, k) if (labels[i] != labels[j]).all()}
+        assert set(zip(*map(list, jaccard.apart(labels, 10**6)), strict=True)) == want
+        assert not want or jaccard.apart(labels, len(want) - 1) is None
+
+
+def test_shuffle_files_go_and_the_setting_comes_back(spark):
+    from chatloom.llm.frames import DROPPED, shuffles_dropped
+
+    for before in ("false", "true"):
+        spark.conf.set(DROPPED, before)
+        with pytest.raises(ValueError), shuffles_dropped(spark):
+            assert spark.conf.get(DROPPED) == "true"
+            raise ValueError
+        assert spark.conf.get(DROPPED) == before
+    spark.conf.unset(DROPPED)
+
+
 def test_kept_texts_go_to_python_in_small_batches(spark):
     from chatloom.llm import quality
 
