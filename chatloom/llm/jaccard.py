@@ -21,7 +21,7 @@ each document's component, so the join has to decide every pair of classes in di
 No pair of two components is left out: every window follows from the metric or from counts, and a label from links. Which sets carry one is asked of a
 Bloom filter of those that do not, which errs to a label less. Sets are held as 64-bit hashes; a class's name has 128 bits and a collision of
 its first half is looked for and answered with another seed. A text goes once to the pairs it is in, by the hash of the text, and from there, once a
-pair, to the side that has more pairs. Nothing but frequent shingles (a bounded number of them, which only move in the order) and
+pair, to the side that has more pairs; where pairs or blocks would move more than all texts once, they are decided in waves that do not. Nothing but frequent shingles (a bounded number of them, which only move in the order) and
 counts reaches the driver.
 
 Edge cases: a null, empty or blank text has no shingles and is a component of its own; a null id links but never names a component,
@@ -32,6 +32,7 @@ an empty table gives an empty result. Only the named columns and the results are
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -258,6 +259,13 @@ def bounded(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
     return both.mapInPandas(released(limits), "x long, y long, nx long, ny long, most long")
 
 
+def waves(rows: DataFrame, key: list[str], load, classes: DataFrame) -> list[DataFrame]:
+    """``rows`` in parts, rows of one key together, of at most about as much ``load`` as the classes have shingles: one part on most tables."""
+    most, loads = classes.agg(F.sum("n")).first()[0], rows.agg(load).first()[0] or 0
+    n = max(1, -(-int(loads) // most))
+    return [rows] if n == 1 else [rows.filter(F.pmod(F.xxhash64(F.lit(n), *key), F.lit(n)) == i) for i in range(n)]
+
+
 def linked(known: DataFrame, percent: int) -> DataFrame:
     """(u, v): the links among decided pairs."""
     return known.filter(100 * F.col("common") >= percent * (F.col("nx") + F.col("ny") - F.col("common"))).select(F.col("x").alias("u"), F.col("y").alias("v"))
@@ -273,10 +281,8 @@ def decided(pairs: DataFrame, docs: DataFrame, classes: DataFrame, percent: int,
     of = lambda c: degree.select(F.col("cls").alias(c), F.struct("pairs", F.col("cls").alias("c"), "h").alias(f"of_{c}"))
     met = close.join(of("x"), "x").join(of("y"), "y").withColumns({"center": F.greatest("of_x", "of_y"), "other": F.least("of_x", "of_y")})
     salt = F.pmod(F.xxhash64("other.c"), F.ceil(F.col("center.pairs") / TOGETHER)).cast("int").alias("salt")
-    met = cut(met.select("x", "y", "nx", "ny", "most", F.col("center.c").alias("center"), salt, F.col("center.h").alias("of"), F.col("other.h").alias("h")))
-    texts = texts_by_hash(degree.select("h"), docs, text)
-    own = met.select("center", "salt", F.col("of").alias("h")).distinct().join(texts, "h").select("center", "salt", F.col("_text").alias("_own"))
-    both = met.drop("of").join(texts, "h").join(own.hint("merge"), ["center", "salt"])
+    load = F.when(F.col("other.c") == F.col("x"), F.col("nx")).otherwise(F.col("ny")).alias("load")
+    met = cut(met.select("x", "y", "nx", "ny", "most", F.col("center.c").alias("center"), salt, F.col("center.h").alias("of"), F.col("other.h").alias("h"), load))
 
     def counted(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held, last = None, None
@@ -288,9 +294,19 @@ def decided(pairs: DataFrame, docs: DataFrame, classes: DataFrame, percent: int,
                 common.append(len(np.intersect1d(held, raw, assume_unique=True)))
             yield part[["x", "y", "nx", "ny", "most"]].assign(common=common)
 
-    exact = both.mapInPandas(released(counted), "x long, y long, nx long, ny long, most long, common long")
+    def exact(met: DataFrame, hashes: DataFrame) -> DataFrame:
+        texts = texts_by_hash(hashes, docs, text)
+        own = met.select("center", "salt", F.col("of").alias("h")).distinct().join(texts, "h").select("center", "salt", F.col("_text").alias("_own"))
+        both = met.drop("of", "load").join(texts, "h").join(own.hint("merge"), ["center", "salt"])
+        return both.mapInPandas(released(counted), "x long, y long, nx long, ny long, most long, common long")
+
     far = limits.filter(100 * F.col("most") < percent * (F.col("nx") + F.col("ny") - F.col("most"))).withColumn("common", F.lit(None).cast("long"))
-    return cut(exact.unionByName(far))
+    parts = waves(met, ["center", "salt"], F.sum("load"), classes)
+    if len(parts) == 1:
+        return cut(exact(met, degree.select("h")).unionByName(far))
+    for part in parts:
+        far = far.unionByName(cut(exact(part, part.select(F.explode(F.array("of", "h")).alias("h")).distinct())))
+    return far
 
 
 def ordered(x: str, y: str) -> list:
@@ -365,13 +381,10 @@ def block_links(members: DataFrame, docs: DataFrame, classes: DataFrame, percent
 
     Blocks of the region's largest component need not meet each other, so its members go to the blocks of the others only.
     """
-    used = cut(members.select(F.col("x").alias("cls")).distinct().join(classes.select("cls", "h"), "cls"))
-
     def hashed(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
             yield pd.DataFrame({"x": part["cls"], "raw": [s.tobytes() for s in S.sets(part["_text"].tolist(), words, seed)]})
 
-    held = texts_of(used, docs, text).mapInPandas(released(hashed), "x long, raw binary")
     blocks = lambda k, s: F.greatest(F.ceil(k / BLOCK), F.ceil(s / BLOCK_SHINGLES), F.lit(1)).cast("int")
     by_component = members.groupBy("region", "c").agg(F.count(F.lit(1)).alias("k"), F.sum("y").alias("s"))
     sizes = by_component.groupBy("region").agg(F.max_by(F.struct("c", "k", "s"), F.struct("k", "c")).alias("g"), F.sum("k").alias("k"), F.sum("s").alias("s"))
@@ -383,8 +396,8 @@ def block_links(members: DataFrame, docs: DataFrame, classes: DataFrame, percent
     sizes = sizes.withColumns({"mains": F.when(F.col("split"), F.col("mains")).otherwise(F.lit(0)), "others": F.when(F.col("split"), F.col("others")).otherwise(F.lit(1))})
     draw, main = F.xxhash64(F.lit(9), "x"), F.col("split") & (F.col("c") == F.col("main"))
     rows = members.join(sizes, "region").withColumn("b", F.when(main, F.pmod(draw, F.col("mains"))).otherwise(F.col("mains") + F.pmod(draw, F.col("others"))).cast("int"))
-    rows = rows.withColumn("with", F.explode(F.sequence(F.when(main, F.col("mains")).otherwise(F.lit(0)), F.col("mains") + F.col("others") - 1))).join(held, "x")
-    rows = rows.withColumns({"lo": F.least("b", "with"), "hi": F.greatest("b", "with")}).select("region", "lo", "hi", "b", "x", "y", "c", "home", "raw")
+    rows = rows.withColumn("with", F.explode(F.sequence(F.when(main, F.col("mains")).otherwise(F.lit(0)), F.col("mains") + F.col("others") - 1)))
+    rows = cut(rows.withColumns({"lo": F.least("b", "with"), "hi": F.greatest("b", "with")}).select("region", "lo", "hi", "b", "x", "y", "c", "home"))
 
     def met(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("x")
@@ -415,7 +428,13 @@ def block_links(members: DataFrame, docs: DataFrame, classes: DataFrame, percent
         pairs = np.stack([first["x"].to_numpy()[i], second["x"].to_numpy()[j]], 1)
         return pd.DataFrame(forest(pairs), columns=["u", "v"], dtype="int64")
 
-    return cut(rows.groupBy("region", "lo", "hi").applyInPandas(met, "u long, v long"))
+    def of_part(rows: DataFrame) -> DataFrame:
+        used = cut(rows.select(F.col("x").alias("cls")).distinct().join(classes.select("cls", "h"), "cls"))
+        held = texts_of(used, docs, text).mapInPandas(released(hashed), "x long, raw binary")
+        return cut(rows.join(held, "x").groupBy("region", "lo", "hi").applyInPandas(met, "u long, v long"))
+
+    # a set has twice the bytes of its text
+    return reduce(DataFrame.union, map(of_part, waves(rows, ["region", "lo", "hi"], 2 * F.sum("y"), classes)))
 
 
 def join(docs: DataFrame, percent: int = 80, words: int = 5, text: str = "text", key: str = "doc_id", seed: int = 0) -> DataFrame:

@@ -211,6 +211,25 @@ def test_labels_join_nothing_that_links_do_not(spark):
     assert joined(spark, rows) == brute(rows)
 
 
+def test_waves_decide_all(spark, monkeypatch):
+    """Where pairs and blocks move more than the texts, they are dealt over waves; before, one query moved them all."""
+    parts, real = [], jaccard.waves
+
+    def dealt(rows, key, load, classes):
+        found = real(rows, key, 40 * load, classes)
+        parts.append(len(found))
+        assert sorted(map(repr, rows.collect())) == sorted(repr(r) for p in found for r in p.collect())
+        assert not found[1:] or all(p.join(q, key).count() == 0 for p, q in zip(found, found[1:], strict=False))
+        return found
+
+    monkeypatch.setattr(jaccard, "waves", dealt)
+    monkeypatch.setattr(jaccard, "SMALL", 2)
+    monkeypatch.setattr(jaccard, "BLOCK", 16)
+    rows = corpus(6)[:150]
+    assert joined(spark, rows) == brute(rows)
+    assert max(parts) > 1
+
+
 def test_pairs_without_a_label_in_common():
     rng = np.random.default_rng(8)
     for k, names in ((2, 1), (9, 2), (70, 3), (70, 40), (300, 2)):
